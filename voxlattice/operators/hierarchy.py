@@ -58,8 +58,8 @@ def hierarchy(links: DataFrame, group: str, node: str, parent: str) -> DataFrame
 
     # Downwards: each node's offset in its parent's range, summed along the path.
     trees = state.where("root IS NOT NULL").select("g", "v", "root", "depth", "path", "size")
-    sized = trees.join(nodes.select(F.col("g").alias("ng"), F.col("v").alias("nv"), "p"), (F.col("g") == F.col("ng")) & (F.col("v") == F.col("nv"))).select("g", "v", "p", "size", F.floor(F.col("v") / BLOCK).alias("b"))
-    offsets = blocked_scan(sized, ["g", "p"], "b", "v", sums={"through": "size"}).select("g", "v", F.col("p").alias("anc"), (F.col("through") - F.col("size") + 1).alias("pre"))
+    sized = trees.join(nodes.select(F.col("g").alias("ng"), F.col("v").alias("nv"), "p"), (F.col("g") == F.col("ng")) & (F.col("v") == F.col("nv"))).select("g", "v", "p", "size", F.col("p").isNull().alias("top"), F.coalesce("p", F.lit(0)).alias("under"), F.floor(F.col("v") / BLOCK).alias("b"))
+    offsets = blocked_scan(sized, ["g", "top", "under"], "b", "v", sums={"through": "size"}).select("g", "v", F.col("p").alias("anc"), (F.col("through") - F.col("size") + 1).alias("pre"))
     state2 = stage(offsets)
     while state2.where("anc IS NOT NULL").limit(1).count():
         up = state2.select(F.col("g").alias("ug"), F.col("v").alias("uv"), F.col("anc").alias("u_anc"), F.col("pre").alias("u_pre"))

@@ -39,8 +39,8 @@ def gaps(df: DataFrame, entity: list[str], start: str = "start_ms", end: str = "
 
     With starts and ends sorted on their own, a gap follows the end of rank r if the start of rank r + 1 is
     greater: up to that end, as many starts as ends have passed. Touching intervals leave no gap. Rows whose
-    start or end is NULL, or whose end isn't after the start, don't count; repeated rows change nothing; NULL is
-    an entity like any other; an empty table gives an empty one; other columns are dropped.
+    start, end or entity is NULL, or whose end isn't after the start, don't count; repeated rows change nothing; an
+    empty table gives an empty one; other columns are dropped.
     """
     ranked = _ranked(df, entity, start, end, block_length)
     return ranked.where((F.col("_rank_s") == F.col("_rank_e")) & F.col("_next").isNotNull()).select(

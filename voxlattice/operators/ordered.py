@@ -10,14 +10,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def _joined(left: DataFrame, right: DataFrame, on: list[str]) -> DataFrame:
-    """Inner join on equal keys where NULL equals NULL; right has the keys under the names _k0, _k1, ..."""
-    condition = F.lit(True)
-    for i, k in enumerate(on):
-        condition = condition & left[k].eqNullSafe(right[f"_k{i}"])
-    return left.join(right, condition).drop(*[f"_k{i}" for i in range(len(on))])
-
-
 def blocked_scan(
     df: DataFrame,
     keys: list[str],
@@ -32,7 +24,8 @@ def blocked_scan(
     sums: new column -> number column, its sum up to and including the row. before, after: new column -> column,
     its last non-NULL value in an earlier row, or its first one in a later row. `block` must not decrease along
     `order`, which must be unique within the keys. One summary row per (key, block) passes through a window over
-    the key, so blocks should hold thousands of rows.
+    the key, so blocks should hold thousands of rows. Rows whose key, block or order is NULL are left out; an
+    empty table gives an empty one. The rows are shuffled once, and both branches read that shuffle.
     """
     sums, before, after = sums or {}, before or {}, after or {}
     along = F.col(order)
@@ -42,6 +35,7 @@ def blocked_scan(
         + [F.min_by(c, F.when(F.col(c).isNotNull(), along)).alias(f"_a_{n}") for n, c in after.items()]
     )
     on = [*keys, block]
+    df = df.where(" AND ".join(f"`{c}` IS NOT NULL" for c in [*on, order])).repartition(*on)
     by_key = Window.partitionBy(*keys).orderBy(block)
     earlier, later = by_key.rowsBetween(Window.unboundedPreceding, -1), by_key.rowsBetween(1, Window.unboundedFollowing)
     blocks = (
@@ -63,4 +57,5 @@ def blocked_scan(
     made: dict[str, Column] = {n: F.col(f"_s_{n}") + F.coalesce(F.sum(c).over(up_to), F.lit(0)) for n, c in sums.items()}
     made |= {n: F.coalesce(F.last(c, True).over(prior), F.col(f"_b_{n}")) for n, c in before.items()}
     made |= {n: F.coalesce(F.first(c, True).over(next_), F.col(f"_a_{n}")) for n, c in after.items()}
-    return _joined(df, blocks, on).select(*df.columns, *[c.alias(n) for n, c in made.items()])
+    same = [df[k] == blocks[f"_k{i}"] for i, k in enumerate(on)]
+    return df.join(blocks, same).select(*df.columns, *[c.alias(n) for n, c in made.items()])
