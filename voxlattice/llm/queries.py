@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from voxlattice.llm import lookalikes, turns
+from voxlattice.llm import leaks, lookalikes, spam, turns
 from voxlattice.runtime import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -33,5 +33,15 @@ def p6_transcripts(spark: SparkSession, sf: str) -> DataFrame:
     return made.select("transcript_id", "canonical", (F.col("canonical") != F.col("transcript")).alias("changed"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (p5_found, p6_found, p6_transcripts)}
+def p7_found(spark: SparkSession, sf: str) -> DataFrame:
+    """Documents that hold at least half of an evaluation item."""
+    return leaks.leaks(read_table(spark, sf, "documents"), read_table(spark, sf, "eval_items"))
+
+
+def p9_found(spark: SparkSession, sf: str) -> DataFrame:
+    """Documents of which more than half is keywords, tags, goods or links."""
+    return spam.spam_documents(read_table(spark, sf, "documents")).select("doc_id")
+
+
+QUERIES: dict[str, Query] = {f.__name__: f for f in (p5_found, p6_found, p6_transcripts, p7_found, p9_found)}
 ORACLE: dict[str, str] = {}
