@@ -7,12 +7,19 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from voxlattice.llm import leaks, lookalikes, spam, turns
+from voxlattice.llm import leaks, lookalikes, sentences, spam, turns
 from voxlattice.runtime import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def p3_found(spark: SparkSession, sf: str) -> DataFrame:
+    """Ends of the sentence units of hand-made and recognised texts."""
+    made = read_table(spark, sf, "transcripts").select(F.lit("transcript").alias("origin"), F.col("transcript_id").alias("row_id"), F.col("transcript").alias("text"))
+    heard = read_table(spark, sf, "whisper_segments").select(F.lit("whisper").alias("origin"), F.col("whisper_id").alias("row_id"), "text")
+    return sentences.sentence_ends(made.unionByName(heard), ["origin", "row_id"]).distinct()
+
+
 def p5_found(spark: SparkSession, sf: str) -> DataFrame:
     """Speaker turns of recognised and hand-made transcripts."""
     fillers, sounds = turns.noise_terms(read_table(spark, sf, "noise_terms"))
@@ -43,5 +50,5 @@ def p9_found(spark: SparkSession, sf: str) -> DataFrame:
     return spam.spam_documents(read_table(spark, sf, "documents")).select("doc_id")
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (p5_found, p6_found, p6_transcripts, p7_found, p9_found)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (p3_found, p5_found, p6_found, p6_transcripts, p7_found, p9_found)}
 ORACLE: dict[str, str] = {}
