@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from voxlattice.runtime import drop_stage, stage
 
 #: Cells that words on the left and on the right are hashed into, per language.
-LEFT, RIGHT = 16384, 65536
+LEFT, RIGHT = 16381, 65521
 #: Rounds of expectation maximisation.
 ROUNDS = 6
 #: Weight of what all words of a shape, or all words before a mark, do, in places of one word.
