@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from voxlattice.llm import leaks, lookalikes, sentences, spam, turns
+from voxlattice.llm import leaks, lookalikes, mixture, sentences, spam, turns
 from voxlattice.runtime import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -45,10 +45,26 @@ def p7_found(spark: SparkSession, sf: str) -> DataFrame:
     return leaks.leaks(read_table(spark, sf, "documents"), read_table(spark, sf, "eval_items"))
 
 
+#: A curriculum: crawled pages fade out, letters and diaries come in.
+SCHEDULES = {"web_crawl": [(0.0, 1.5), (1.0, 0.5)], "museum_letters": [(0.0, 0.5), (0.5, 1.0), (1.0, 1.5)], "school_diaries": [(0.0, 0.0), (0.4, 1.0), (1.0, 1.0)]}
+
+
+def p8_mixture(spark: SparkSession, sf: str) -> DataFrame:
+    """Documents of the mixture in the order of training."""
+    sized = mixture.sized_documents(read_table(spark, sf, "documents"))
+    return mixture.mixture(sized, read_table(spark, sf, "mixture_targets"), schedules=SCHEDULES)[0]
+
+
+def p8_shares(spark: SparkSession, sf: str) -> DataFrame:
+    """Target and actual shares of the mixture's sources."""
+    sized = mixture.sized_documents(read_table(spark, sf, "documents"))
+    return mixture.shares(*mixture.mixture(sized, read_table(spark, sf, "mixture_targets"), schedules=SCHEDULES))
+
+
 def p9_found(spark: SparkSession, sf: str) -> DataFrame:
     """Documents of which more than half is keywords, tags, goods or links."""
     return spam.spam_documents(read_table(spark, sf, "documents")).select("doc_id")
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (p3_found, p5_found, p6_found, p6_transcripts, p7_found, p9_found)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (p3_found, p5_found, p6_found, p6_transcripts, p7_found, p8_mixture, p8_shares, p9_found)}
 ORACLE: dict[str, str] = {}
