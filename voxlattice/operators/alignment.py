@@ -1,0 +1,185 @@
+"""Sequential alignment of recognised segments with a transcript's sentences or tokens.
+
+The matchers are ordered by nature, so each clip goes to one task; parts() cuts clips of any length into parts of
+bounded size first, both sides in proportion, so that no task takes an unbounded group.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+import numpy as np
+import pandas as pd
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from voxlattice.functions.similarity import partial_ratio, token_set_ratio
+from voxlattice.operators.ordered import blocked_scan
+
+#: Segments of a clip that one task aligns.
+LONGEST = 2000
+
+
+def greedy_run(source: list[str], target: list[str], direct: tuple[float, float] = (75, 80), ahead: tuple[float, float] = (90, 90), retry: int = 5) -> list[list[int]]:
+    """J-08: for each source sentence the positions of its target sentences.
+
+    Matching (either ratio above its threshold) takes target sentences as long as they match; the last one is taken
+    without moving on, so it may be taken again. After the run, unless it ended on the last sentence, up to `retry`
+    sentences beyond the current one are tried with the stricter thresholds, fewer near the end, and a run taken
+    from the first that matches.
+    """
+    fits = lambda a, b, t: token_set_ratio(a, b) > t[0] or partial_ratio(a, b, t[1] + 1e-6) > t[1]
+    out: list[list[int]] = [[] for _ in source]
+    at, last = 0, len(target) - 1
+    for i, s in enumerate(source):
+        if at > last:
+            break
+        stopped = False
+        while fits(s, target[at], direct):
+            out[i].append(at)
+            if at == last:
+                stopped = True
+                break
+            at += 1
+        if stopped:
+            continue
+        tries = min(retry, last - 1 - at) if at + retry > last + 1 else retry
+        look = at
+        for _ in range(max(0, tries)):
+            look += 1
+            if look > last:
+                break
+            began = False
+            while fits(s, target[look], ahead):
+                began = True
+                out[i].append(look)
+                if look == last:
+                    break
+                look += 1
+            if began:
+                at = look
+                break
+    return out
+
+
+def greedy_pointer(source: list[str], target: list[str], least: tuple[float, float] = (50, 60), retry: int = 4) -> list[list[int]]:
+    """J-09: each source takes all matching target sentences from the pointer on; if none matched, the first of the
+    next `retry` that matches, and the pointer moves behind it."""
+    fits = lambda a, b: bool(a) and bool(b) and (token_set_ratio(a, b) >= least[0] or partial_ratio(a, b, least[1]) >= least[1])
+    out: list[list[int]] = [[] for _ in source]
+    at = 0
+    for i, s in enumerate(source):
+        while at < len(target) and fits(s, target[at]):
+            out[i].append(at)
+            at += 1
+        if not out[i]:
+            for look in range(at + 1, min(at + retry, len(target) - 1) + 1):
+                if fits(s, target[look]):
+                    out[i].append(look)
+                    at = look + 1
+                    break
+    return out
+
+
+def span_costs(segments: list[list[str]], tokens: list[str], least: float = 0.3, longest: int = 25, length_cost: float = 0.02) -> list[np.ndarray]:
+    """For each segment an array [start, length - 1] of the cost of taking that span of tokens, inf where it can't.
+
+    Overlaps grow with the span, so each start is one pass over at most `longest` tokens.
+    """
+    out = []
+    n = len(tokens)
+    for words in segments:
+        own = set(words)
+        cost = np.full((n, longest), np.inf)
+        if own:
+            for a in range(n):
+                seen: set[str] = set()
+                shared = 0
+                for k in range(min(longest, n - a)):
+                    t = tokens[a + k]
+                    if t not in seen:
+                        seen.add(t)
+                        shared += t in own
+                    similar = 2 * shared / (len(own) + len(seen))
+                    if similar >= least:
+                        cost[a, k] = (1 - similar) + length_cost * (k + 1)
+        out.append(cost)
+    return out
+
+
+def span_boundaries(segments: list[list[str]], tokens: list[str], skip: float = 0.8, least: float = 0.3, shortest: int = 1, longest: int = 25, length_cost: float = 0.02) -> tuple[list[int], list[float]]:
+    """J-10: boundaries (one more than segments) of the cheapest monotone alignment, and the cumulative costs.
+
+    A segment either takes no token at the cost `skip`, or the span of up to `longest` tokens that follows. Equal
+    costs prefer skipping, then the shorter span; tokens may stay over only at the end.
+    """
+    n, m = len(segments), len(tokens)
+    best = np.full((n + 1, m + 1), np.inf)
+    came = np.zeros((n + 1, m + 1), int)
+    best[0, 0] = 0.0
+    for i, cost in enumerate(span_costs(segments, tokens, least, longest, length_cost), 1):
+        best[i], came[i] = best[i - 1] + skip, np.arange(m + 1)
+        for length in range(shortest, min(longest, m) + 1):
+            total = best[i - 1, : m + 1 - length] + cost[: m + 1 - length, length - 1]
+            better = total < best[i, length:]
+            best[i, length:][better] = total[better]
+            came[i, length:][better] = np.arange(m + 1 - length)[better]
+    ends = [int(best[n].argmin())]
+    for i in range(n, 0, -1):
+        ends.append(int(came[i, ends[-1]]))
+    ends.reverse()
+    return ends, [float(best[i, ends[i]]) for i in range(1, n + 1)]
+
+
+def parts(df: DataFrame, keys: list[str], order: str, count_of: DataFrame, longest: int = LONGEST) -> DataFrame:
+    """df with `part`: which of ceil(size / longest) equal parts of its clip a row is in. count_of: keys, size."""
+    ranked = blocked_scan(df.withColumn("_one", F.lit(1)).withColumn("_block", F.floor(F.col(order) / 4096)), keys, "_block", order, sums={"_rank": "_one"})
+    sizes = df.groupBy(*keys).agg(F.count("*").alias("_n")).join(count_of, keys)
+    return ranked.join(sizes, keys).withColumn("part", F.floor((F.col("_rank") - 1) * F.ceil(F.col("size") / longest) / F.col("_n")).cast("int")).drop("_one", "_block", "_rank", "_n", "size")
+
+
+def aligned(left: DataFrame, right: DataFrame, keys: list[str], matcher: Callable[[list[str], list[str]], list[list[int]]], longest: int = LONGEST) -> DataFrame:
+    """keys, l_pos, r_pos of the matches. left: keys, l_pos, l_norm; right: keys, r_pos, r_norm; clips in order of pos.
+
+    Clips with one side only have no matches; NULL norms are empty texts; an empty table gives an empty one.
+    """
+    size = left.groupBy(*keys).agg(F.count("*").alias("size"))
+    l_ = parts(left, keys, "l_pos", size, longest)
+    r_ = parts(right, keys, "r_pos", size, longest)
+
+    def run(key, a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
+        a, b = a.sort_values("l_pos"), b.sort_values("r_pos")
+        found = matcher(a["l_norm"].fillna("").tolist(), b["r_norm"].fillna("").tolist())
+        rows = [(*key[:-1], a["l_pos"].iloc[i], b["r_pos"].iloc[j]) for i, js in enumerate(found) for j in js]
+        return pd.DataFrame(rows, columns=[*keys, "l_pos", "r_pos"])
+
+    kinds = ", ".join(f"{k} {left.schema[k].dataType.simpleString()}" for k in keys)
+    return l_.groupBy(*keys, "part").cogroup(r_.groupBy(*keys, "part")).applyInPandas(run, f"{kinds}, l_pos int, r_pos int")
+
+
+def span_aligned(left: DataFrame, right: DataFrame, keys: list[str], longest: int = LONGEST, **options: float) -> DataFrame:
+    """J-10 by clip: keys, l_pos, tok_from, tok_to, cost. left: keys, l_pos, l_norm; right: keys, r_pos, r_norm (tokens)."""
+    size = left.groupBy(*keys).agg(F.count("*").alias("size"))
+    l_ = parts(left, keys, "l_pos", size, longest)
+    r_ = parts(right, keys, "r_pos", size, longest)
+
+    def run(key, a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
+        a, b = a.sort_values("l_pos"), b.sort_values("r_pos")
+        segments = [[w for w in (x or "").split() if w] for x in a["l_norm"]]
+        ends, costs = span_boundaries(segments, b["r_norm"].fillna("").tolist(), **options)
+        rows = [(*key[:-1], p, ends[i], ends[i + 1], costs[i]) for i, p in enumerate(a["l_pos"])]
+        return pd.DataFrame(rows, columns=[*keys, "l_pos", "tok_from", "tok_to", "cost"])
+
+    kinds = ", ".join(f"{k} {left.schema[k].dataType.simpleString()}" for k in keys)
+    return l_.groupBy(*keys, "part").cogroup(r_.groupBy(*keys, "part")).applyInPandas(run, f"{kinds}, l_pos int, tok_from int, tok_to int, cost double")
+
+
+def best_parameters(left: DataFrame, right: DataFrame, keys: list[str], grid: list[dict[str, float]]) -> DataFrame:
+    """A-08: for each clip the first of the parameter sets that leaves fewest segments without tokens."""
+    out = None
+    for k, options in enumerate(grid):
+        found = span_aligned(left, right, keys, **options).groupBy(*keys).agg(F.count_if(F.col("tok_to") == F.col("tok_from")).alias("unmatched"))
+        found = found.withColumn("param_no", F.lit(k))
+        out = found if out is None else out.unionByName(found)
+    best = F.min(F.struct("unmatched", "param_no")).alias("b")
+    return out.groupBy(*keys).agg(best).select(*keys, "b.unmatched", "b.param_no")

@@ -1,0 +1,12 @@
+"""Schemas of what is scanned and produced."""
+
+from __future__ import annotations
+
+AUDIO_CATALOG = "index string, original_name string, original_extension string, duration_sec double, mean_volume_dB double"
+INDEX_SEGMENT = "recording_id string, seg_no int, start string, trans boolean, cont string, prev int, text string, name string"
+TRANSCRIPT_RECORD = "id int, transcript string, max_speakers int, min_speakers int"
+SRT_SEGMENT = "recording_id string, seg_no int, srt_index int, start_code string, end_code string, start_ms bigint, end_ms bigint, speaker_tag string, text string, orig_lines array<string>"
+MANUAL_SEGMENT = "pos int, text string, is_dialect boolean"
+ALIGNED_FILE = "srt_file_names string, orig_whisper string, orig_transcript string, alignment string, alignment_clean string"
+PREDICTION = "path string, text string, duration_s double, model_id string, model_type string, language_code string"
+AUDIO = "path string, sample_rate int, channels int, num_samples bigint, duration_s double, mean_volume_db double, _error string"
