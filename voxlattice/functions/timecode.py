@@ -7,21 +7,25 @@ from pyspark.sql import functions as F
 
 BLANKS = r"[\s\u00A0\u1680\u2000-\u200B\u202F\u205F\u3000\uFEFF]"
 
+READABLE = r"^[0-9]{1,6}:[0-5]?[0-9]:[0-5]?[0-9][.,][0-9]{3}$"
+
 
 def code_ms(code: Column) -> Column:
     """Milliseconds of hours:minutes:seconds[.,]milliseconds, blanks anywhere allowed; NULL if it can't be read.
 
     Minutes and seconds must be below 60 and milliseconds have three digits. NULL and empty give NULL.
     """
-    s = F.regexp_replace(code, f"{BLANKS}+", "")
-    part = F.split(s, "[:.,]")
-    ms = (
-        part[0].cast("bigint") * 3_600_000
-        + part[1].cast("bigint") * 60_000
-        + part[2].cast("bigint") * 1000
-        + part[3].cast("bigint")
-    )
-    return F.when(s.rlike(r"^[0-9]{1,6}:[0-5]?[0-9]:[0-5]?[0-9][.,][0-9]{3}$"), ms)
+    # Most codes hold no blanks: for them nothing is replaced.
+    clean = F.regexp_replace(code, f"{BLANKS}+", "")
+    return F.when(code.rlike(READABLE), _parsed(code)).otherwise(F.when(clean.rlike(READABLE), _parsed(clean)))
+
+
+def _parsed(s: Column) -> Column:
+    """Milliseconds of a code that is known to be readable."""
+    last = F.substring_index(s, ":", -1)
+    part = (F.substring_index(s, ":", 1), F.substring_index(F.substring_index(s, ":", 2), ":", -1), F.substring(last, F.lit(1), F.length(last) - 4), F.substring(last, -3, 3))
+    h, m, sec, ms = (x.cast("bigint") for x in part)
+    return h * 3_600_000 + m * 60_000 + sec * 1000 + ms
 
 
 def code_seconds(code: Column) -> Column:
