@@ -112,7 +112,7 @@ def bracket_parts(text: Column) -> Column:
         F.filter(parts, lambda x: x != ""),
         lambda x: F.when(x.rlike(r"(?s)^\[.*\]$"), F.struct(strip(F.substring(x, 2, F.length(x) - 2)).alias("text"), F.lit(False).alias("is_dialect"))).otherwise(F.struct(x.alias("text"), F.lit(True).alias("is_dialect"))),
     )
-    note = lambda x: ~x["is_dialect"] & ((x["text"] == "") | x["text"].startswith("...") | x["text"].startswith("Соб."))
+    note = lambda x: ~x["is_dialect"] & ((x["text"] == "") | x["text"].startswith("…") | x["text"].startswith("Соб."))
     return F.filter(typed, lambda x: ~note(x))
 
 

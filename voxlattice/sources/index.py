@@ -18,7 +18,7 @@ _W = "{http://schemas.openxmlformats.org/wordprocessingml/2006/main}"
 
 def text_lines(spark: SparkSession, path: str, glob: str = "*.txt") -> DataFrame:
     """S-04: recording_id, line_no, line of every text file, in the order of the file."""
-    raw = spark.read.option("wholetext", True).option("pathGlobFilter", glob).text(path)
+    raw = spark.read.text(path, wholetext=True, pathGlobFilter=glob)
     name = F.regexp_replace(F.col("_metadata.file_name"), r"\.[^.]*$", "")
     return raw.select(name.alias("recording_id"), F.posexplode(F.split(F.regexp_replace("value", r"﻿", ""), r"\R")).alias("line_no", "line"))
 

@@ -18,7 +18,7 @@ def manifest_path(line: Column) -> Column:
 
 def read_manifest(spark: SparkSession, path: str) -> DataFrame:
     """pos, path of a manifest in its order, each path at its first place only (A-09)."""
-    raw = spark.read.option("wholetext", True).text(path)
+    raw = spark.read.text(path, wholetext=True)
     lines = raw.select(F.posexplode(F.split("value", r"\R")).alias("pos", "line")).select("pos", manifest_path(F.col("line")).alias("path"))
     return lines.where("path IS NOT NULL").groupBy("path").agg(F.min("pos").alias("pos")).select("pos", "path")
 

@@ -76,7 +76,7 @@ def parse_blocks(df: DataFrame, text: str, rules: Rules = MERGE) -> DataFrame:
 
 def scan_srt(spark: SparkSession, path: str, rules: Rules = MERGE) -> DataFrame:
     """S-13, S-14: all SRT files below a folder, with recording_id and seg_no from names like rec_1No7.srt."""
-    raw = spark.read.option("wholetext", True).option("recursiveFileLookup", True).option("pathGlobFilter", "*.srt").text(path)
+    raw = spark.read.text(path, wholetext=True, recursiveFileLookup=True, pathGlobFilter="*.srt")
     name = F.regexp_extract(F.col("_metadata.file_name"), r"^(.*)\.srt$", 1)
     named = raw.select(F.regexp_extract(name, r"^(.*)No([0-9]+)$", 1).alias("recording_id"), F.regexp_extract(name, r"^(.*)No([0-9]+)$", 2).try_cast("int").alias("seg_no"), F.col("value").alias("srt"))
     return parse_blocks(named, "srt", rules)
