@@ -19,6 +19,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 # Letters of one shape, in the order Latin, Cyrillic, Greek, Armenian; a hyphen where a script has none.
 SHAPES = """
@@ -172,7 +173,7 @@ def with_canonical(df: DataFrame, column: str, to: str, token: bool = False) ->
             made = pa.array([fix(x) for x in batch.column(at).to_pylist()], pa.string())
             yield pa.RecordBatch.from_arrays([*batch.columns, made], [*columns, "_canonical"])
 
-    schema = df.schema.add("_canonical", "string")
+    schema = StructType([*df.schema.fields, StructField("_canonical", StringType())])
     if not token:
         return df.mapInArrow(run, schema).withColumnRenamed("_canonical", to)
     stable = F.col(column).isNull() | F.col(column).rlike(STABLE_TOKEN)

@@ -60,7 +60,7 @@ def source_name(source: Column) -> Column:
 
 def _pieces(knots: Schedule) -> list[tuple[float, float, float, float, float, float]]:
     """(share of demand before, share after, t before, weight before, slope, area): the schedule with integral 1."""
-    knots = sorted(knots)
+    knots = sorted((float(t), float(w)) for t, w in knots)
     if len(knots) < 2 or knots[0][0] != 0 or knots[-1][0] != 1 or any(w < 0 for _, w in knots):
         raise ValueError("a schedule needs weights of 0 or more from t = 0 to t = 1")
     area = sum((b - a) * (v + w) / 2 for (a, v), (b, w) in zip(knots, knots[1:]))

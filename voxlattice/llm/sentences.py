@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from voxlattice.runtime import drop_stage, stage
 
 #: Cells that words on the left and on the right are hashed into, per language.
-LEFT, RIGHT = 16381, 65521
+LEFT, RIGHT = 8191, 65521
 #: Rounds of expectation maximisation.
 ROUNDS = 6
 #: Weight of what all words of a shape, or all words before a mark, do, in places of one word.
@@ -42,7 +42,8 @@ LANGUAGES = ("ru", "latin", "el", "hy", "ar", "hi", "th", "ja", "zh", "other")
 _SCRIPTS = (("ru", "Ѐ", "ӿ"), ("latin", "A", "ɏ"), ("el", "Ͱ", "Ͽ"), ("hy", "԰", "֏"), ("ar", "؀", "ۿ"), ("hi", "ऀ", "ॿ"), ("th", "฀", "๿"), ("ja", "぀", "ヿ"), ("zh", "一", "鿿"))
 BASES, CLOSERS, GAPS = (".", "!", "…", "。", " "), ("", "q", "p"), ("", " ", "\n")
 MARKS = {(b, c, g): i for i, (b, c, g) in enumerate((b, c, g) for b in BASES for c in CLOSERS for g in GAPS)}
-BASE_OF = np.array([BASES.index(b) for b, _, _ in MARKS])
+#: What the word before a mark is counted with: the mark and what closes after it, but not the gap.
+BASE_OF = np.array([BASES.index(b) * len(CLOSERS) + CLOSERS.index(c) for b, c, _ in MARKS])
 SHAPES = {s: i for i, s in enumerate(("U", "Xi", "l", "c", "num", "date", "dash", "QU", "Ql", "Qc", "other"))}
 
 # Marks that may end a sentence, and marks that open and close.
@@ -105,7 +106,7 @@ class Place:
         self.first = 0.5
 
 
-def _first_guess(base: str, closer: str, gap: str, short: bool, left: str, shape: str) -> float:
+def _first_guess(base: str, closer: str, gap: str, short: bool, left: str, shape: str, unspaced: bool) -> float:
     """Where expectation maximisation starts: what marks and letter case suggest."""
     if base == " ":
         return 0.95
@@ -118,10 +119,9 @@ def _first_guess(base: str, closer: str, gap: str, short: bool, left: str, shape
     if closer == "p":
         return 0.3
     caseless = shape in ("c", "Qc")
-    if base == "!":
-        return 0.75 if closer and caseless else 0.95
-    if base == "。":
-        return 0.75 if closer and caseless else 0.95
+    if base in ("!", "。"):
+        # After speech, scripts without spaces and letter case give no hint whether the author goes on.
+        return 0.95 if not (closer and caseless) else 0.5 if unspaced and gap != "\n" else 0.75
     if base == "…":
         return 0.5 if caseless else 0.85
     guess = 0.3 if left == "0" else 0.35 if short else 0.9
@@ -187,7 +187,7 @@ def places(text: str) -> list[Place]:
                     after_next = second.group() if second else ""
                 place.mark, place.left, place.shape = MARKS[base, closer, gap], _cell(word, LEFT), SHAPES[shape]
                 place.right, place.next = _cell(right, RIGHT), _cell(after_next, RIGHT)
-                place.first = _first_guess(base, closer, gap, short, word, shape)
+                place.first = _first_guess(base, closer, gap, short, word, shape, lang in _UNSPACED)
         out.append(place)
         last_place = end
         if place.sure == 1:
@@ -262,7 +262,7 @@ class Model:
     def __init__(self):
         k = len(LANGUAGES)
         self.mark = np.zeros((k, len(MARKS), 2), np.float32)
-        self.left = np.zeros((k, len(BASES), LEFT, 2), np.float32)
+        self.left = np.zeros((k, len(BASES) * len(CLOSERS), LEFT, 2), np.float32)
         self.right = np.zeros((k, RIGHT, 2), np.float32)
         self.next = np.zeros((k, RIGHT, 2), np.float32)
         self.shape = np.zeros((k, len(SHAPES), 2), np.float32)

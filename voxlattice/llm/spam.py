@@ -31,7 +31,7 @@ FLOOR = (0.06, 0.045, 0.05, 0.06, 0.07)
 LIMIT = 20.52
 #: Rounds of re-estimation, and the share of windows nearest to the centre that each takes.
 ROUNDS, KEPT = 3, 0.75
-#: A language's scatter is drawn to that of all languages as if this many windows of them were its own.
+#: A language's centre and scatter are drawn to those of all languages as if this many windows of them were its own.
 SHRINK = 200
 
 # Frequent words of the closed classes, by language.
@@ -84,9 +84,9 @@ def windows(text: str, window: int = WINDOW) -> tuple[str, np.ndarray, np.ndarra
     n = len(found)
     if n == 0:
         return "other", np.zeros(0, np.int64), np.zeros((0, len(FEATURES)))
-    lang = language(low)
     words = [m.group() for m in found]
     kinds = [m.lastgroup for m in found]
+    lang = language(" ".join(w for w, k in zip(words, kinds) if k is None))
     own = _SETS.get(lang, frozenset())
     start = np.fromiter((m.start() for m in found), np.int64, n)
     size = np.diff(np.append(start, len(low)))
@@ -186,9 +186,10 @@ def robust_scatter(x: DataFrame) -> dict[str, tuple[np.ndarray, np.ndarray]]:
         cut = F.create_map(*[F.lit(v) for kv in limits.items() for v in kv])
         found = _moments(near, F.col("distance") <= cut[F.col("language")])
         total = sum(n for n, _, _ in found.values())
-        pooled = sum(n * c for n, _, c in found.values()) / total
+        pooled, centre = sum(n * c for n, _, c in found.values()) / total, sum(n * m for n, m, _ in found.values()) / total
         for lang, (n, mean, cov) in found.items():
             own = (n * cov + SHRINK * pooled) / (n + SHRINK)
+            mean = (n * mean + SHRINK * centre) / (n + SHRINK)
             # The nearest KEPT of a normal sample have less spread than the whole: for 5 features and 3/4, by about 1.9.
             scatter[lang] = (mean, 1.9 * own + np.diag(floor**2))
     assert all(c.shape == (p, p) for _, c in scatter.values())
