@@ -135,13 +135,41 @@ def p2_descendants(spark: SparkSession, sf: str) -> DataFrame:
     return hierarchy.descendants(tree, "recording_id", "seg_no")
 
 
-@query("p4_found")
+def _fields_sql(d: str) -> str:
+    """Five fields of a line, quoted or bare, as groups."""
+    return d.join([rf'("(?:[^"]|"")*"|[^"{d}]*)'] * 5)
+
+
+def _sound_sql(d: str) -> str:
+    field = rf'(?:"(?:[^"]|"")*"|[^"{d}]*)'
+    return f"{field}(?:{d}{field})*"
+
+
+def _rows_sql(rest: str) -> str:
+    """Lines with their reason and unquoted fields, then what is to be told of them."""
+    field = lambda i: rf"""CASE WHEN starts_with(regexp_extract(s, p, {i}), '"') THEN replace(substr(regexp_extract(s, p, {i}), 2, length(regexp_extract(s, p, {i})) - 2), '""', '"') ELSE regexp_extract(s, p, {i}) END AS f{i}"""
+    clock = "[0-9]{2}:[0-5][0-9]:[0-5][0-9][.,][0-9]{3}"
+    return rf"""WITH l AS (SELECT line_id, lower(coalesce(file_format, '')) = 'tsv' AS tsv, regexp_replace(raw_line, '\r$', '') AS s FROM raw_segment_rows),
+k AS (SELECT line_id, s, CASE WHEN tsv THEN '(?s)^{_fields_sql(chr(9))}$' ELSE '(?s)^{_fields_sql(",")}$' END AS p,
+  CASE WHEN tsv THEN regexp_full_match(s, '(?s){_sound_sql(chr(9))}') ELSE regexp_full_match(s, '(?s){_sound_sql(",")}') END AS sound FROM l),
+f AS (SELECT line_id, sound, s IS NOT NULL AND regexp_matches(s, p) AS five, {", ".join(map(field, range(1, 6)))} FROM k),
+r AS (SELECT *, CASE WHEN NOT sound THEN 'quoting' WHEN NOT five THEN 'columns'
+  WHEN NOT regexp_full_match(f1, '[ \t\x{{00A0}}]*[0-9]+[ \t\x{{00A0}}]*') OR CAST(regexp_extract(f1, '[0-9]+', 0) AS HUGEINT) > 2147483647 THEN 'index'
+  WHEN NOT regexp_full_match(f2, '{clock}') THEN 'start' WHEN NOT regexp_full_match(f3, '{clock}') THEN 'end'
+  WHEN {ms_sql('f3')} <= {ms_sql('f2')} THEN 'order' WHEN NOT regexp_matches(f5, '[^\p{{Z}}\p{{C}}\x{{034F}}\x{{115F}}\x{{1160}}\x{{2800}}\x{{3164}}\x{{FFA0}}\x{{FE00}}-\x{{FE0F}}]') THEN 'text' END AS reason FROM f)
+{rest}"""
+
+
+@query("p4_found", _rows_sql("SELECT line_id, reason FROM r WHERE reason IS NOT NULL"))
 def p4_found(spark: SparkSession, sf: str) -> DataFrame:
     """Lines that can't be loaded, with the reason."""
     return bad_rows.split_rows(read_table(spark, sf, "raw_segment_rows"))[1].select("line_id", "reason")
 
 
-@query("p4_loaded")
+@query(
+    "p4_loaded",
+    _rows_sql(f"SELECT line_id, CAST(regexp_extract(f1, '[0-9]+', 0) AS INT) AS srt_index, {ms_sql('f2')} AS start_ms, {ms_sql('f3')} AS end_ms, nullif(f4, '') AS speaker, f5 AS seg_text FROM r WHERE reason IS NULL"),
+)
 def p4_loaded(spark: SparkSession, sf: str) -> DataFrame:
     """Lines that load, with typed fields."""
     return bad_rows.split_rows(read_table(spark, sf, "raw_segment_rows"))[0]
