@@ -251,3 +251,16 @@ def test_audio(spark, tmp_path):
     assert said["text"].startswith("16000 samples") and said.model_type == "stub"
     with pytest.raises(ValueError):
         recognise.Settings("m", "t", dtype="int8").checked()
+
+
+def test_stages_are_written_once_and_released(spark):
+    from voxlattice import runtime
+
+    kept = runtime.stage(spark.range(5).toDF("x"))
+    gone = runtime.stage(spark.range(5).toDF("x"))
+    runtime.drop_stage(gone)
+    assert kept.count() == 5 and gone._voxlattice_path not in runtime._STAGED
+    runtime.release(spark)
+    assert runtime._STAGED == []
+    assert runtime.fresh(kept, "x", "y", "Y") == ["_x", "y", "_Y"]
+    assert runtime.broadcast_if_small(spark.range(9).toDF("x"), 3).count() == 9

@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 
 #: A side is broadcast only if it has been counted and is no larger than this.
 BROADCAST_MAX_ROWS = 200_000
+#: Paths of the tables that stage() has written and nobody has deleted.
+_STAGED: list[str] = []
 
 
 def local_session(cores: str = "8", shuffle_partitions: int = 8) -> SparkSession:
@@ -46,17 +48,28 @@ def stage(df: DataFrame) -> DataFrame:
     df.write.parquet(path)
     read = spark.read.schema(df.schema).parquet(path)
     read._voxlattice_path = path
+    _STAGED.append(path)
     return read
 
 
+def _delete(spark: SparkSession, path: str) -> None:
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+    if path in _STAGED:
+        _STAGED.remove(path)
+
+
 def drop_stage(df: DataFrame) -> None:
     """Delete the table behind a DataFrame made by stage(); nothing may read it afterwards."""
     path = getattr(df, "_voxlattice_path", None)
-    if path is None:
-        return
-    jvm = df.sparkSession.sparkContext._jvm
-    at = jvm.org.apache.hadoop.fs.Path(path)
-    at.getFileSystem(df.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+    if path is not None:
+        _delete(df.sparkSession, path)
+
+
+def release(spark: SparkSession) -> None:
+    """Delete all tables that stage() has written, once the results that read them have been written themselves."""
+    for path in list(_STAGED):
+        _delete(spark, path)
 
 
 def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
