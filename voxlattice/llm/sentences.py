@@ -379,6 +379,7 @@ def fit(texts: DataFrame, text: str = "text", rounds: int = ROUNDS) -> Model:
                 yield pa.RecordBatch.from_arrays([*b.columns, pa.array((p * x["n"]).astype(np.float64))], [*b.schema.names, "b"])
 
         guessed = stage(kinds.mapInArrow(expect, _TUPLE + ", n bigint, b double"))
+        sent.unpersist()
         new = Model()
         both = [F.sum(F.col("n") - F.col("b")).alias("none"), F.sum("b").alias("b")]
         base = F.array(*[F.lit(int(i)) for i in BASE_OF])[F.col("mark")]
