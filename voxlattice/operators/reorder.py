@@ -27,8 +27,8 @@ def tfidf_cosine(docs: DataFrame, file: str, side: str, pos: str, text: str, fea
     """M-05, first part: file, i, j, cosine of TF-IDF vectors of character 3- to 5-grams of texts of side 0 and 1.
 
     Weights are count * (ln((1 + N) / (1 + df)) + 1) over both sides of the file, vectors have length 1. Pairs
-    without a common gram are left out. Grams beyond the `features` most frequent of a file are dropped (ties by
-    gram), as the operator's definition says; the join is on the gram, so it spreads over the cluster.
+    without a common gram are left out. Grams beyond the `features` most frequent of a file are dropped (those
+    as frequent as the last of them stay); the join is on the gram, so it spreads over the cluster.
     """
     grams = char_grams(docs, [file, side, pos], text)
     number = docs.groupBy(file).agg(F.count("*").alias("docs"))
