@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 BLANKS = r"[\s\u00A0\u1680\u2000-\u200B\u202F\u205F\u3000\uFEFF]"
 
-READABLE = r"^[0-9]{1,6}:[0-5]?[0-9]:[0-5]?[0-9][.,][0-9]{3}$"
+#: Ends with \z, as Java's $ also matches before a final line break.
+READABLE = r"^[0-9]{1,6}:[0-5]?[0-9]:[0-5]?[0-9][.,][0-9]{3}\z"
 
 
 def code_ms(code: Column) -> Column:
@@ -24,7 +25,7 @@ def _parsed(s: Column) -> Column:
     """Milliseconds of a code that is known to be readable."""
     last = F.substring_index(s, ":", -1)
     part = (F.substring_index(s, ":", 1), F.substring_index(F.substring_index(s, ":", 2), ":", -1), F.substring(last, F.lit(1), F.length(last) - 4), F.substring(last, -3, 3))
-    h, m, sec, ms = (x.cast("bigint") for x in part)
+    h, m, sec, ms = (x.try_cast("bigint") for x in part)
     return h * 3_600_000 + m * 60_000 + sec * 1000 + ms
 
 

@@ -101,8 +101,8 @@ STABLE_CYRL = rf"[А-Яа-яЁё{_MARKS}]*[{_CYRL_ONLY}][А-Яа-яЁё{_MARKS}]
 STABLE_LATN = rf"[A-Za-z{_MARKS}]*[{_LATN_ONLY}][A-Za-z{_MARKS}]*"
 STABLE_REST = rf"[{_MARKS}]+|[ء-ي٠-٩،؟{_MARKS}]+|[ก-ะา-๎{_MARKS}]+|[ぁ-ゖァ-ヺー一-鿿。、「」，：？！{_MARKS}]+"
 _STABLE = re.compile(f"(?:{STABLE_CYRL}|{STABLE_LATN}|{STABLE_REST})")
-#: The same check for tokens in Java's syntax.
-STABLE_TOKEN = rf"^(?:{STABLE_CYRL}|{STABLE_LATN}|[{_MARKS}]*)$"
+#: The same check for tokens in Java's syntax, in which $ also matches before a final line break.
+STABLE_TOKEN = rf"^(?:{STABLE_CYRL}|{STABLE_LATN}|[{_MARKS}]*)\z"
 
 
 def _shape(word: str) -> str:
