@@ -5,9 +5,45 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from voxlattice.functions.timecode import code_ms
+from voxlattice.plans import pipeline
 
 
 def test_codes_that_end_in_a_line_break(spark):
     codes = ["00:00:01,345\n", "00:00:01.345\r\n", "00:00:01,345\u2003", "00:00:01,345", "\n00:00:01,345", "00:00:01,34\n5", "00:00:01,34\n", "00:00:61,345\n"]
     df = spark.createDataFrame(list(enumerate(codes)), "i int, x string")
     assert [r.y for r in df.select("i", code_ms(F.col("x")).alias("y")).orderBy("i").collect()] == [1345] * 6 + [None] * 2
+
+
+def saved(spark, folder, **tables):
+    """The tables as queries read them."""
+    for name, (rows, kinds) in tables.items():
+        spark.createDataFrame(rows, kinds).withColumn("loaded_at", F.lit("2024-01-01").cast("timestamp")).write.parquet(f"{folder}/{name}.parquet")
+    return str(folder)
+
+
+SRT = "recording_id string, seg_file_no int, srt_index int, start_code string, end_code string, speaker_tag string, text string"
+MANUAL = "recording_id string, seg_no int, pos int, text string, is_dialect boolean"
+
+
+def edits(a, b):
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        last, row[0] = row[0], i
+        for j, y in enumerate(b, 1):
+            last, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, last + (x != y))
+    return row[-1]
+
+
+def test_edit_matches_of_all_lines_against_brute_force(spark, tmp_path):
+    made = ["они пошли « домой »", "♪ песня", "кафе\u0301 утро\u0306", "вот так", "naïve word", "да", ""]
+    heard = ["они пошли домой", "они пошли « домой", "♪ песня ♪", "песня", "кафе утро\u0306", "вот так", "naïve words", "да ☺", None]
+    sf = saved(spark, tmp_path, manual_segments=([("r", 1, i, x, True) for i, x in enumerate(made)], MANUAL), srt_segments=([("r", 1, i, None, None, None, x) for i, x in enumerate(heard)], SRT))
+    a, b = pipeline._sides(spark, sf)
+    left, right = {r.l_pos: r.l_norm for r in a.collect()}, {r.r_pos: r.r_norm for r in b.collect()}
+    want = {}
+    for i, x in left.items():
+        sim, j = max((1 - edits(x, y) / max(len(x), len(y)), -j) for j, y in right.items())
+        if sim >= 0.5:
+            want[i] = (-j, round(sim, 9))
+    got = {r.l_pos: (r.r_pos, r.sim) for r in pipeline.edit_matches(spark, sf).collect()}
+    assert got == want and len(got) == 6

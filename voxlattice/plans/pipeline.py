@@ -309,10 +309,13 @@ p AS (SELECT recording_id, seg_no, l_pos, r_pos, 1 - levenshtein(translate(l_nor
 SELECT recording_id, seg_no, l_pos, first(r_pos ORDER BY sim DESC, r_pos) AS r_pos, round(max(sim), 9) AS sim FROM p WHERE sim >= 0.5 GROUP BY ALL""",
 )
 def edit_matches(spark: SparkSession, sf: str) -> DataFrame:
-    """J-06, M-02, O-06, F-12: the most similar recognised line of each hand-made one by edit distance."""
+    """J-06, M-02, O-06, F-12: the most similar recognised line of each hand-made one by edit distance.
+
+    All lines are matched. The SQL takes only those of Russian letters and printable ASCII, as DuckDB's levenshtein
+    counts bytes, so it gives fewer rows.
+    """
     a, b = _sides(spark, sf)
-    plain = lambda c: F.translate(c, _LETTERS, "").rlike("[^ -~]")
-    found = segments.best_matches(a.where(~plain("l_norm")), b.where(~plain("r_norm")), ["recording_id", "seg_no"], 0.5)
+    found = segments.best_matches(a, b, ["recording_id", "seg_no"], 0.5)
     return found.withColumn("sim", F.round("sim", 9))
 
 
