@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import random
+
+import pytest
 from pyspark.sql import functions as F
 
 from voxlattice.functions.timecode import code_ms
+from voxlattice.operators import alignment
 from voxlattice.plans import pipeline
 
 
@@ -47,3 +51,50 @@ def test_edit_matches_of_all_lines_against_brute_force(spark, tmp_path):
             want[i] = (-j, round(sim, 9))
     got = {r.l_pos: (r.r_pos, r.sim) for r in pipeline.edit_matches(spark, sf).collect()}
     assert got == want and len(got) == 6
+
+
+def test_a_clip_is_aligned_across_any_place(spark):
+    """Long before 2,000 segments the old parts lost what lay across their border, and counted tokens from it."""
+    n = 2_100
+    tokens = [("r", 1, i, f"слово{i}") for i in range(n + 300)]
+    lines = [("r", 1, i, f"слово{i + 300}" if i >= 1_000 else "нет") for i in range(n)]
+    left, right = spark.createDataFrame(lines, "recording_id string, seg_no int, l_pos int, l_norm string"), spark.createDataFrame(tokens, "recording_id string, seg_no int, r_pos int, r_norm string")
+    tail = spark.createDataFrame([("r", 1, i, f"слово{i}") for i in range(n)], "recording_id string, seg_no int, l_pos int, l_norm string")
+    rows = alignment.span_aligned(tail, right.where(f"r_pos < {n}"), ["recording_id", "seg_no"]).orderBy("l_pos").collect()
+    assert [(r.tok_from, r.tok_to) for r in rows] == [(i, i + 1) for i in range(n)]
+    met = alignment.aligned(tail, right, ["recording_id", "seg_no"], lambda a, b: [[b.index(x)] if x in b else [] for x in a]).collect()
+    assert sorted((r.l_pos, r.r_pos) for r in met) == [(i, i) for i in range(n)]
+    far = alignment.aligned(left, right, ["recording_id", "seg_no"], lambda a, b: [[b.index(x)] if x in b else [] for x in a]).collect()
+    assert sorted((r.l_pos, r.r_pos) for r in far) == [(i, i + 300) for i in range(1_000, n)]
+
+
+def plain_boundaries(segments, tokens, skip, least, longest, length_cost):
+    """The whole table, as the reference fills it."""
+    n, m = len(segments), len(tokens)
+    best, came = [[float("inf")] * (m + 1) for _ in range(n + 1)], [[0] * (m + 1) for _ in range(n + 1)]
+    best[0][0] = 0.0
+    for i in range(1, n + 1):
+        own = set(segments[i - 1])
+        for j in range(m + 1):
+            best[i][j], came[i][j] = best[i - 1][j] + skip, j
+            for k in range(1, min(longest, j) + 1):
+                seen = set(tokens[j - k : j])
+                similar = 2 * len(own & seen) / (len(own) + len(seen))
+                if own and similar >= least and (total := best[i - 1][j - k] + ((1 - similar) + length_cost * k)) < best[i][j]:
+                    best[i][j], came[i][j] = total, j - k
+    ends = [min(range(m + 1), key=lambda j: best[n][j])]
+    for i in range(n, 0, -1):
+        ends.append(came[i][ends[-1]])
+    ends.reverse()
+    return ends, [best[i][ends[i]] for i in range(1, n + 1)]
+
+
+@pytest.mark.parametrize("whole", [0, alignment.WHOLE_TABLE])
+def test_span_boundaries_equal_the_whole_table(monkeypatch, whole):
+    monkeypatch.setattr(alignment, "WHOLE_TABLE", whole)
+    rng = random.Random(7)
+    for _ in range(150):
+        segments = [[rng.choice("abcdefg") for _ in range(rng.randrange(5))] for _ in range(rng.randrange(12))]
+        tokens = [rng.choice(["", *"abcdefgh"]) for _ in range(rng.randrange(30))]
+        options = {"skip": rng.choice([0.5, 0.8, 1.0]), "least": rng.choice([0.2, 0.3, 0.4]), "longest": rng.choice([3, 15, 25]), "length_cost": rng.choice([0.01, 0.02, 0.05])}
+        assert alignment.span_boundaries(segments, tokens, **options) == plain_boundaries(segments, tokens, **options)

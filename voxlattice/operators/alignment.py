@@ -1,12 +1,14 @@
 """Sequential alignment of recognised segments with a transcript's sentences or tokens.
 
-The matchers are ordered by nature, so each clip goes to one task; parts() cuts clips of any length into parts of
-bounded size first, both sides in proportion, so that no task takes an unbounded group.
+The matchers are ordered by nature and a clip may be cut nowhere without losing matches across the cut, so each clip
+goes whole to one task. What a task holds grows with the lines and tokens of its clip; of a large table the
+dynamic programme keeps about 2 * sqrt(segments) rows and computes the others again on the way back.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -14,11 +16,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from voxlattice.functions.similarity import partial_ratio, token_set_ratio
-from voxlattice.operators.ordered import blocked_scan
-
-#: Segments of a clip that one task aligns.
-LONGEST = 2000
 
+#: Spans of a clip whose similarities best_parameters() keeps in memory, 8 bytes each.
+KEPT_SPANS = 25_000_000
+#: Places of a table of the dynamic programme that is kept whole, 12 bytes each.
+WHOLE_TABLE = 10_000_000
 
 def greedy_run(source: list[str], target: list[str], direct: tuple[float, float] = (75, 80), ahead: tuple[float, float] = (90, 90), retry: int = 5) -> list[list[int]]:
     """J-08: for each source sentence the positions of its target sentences.
@@ -81,105 +83,149 @@ def greedy_pointer(source: list[str], target: list[str], least: tuple[float, flo
     return out
 
 
-def span_costs(segments: list[list[str]], tokens: list[str], least: float = 0.3, longest: int = 25, length_cost: float = 0.02) -> list[np.ndarray]:
-    """For each segment an array [start, length - 1] of the cost of taking that span of tokens, inf where it can't.
+def span_similarities(segments: list[list[str]], tokens: list[str], longest: int = 25) -> Callable[[int], tuple[np.ndarray, np.ndarray]]:
+    """A function that gives for a segment the starts near a token it shares, and [start, length - 1] of the similarity of
+    those spans, -inf where a span goes beyond the end. All other spans share no token.
 
-    Overlaps grow with the span, so each start is one pass over at most `longest` tokens.
+    Which tokens of a span repeat earlier ones depends on the tokens only and is found once.
     """
-    out = []
-    n = len(tokens)
-    for words in segments:
-        own = set(words)
-        cost = np.full((n, longest), np.inf)
-        if own:
-            for a in range(n):
-                seen: set[str] = set()
-                shared = 0
-                for k in range(min(longest, n - a)):
-                    t = tokens[a + k]
-                    if t not in seen:
-                        seen.add(t)
-                        shared += t in own
-                    similar = 2 * shared / (len(own) + len(seen))
-                    if similar >= least:
-                        cost[a, k] = (1 - similar) + length_cost * (k + 1)
-        out.append(cost)
-    return out
-
-
-def span_boundaries(segments: list[list[str]], tokens: list[str], skip: float = 0.8, least: float = 0.3, shortest: int = 1, longest: int = 25, length_cost: float = 0.02) -> tuple[list[int], list[float]]:
+    m, known = len(tokens), {}
+    ids = np.array([known.setdefault(t, len(known)) for t in tokens], dtype=np.int64)
+    last, places = np.full(m, -1, dtype=np.int64), {}
+    for j, t in enumerate(ids.tolist()):
+        if t in places:
+            last[j] = places[t][-1]
+        places.setdefault(t, []).append(j)
+    at = {t: np.array(js) for t, js in places.items()}
+    lengths = np.arange(longest)
+
+    def of(i: int) -> tuple[np.ndarray, np.ndarray]:
+        own = set(segments[i])
+        shared_at = [at[known[w]] for w in own if w in known]
+        if not shared_at:
+            return np.zeros(0, dtype=np.int64), np.zeros((0, longest))
+        is_shared, near = np.zeros(m, dtype=bool), np.zeros(m + 1, dtype=np.int64)
+        for js in shared_at:
+            is_shared[js] = True
+            np.add.at(near, np.maximum(js - longest + 1, 0), 1)
+            np.add.at(near, js + 1, -1)
+        starts = np.flatnonzero(near.cumsum()[:m])
+        ends = starts[:, None] + lengths
+        inside = ends < m
+        ends = np.minimum(ends, m - 1)
+        new = (last[ends] < starts[:, None]) & inside
+        shared, seen = (new & is_shared[ends]).cumsum(axis=1), new.cumsum(axis=1)
+        return starts, np.where(inside, 2 * shared / (len(own) + seen), -np.inf)
+
+    return of
+
+
+def span_boundaries(
+    segments: list[list[str]], tokens: list[str], skip: float = 0.8, least: float = 0.3, shortest: int = 1, longest: int = 25, length_cost: float = 0.02, similar: Callable[[int], tuple[np.ndarray, np.ndarray]] | None = None,
+) -> tuple[list[int], list[float]]:
     """J-10: boundaries (one more than segments) of the cheapest monotone alignment, and the cumulative costs.
 
     A segment either takes no token at the cost `skip`, or the span of up to `longest` tokens that follows. Equal
-    costs prefer skipping, then the shorter span; tokens may stay over only at the end.
+    costs prefer skipping, then the shorter span; tokens may stay over only at the end. similar: span_similarities()
+    of the same segments, tokens and longest, if they are at hand. Of a table beyond WHOLE_TABLE every sqrt(segments)-th row
+    is kept; the rows between two of them are computed again on the way back.
     """
     n, m = len(segments), len(tokens)
-    best = np.full((n + 1, m + 1), np.inf)
-    came = np.zeros((n + 1, m + 1), int)
-    best[0, 0] = 0.0
-    for i, cost in enumerate(span_costs(segments, tokens, least, longest, length_cost), 1):
-        best[i], came[i] = best[i - 1] + skip, np.arange(m + 1)
+    similar = similar or span_similarities(segments, tokens, longest)
+
+    def step(before: np.ndarray, i: int) -> tuple[np.ndarray, np.ndarray]:
+        """The row of segment i from the one before, and the length that each place took."""
+        row, took = before + skip, np.zeros(m + 1, dtype=np.int32)
+        starts, sims = similar(i)
+        enough = (sims >= least) & np.isfinite(sims)
         for length in range(shortest, min(longest, m) + 1):
-            total = best[i - 1, : m + 1 - length] + cost[: m + 1 - length, length - 1]
-            better = total < best[i, length:]
-            best[i, length:][better] = total[better]
-            came[i, length:][better] = np.arange(m + 1 - length)[better]
-    ends = [int(best[n].argmin())]
-    for i in range(n, 0, -1):
-        ends.append(int(came[i, ends[-1]]))
-    ends.reverse()
-    return ends, [float(best[i, ends[i]]) for i in range(1, n + 1)]
+            able = enough[:, length - 1]
+            if not able.any():
+                continue
+            a, s = starts[able], sims[able, length - 1]
+            total = before[a] + ((1 - s) + length_cost * length)
+            better = total < row[a + length]
+            row[a[better] + length], took[a[better] + length] = total[better], length
+        return row, took
+
+    every = n if n * (m + 1) <= WHOLE_TABLE else int(n**0.5)
+    row = np.full(m + 1, np.inf)
+    row[0] = 0.0
+    kept, part = {0: row}, [(row, None)]
+    for i in range(n):
+        if i and i % every == 0:
+            kept[i], part = row, [(row, None)]
+        part.append(step(row, i))
+        row = part[-1][0]
+    ends, costs = [int(row.argmin())], []
+    for first in sorted(kept if n else (), reverse=True):
+        if len(ends) > 1:
+            part = [(kept[first], None)]
+            for i in range(first, first + every):
+                part.append(step(part[-1][0], i))
+        for row, took in part[:0:-1]:
+            costs.append(float(row[ends[-1]]))
+            ends.append(ends[-1] - int(took[ends[-1]]))
+    return ends[::-1], costs[::-1]
+
+
+def _by_clip(left: DataFrame, right: DataFrame, keys: list[str], run: Callable, made: str) -> DataFrame:
+    """run() on the two sides of each clip, in order of their places. Rows with NULL in keys or place are left out."""
+    known = lambda df, pos: df.where(" AND ".join(f"`{c}` IS NOT NULL" for c in [*keys, pos]))
+    kinds = ", ".join(f"{k} {left.schema[k].dataType.simpleString()}" for k in keys)
 
+    def both(key, a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
+        a, b = a.sort_values("l_pos"), b.sort_values("r_pos")
+        rows = [(*key, *x) for x in run(a["l_pos"].tolist(), a["l_norm"].fillna("").tolist(), b["r_pos"].tolist(), b["r_norm"].fillna("").tolist())]
+        return pd.DataFrame(rows, columns=[*keys, *[x.split()[0] for x in made.split(", ")]])
 
-def parts(df: DataFrame, keys: list[str], order: str, count_of: DataFrame, longest: int = LONGEST) -> DataFrame:
-    """df with `part`: which of ceil(size / longest) equal parts of its clip a row is in. count_of: keys, size."""
-    ranked = blocked_scan(df.withColumn("_one", F.lit(1)).withColumn("_block", F.floor(F.col(order) / 4096)), keys, "_block", order, sums={"_rank": "_one"})
-    sizes = df.groupBy(*keys).agg(F.count("*").alias("_n")).join(count_of, keys)
-    return ranked.join(sizes, keys).withColumn("part", F.floor((F.col("_rank") - 1) * F.ceil(F.col("size") / longest) / F.col("_n")).cast("int")).drop("_one", "_block", "_rank", "_n", "size")
+    return known(left, "l_pos").groupBy(*keys).cogroup(known(right, "r_pos").groupBy(*keys)).applyInPandas(both, f"{kinds}, {made}")
 
 
-def aligned(left: DataFrame, right: DataFrame, keys: list[str], matcher: Callable[[list[str], list[str]], list[list[int]]], longest: int = LONGEST) -> DataFrame:
+def aligned(left: DataFrame, right: DataFrame, keys: list[str], matcher: Callable[[list[str], list[str]], list[list[int]]]) -> DataFrame:
     """keys, l_pos, r_pos of the matches. left: keys, l_pos, l_norm; right: keys, r_pos, r_norm; clips in order of pos.
 
     Clips with one side only have no matches; NULL norms are empty texts; an empty table gives an empty one.
     """
-    size = left.groupBy(*keys).agg(F.count("*").alias("size"))
-    l_ = parts(left, keys, "l_pos", size, longest)
-    r_ = parts(right, keys, "r_pos", size, longest)
 
-    def run(key, a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
-        a, b = a.sort_values("l_pos"), b.sort_values("r_pos")
-        found = matcher(a["l_norm"].fillna("").tolist(), b["r_norm"].fillna("").tolist())
-        rows = [(*key[:-1], a["l_pos"].iloc[i], b["r_pos"].iloc[j]) for i, js in enumerate(found) for j in js]
-        return pd.DataFrame(rows, columns=[*keys, "l_pos", "r_pos"])
+    def run(l_pos: list[int], l_norm: list[str], r_pos: list[int], r_norm: list[str]) -> Iterator[tuple]:
+        return ((l_pos[i], r_pos[j]) for i, js in enumerate(matcher(l_norm, r_norm)) for j in js)
 
-    kinds = ", ".join(f"{k} {left.schema[k].dataType.simpleString()}" for k in keys)
-    return l_.groupBy(*keys, "part").cogroup(r_.groupBy(*keys, "part")).applyInPandas(run, f"{kinds}, l_pos int, r_pos int")
+    return _by_clip(left, right, keys, run, "l_pos int, r_pos int")
 
 
-def span_aligned(left: DataFrame, right: DataFrame, keys: list[str], longest: int = LONGEST, **options: float) -> DataFrame:
-    """J-10 by clip: keys, l_pos, tok_from, tok_to, cost. left: keys, l_pos, l_norm; right: keys, r_pos, r_norm (tokens)."""
-    size = left.groupBy(*keys).agg(F.count("*").alias("size"))
-    l_ = parts(left, keys, "l_pos", size, longest)
-    r_ = parts(right, keys, "r_pos", size, longest)
+def span_aligned(left: DataFrame, right: DataFrame, keys: list[str], **options: float) -> DataFrame:
+    """J-10 by clip: keys, l_pos, tok_from, tok_to, cost. left: keys, l_pos, l_norm; right: keys, r_pos, r_norm (tokens).
 
-    def run(key, a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
-        a, b = a.sort_values("l_pos"), b.sort_values("r_pos")
-        segments = [[w for w in (x or "").split() if w] for x in a["l_norm"]]
-        ends, costs = span_boundaries(segments, b["r_norm"].fillna("").tolist(), **options)
-        rows = [(*key[:-1], p, ends[i], ends[i + 1], costs[i]) for i, p in enumerate(a["l_pos"])]
-        return pd.DataFrame(rows, columns=[*keys, "l_pos", "tok_from", "tok_to", "cost"])
+    tok_from and tok_to count from the clip's first token.
+    """
 
-    kinds = ", ".join(f"{k} {left.schema[k].dataType.simpleString()}" for k in keys)
-    return l_.groupBy(*keys, "part").cogroup(r_.groupBy(*keys, "part")).applyInPandas(run, f"{kinds}, l_pos int, tok_from int, tok_to int, cost double")
+    def run(l_pos: list[int], l_norm: list[str], _: list[int], tokens: list[str]) -> Iterator[tuple]:
+        ends, costs = span_boundaries([x.split() for x in l_norm], tokens, **options)
+        return ((p, ends[i], ends[i + 1], costs[i]) for i, p in enumerate(l_pos))
+
+    return _by_clip(left, right, keys, run, "l_pos int, tok_from int, tok_to int, cost double")
 
 
 def best_parameters(left: DataFrame, right: DataFrame, keys: list[str], grid: list[dict[str, float]]) -> DataFrame:
-    """A-08: for each clip the first of the parameter sets that leaves fewest segments without tokens."""
-    out = None
-    for k, options in enumerate(grid):
-        found = span_aligned(left, right, keys, **options).groupBy(*keys).agg(F.count_if(F.col("tok_to") == F.col("tok_from")).alias("unmatched"))
-        found = found.withColumn("param_no", F.lit(k))
-        out = found if out is None else out.unionByName(found)
-    best = F.min(F.struct("unmatched", "param_no")).alias("b")
-    return out.groupBy(*keys).agg(best).select(*keys, "b.unmatched", "b.param_no")
+    """A-08: for each clip the first of the parameter sets that leaves fewest segments without tokens.
+
+    The options of a set are those of span_boundaries(). Similarities are kept for all sets of a clip while they are
+    few enough, and computed again for each set else.
+    """
+
+    def run(l_pos: list[int], l_norm: list[str], _: list[int], tokens: list[str]) -> list[tuple]:
+        segments = [x.split() for x in l_norm]
+        if not segments:
+            return []
+        found, shared = [], {}
+        for k, options in enumerate(grid):
+            longest = int(options.get("longest", 25))
+            if longest not in shared:
+                of = span_similarities(segments, tokens, longest)
+                shared[longest] = lru_cache(maxsize=max(1, KEPT_SPANS // max(1, len(tokens) * longest)))(of)
+            ends, _ = span_boundaries(segments, tokens, **options, similar=shared[longest])
+            found.append((sum(a == b for a, b in zip(ends, ends[1:])), k))
+        return [min(found)]
+
+    return _by_clip(left, right, keys, run, "unmatched bigint, param_no int")
