@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from voxlattice.functions.timecode import code_ms
 from voxlattice.operators import alignment
 from voxlattice.plans import pipeline
+from voxlattice.plans.queries import QUERIES
 
 
 def test_codes_that_end_in_a_line_break(spark):
@@ -98,3 +99,20 @@ def test_span_boundaries_equal_the_whole_table(monkeypatch, whole):
         tokens = [rng.choice(["", *"abcdefgh"]) for _ in range(rng.randrange(30))]
         options = {"skip": rng.choice([0.5, 0.8, 1.0]), "least": rng.choice([0.2, 0.3, 0.4]), "longest": rng.choice([3, 15, 25]), "length_cost": rng.choice([0.01, 0.02, 0.05])}
         assert alignment.span_boundaries(segments, tokens, **options) == plain_boundaries(segments, tokens, **options)
+
+
+def test_readers_return_all_blocks_of_a_clip(spark, tmp_path):
+    rows = [
+        ("r", 1, 1, "00:00:01,000", "00:00:02,000", "[SPEAKER_01]:", "да"), ("r", 1, 2, "00:00:02,000", "00:00:03,000", None, "без метки"), ("r", 1, 3, "0:00:03,000", "00:00:04,000", "[SPEAKER_01]:", "код"),
+        ("r", 1, 4, None, "00:00:05,000", "[SPEAKER_01]:", "нет кода"), ("r", 1, 5, "00:00:05,000", "00:00:06,000", "", None), ("r", 1, 6, "00:00:06,000", "00:00:07,000", " ", "[АБВ]: да"),
+    ]
+    sf = saved(spark, tmp_path, srt_segments=(rows, SRT))
+    read = lambda name: [(r.srt_index, r.tag, r.bad) for r in QUERIES[name](spark, sf).orderBy("block_no").collect()]
+    bad = [(3, None, "time"), (4, None, "time")]
+    assert [r for r in read("srt_parse_merge") if r[2] is None] == [(1, "SPEAKER_01", None), (2, None, None), (5, None, None), (6, None, None)]
+    assert [(i, b) for i, _, b in read("srt_parse_merge") if b] == [(i, b) for i, _, b in bad]
+    assert [r for r in read("srt_parse_span") if r[2] is None] == [(1, "[SPEAKER_01]:", None), (2, "", None), (5, "", None), (6, "[АБВ]:", None)]
+    for name, last in (("srt_parse_embed", "UNKNOWN"), ("srt_parse_cut", "АБВ")):
+        got = read(name)
+        assert [r for r in got if r[2] is None] == [(1, "SPEAKER_01", None), (2, "UNKNOWN", None), (6, last, None)]
+        assert {i: b for i, _, b in got if b} == {3: "time", 4: "lines", 5: "lines"}
