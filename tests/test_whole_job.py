@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from voxlattice.functions.timecode import code_ms
-from voxlattice.operators import alignment
+from voxlattice.operators import alignment, hierarchy
 from voxlattice.plans import pipeline
 from voxlattice.plans.queries import QUERIES
 
@@ -116,3 +116,22 @@ def test_readers_return_all_blocks_of_a_clip(spark, tmp_path):
         got = read(name)
         assert [r for r in got if r[2] is None] == [(1, "SPEAKER_01", None), (2, "UNKNOWN", None), (6, last, None)]
         assert {i: b for i, _, b in got if b} == {3: "time", 4: "lines", 5: "lines"}
+
+
+def test_descendants_on_and_below_circles(spark):
+    rng = random.Random(5)
+    parents = {(g, v): rng.choice([None, rng.randrange(60), rng.randrange(60), v if v % 20 == 7 else 3]) for g in ("a", "b") for v in range(60)}
+    parents |= {("c", v): v - 1 if v else 4 for v in range(45)} | {("d", v): (v + 1) % 9 for v in range(9)} | {("a", 0): 1, ("a", 1): 2, ("a", 2): 0}
+    tree = hierarchy.hierarchy(spark.createDataFrame([(g, v, p) for (g, v), p in parents.items()], "g string, v int, p int"), "g", "v", "p")
+    ups = {}
+    for g, v in parents:
+        seen, at = set(), parents[g, v]
+        while at is not None and at not in seen:
+            seen.add(at)
+            at = parents[g, at]
+        ups[g, v] = seen
+    pairs = [(r.g, r.v, r.descendant) for r in hierarchy.descendants(tree, "g", "v", circles=True).collect()]
+    assert len(pairs) == len(set(pairs)) and set(pairs) == {(g, a, v) for (g, v), seen in ups.items() for a in seen if a != v}
+    rows = hierarchy.whole_sizes(tree, "g").collect()
+    assert {(r.g, r.v) for r in rows if r.circle is not None} == {(g, v) for (g, v), seen in ups.items() if v in seen}
+    assert {(r.g, r.v): r.size - 1 for r in rows} == {(g, a): sum(1 for h, x, _ in pairs if (h, x) == (g, a)) for g, a in parents}

@@ -3,7 +3,8 @@
 Subtree sizes are added up towards the roots, every node gets a preorder range among its siblings by prefix sums
 of their sizes, and the ranges are laid out downwards; a node's descendants are then those whose preorder number
 lies in its range. Both passes move by distances of 1, 2, 4, ... links, so a tree of depth d takes log2(d) + 1
-rounds. Nodes that no round reaches from a root hang on a cycle.
+rounds. Nodes that no round reaches from a root are on a cycle or below one; each node on a cycle is then taken as the
+root of what hangs on it, and the same passes number those trees.
 """
 
 from __future__ import annotations
@@ -20,21 +21,8 @@ from voxlattice.runtime import drop_stage, stage
 BLOCK = 4096
 
 
-def hierarchy(links: DataFrame, group: str, node: str, parent: str) -> DataFrame:
-    """group, node, parent, root, depth, path, pre, size and on_cycle for each node of every tree.
-
-    path leads from the root to the node; the node's subtree has the preorder numbers pre to pre + size - 1, which
-    count from 1 within the group. Nodes on a cycle of links, or below one, have on_cycle true and NULL in root,
-    depth, path, pre and size. A parent that isn't a node of the group counts as none. Rows whose group or node
-    is NULL are left out; of repeated nodes the one with the greatest parent counts; an empty table gives an
-    empty one; other columns are dropped.
-    """
-    raw = links.select(F.col(group).alias("g"), F.col(node).cast("bigint").alias("v"), F.col(parent).cast("bigint").alias("p")).where("g IS NOT NULL AND v IS NOT NULL")
-    nodes = raw.groupBy("g", "v").agg(F.max("p").alias("p"))
-    known = nodes.select(F.col("g").alias("kg"), F.col("v").alias("kv"))
-    nodes = stage(nodes.join(known, (F.col("g") == F.col("kg")) & (F.col("p") == F.col("kv")), "left").select("g", "v", F.col("kv").alias("p")))
-
-    # Upwards: the ancestor at distance 2^k, the path to it, and the size of the subtree within that distance.
+def _climb(nodes: DataFrame) -> DataFrame:
+    """Upwards: the ancestor at distance 2^k, the path to it, and the size of the subtree within that distance."""
     is_root = F.col("p").isNull()
     state = stage(
         nodes.select("g", "v", F.col("p").alias("anc"), F.when(is_root, F.col("v")).alias("root"), F.when(is_root, F.lit(0)).alias("depth"), F.array("v").alias("path"), F.lit(1).cast("bigint").alias("size"), F.lit(False).alias("new"))
@@ -55,10 +43,66 @@ def hierarchy(links: DataFrame, group: str, node: str, parent: str) -> DataFrame
         state, step = after, step * 2
         if state.where("new").limit(1).count() == 0:
             break
+    return state
 
-    # Downwards: each node's offset in its parent's range, summed along the path.
+
+def _circles(lost: DataFrame) -> DataFrame:
+    """g, v and circle, the least node of its cycle, of the nodes on cycles. lost: g, v, p, all nodes on or below them.
+
+    The ancestors at distance d of all nodes are those on the cycles as soon as d is no less than the longest way to one.
+    """
+    same = (F.col("g") == F.col("bg")) & (F.col("far") == F.col("bv"))
+    jump = stage(lost.select("g", "v", F.col("p").alias("far")))
+    while True:
+        on = stage(jump.select("g", F.col("far").alias("v")).distinct())
+        kept = lost.join(on, ["g", "v"]).select("g", "v", "p")
+        if kept.select("g", "p").distinct().count() == on.count():
+            break
+        beyond = jump.select(F.col("g").alias("bg"), F.col("v").alias("bv"), F.col("far").alias("b_far"))
+        after = stage(jump.join(beyond, same).select("g", "v", F.col("b_far").alias("far")))
+        drop_stage(jump)
+        drop_stage(on)
+        jump = after
+    ring = stage(kept.select("g", "v", F.col("p").alias("far"), F.col("v").alias("circle"), F.lit(True).alias("moved")))
+    drop_stage(jump)
+    drop_stage(on)
+    while ring.where("moved").limit(1).count():
+        beyond = ring.select(F.col("g").alias("bg"), F.col("v").alias("bv"), F.col("far").alias("b_far"), F.col("circle").alias("b_circle"))
+        after = stage(ring.join(beyond, same).select("g", "v", F.col("b_far").alias("far"), F.least("circle", "b_circle").alias("circle"), (F.col("b_circle") < F.col("circle")).alias("moved")))
+        drop_stage(ring)
+        ring = after
+    return ring.select("g", "v", "circle")
+
+
+def hierarchy(links: DataFrame, group: str, node: str, parent: str) -> DataFrame:
+    """group, node, parent, root, depth, path, pre, size, on_cycle and circle for each node of every tree.
+
+    path leads from the root to the node; the node's subtree has the preorder numbers pre to pre + size - 1, which
+    count from 1 within the group. Nodes on a cycle of links, or below one, have on_cycle true and NULL in root,
+    depth and path. Of them, those on the cycle itself have its least node in circle, which is NULL for all others; their
+    pre and size are those of the tree that hangs on them, without the rest of the cycle. A parent that isn't a node of the group counts as none. Rows whose group or node
+    is NULL are left out; of repeated nodes the one with the greatest parent counts; an empty table gives an
+    empty one; other columns are dropped.
+    """
+    raw = links.select(F.col(group).alias("g"), F.col(node).cast("bigint").alias("v"), F.col(parent).cast("bigint").alias("p")).where("g IS NOT NULL AND v IS NOT NULL")
+    nodes = raw.groupBy("g", "v").agg(F.max("p").alias("p"))
+    known = nodes.select(F.col("g").alias("kg"), F.col("v").alias("kv"))
+    nodes = stage(nodes.join(known, (F.col("g") == F.col("kg")) & (F.col("p") == F.col("kv")), "left").select("g", "v", F.col("kv").alias("p")))
+
+    state = _climb(nodes)
     trees = state.where("root IS NOT NULL").select("g", "v", "root", "depth", "path", "size")
-    sized = trees.join(nodes.select(F.col("g").alias("ng"), F.col("v").alias("nv"), "p"), (F.col("g") == F.col("ng")) & (F.col("v") == F.col("nv"))).select("g", "v", "p", "size", F.col("p").isNull().alias("top"), F.coalesce("p", F.lit(0)).alias("under"), F.floor(F.col("v") / BLOCK).alias("b"))
+    lost = stage(nodes.join(state.where("root IS NULL").select("g", "v"), ["g", "v"]).select("g", "v", "p"))
+    circles = lost.select("g", "v", F.col("v").alias("circle")).limit(0)
+    linked = nodes
+    if lost.limit(1).count():
+        circles = stage(_circles(lost))
+        cut = lambda df: df.join(circles, ["g", "v"], "left").select("g", "v", F.when(F.col("circle").isNull(), F.col("p")).alias("p"))
+        hung = _climb(stage(cut(lost)))
+        trees = trees.unionByName(hung.select("g", "v", F.lit(None).cast("bigint").alias("root"), F.lit(None).cast("int").alias("depth"), F.lit(None).cast("array<bigint>").alias("path"), "size"))
+        linked = cut(nodes)
+
+    # Downwards: each node's offset in its parent's range, summed along the path.
+    sized = trees.join(linked.select(F.col("g").alias("ng"), F.col("v").alias("nv"), "p"), (F.col("g") == F.col("ng")) & (F.col("v") == F.col("nv"))).select("g", "v", "p", "size", F.col("p").isNull().alias("top"), F.coalesce("p", F.lit(0)).alias("under"), F.floor(F.col("v") / BLOCK).alias("b"))
     offsets = blocked_scan(sized, ["g", "top", "under"], "b", "v", sums={"through": "size"}).select("g", "v", F.col("p").alias("anc"), (F.col("through") - F.col("size") + 1).alias("pre"))
     state2 = stage(offsets)
     while state2.where("anc IS NOT NULL").limit(1).count():
@@ -68,26 +112,39 @@ def hierarchy(links: DataFrame, group: str, node: str, parent: str) -> DataFrame
         state2 = after
 
     placed = state2.select(F.col("g").alias("pg"), F.col("v").alias("pv"), "pre")
-    full = trees.join(placed, (F.col("g") == F.col("pg")) & (F.col("v") == F.col("pv"))).select(F.col("g").alias("tg"), F.col("v").alias("tv"), "root", "depth", "path", "pre", "size")
+    trees = trees.join(circles, ["g", "v"], "left")
+    full = trees.join(placed, (F.col("g") == F.col("pg")) & (F.col("v") == F.col("pv"))).select(F.col("g").alias("tg"), F.col("v").alias("tv"), "root", "depth", "path", "pre", "size", "circle")
     kinds = {node: links.schema[node].dataType}
     return nodes.join(full, (F.col("g") == F.col("tg")) & (F.col("v") == F.col("tv")), "left").select(
-        F.col("g").alias(group), F.col("v").cast(kinds[node]).alias(node), F.col("p").cast(kinds[node]).alias(parent), F.col("root").cast(kinds[node]).alias("root"), "depth", "path", "pre", "size", F.col("root").isNull().alias("on_cycle")
+        F.col("g").alias(group), F.col("v").cast(kinds[node]).alias(node), F.col("p").cast(kinds[node]).alias(parent), F.col("root").cast(kinds[node]).alias("root"), "depth", "path", "pre", "size", F.col("root").isNull().alias("on_cycle"), F.col("circle").cast(kinds[node]).alias("circle")
     )
 
 
-def descendants(tree: DataFrame, group: str, node: str, of: DataFrame | None = None) -> DataFrame:
+def descendants(tree: DataFrame, group: str, node: str, of: DataFrame | None = None, circles: bool = False) -> DataFrame:
     """(group, node, descendant) by preorder ranges, of all nodes or of those in `of` (group, node).
 
-    The rows are as many as there are pairs; each node's range is cut into the numbers it covers and joined on
-    them, so that no range join over a whole group is needed.
+    With circles, also of nodes on and below cycles: what is on a cycle has the other nodes on it and all that hangs on
+    any of them, but not itself. Without, such nodes have no rows. The rows are as many as there are pairs; each node's
+    range is cut into the numbers it covers and joined on them, so that no range join over a whole group is needed.
     """
-    tops = tree.where("NOT on_cycle AND size > 1")
+    tops = tree if circles else tree.where("NOT on_cycle")
     if of is not None:
         tops = tops.join(of.select(group, node).distinct(), [group, node], "left_semi")
-    wanted = tops.select(F.col(group).alias("dg"), F.col(node).alias("top"), F.explode(F.sequence(F.col("pre") + 1, F.col("pre") + F.col("size") - 1)).alias("at"))
+    ranges = tops.where("size > 1").select(F.col(group).alias("dg"), F.col(node).alias("top"), (F.col("pre") + 1).alias("a"), (F.col("pre") + F.col("size") - 1).alias("z"))
+    if circles:
+        members = tree.where("circle IS NOT NULL").select(F.col(group).alias("mg"), F.col(node).alias("mv"), F.col("circle").alias("mc"), F.col("pre").alias("a"), (F.col("pre") + F.col("size") - 1).alias("z"))
+        met = tops.select(F.col(group).alias("dg"), F.col(node).alias("top"), "circle").join(members, (F.col("dg") == F.col("mg")) & (F.col("circle") == F.col("mc")) & (F.col("top") != F.col("mv")))
+        ranges = ranges.unionByName(met.select("dg", "top", "a", "z"))
+    wanted = ranges.select("dg", "top", F.explode(F.sequence("a", "z")).alias("at"))
     return tree.join(wanted, (F.col(group) == F.col("dg")) & (F.col("pre") == F.col("at"))).select(F.col("dg").alias(group), F.col("top").alias(node), F.col(node).alias("descendant"))
 
 
+def whole_sizes(tree: DataFrame, group: str) -> DataFrame:
+    """tree with the size of nodes on a cycle counting all that is on it or hangs on it."""
+    rings = tree.where("circle IS NOT NULL").groupBy(F.col(group).alias("rg"), F.col("circle").alias("rc")).agg(F.sum("size").alias("ring"))
+    return tree.join(rings, (F.col(group) == F.col("rg")) & (F.col("circle") == F.col("rc")), "left").withColumn("size", F.coalesce("ring", "size")).drop("rg", "rc", "ring")
+
+
 def named_paths(tree: DataFrame, names: DataFrame, group: str, node: str, name: str) -> DataFrame:
     """tree with path_names, the names along the path in its order (NULL names keep their place)."""
     steps = tree.where("path IS NOT NULL").select(F.col(group).alias("sg"), F.col(node).alias("sv"), F.posexplode("path").alias("at", "step"))

@@ -115,11 +115,14 @@ SELECT k.recording_id, k.seg_no, k.p AS parent_no, w.root_no, w.depth, u.path, u
 FROM k LEFT JOIN w USING (recording_id, seg_no) LEFT JOIN s USING (recording_id, seg_no) LEFT JOIN u USING (recording_id, seg_no)""",
 )
 def p2_paths(spark: SparkSession, sf: str) -> DataFrame:
-    """Parent, root, depth, path of numbers and of clip names, and subtree size of every segment."""
+    """Parent, root, depth, path of numbers and of clip names, and subtree size of every segment.
+
+    on_cycle is true on a circle and below one, in_circle on it only, which the SQL lacks, as it does sizes of both.
+    """
     tree, links = _segment_tree(spark, sf)
-    named = hierarchy.named_paths(tree, links, "recording_id", "seg_no", "name")
+    named = hierarchy.named_paths(hierarchy.whole_sizes(tree, "recording_id"), links, "recording_id", "seg_no", "name")
     spelt = F.array_join(F.transform("path_names", lambda x: F.coalesce(x, F.lit(""))), "/")
-    return named.select("recording_id", "seg_no", "parent_no", F.col("root").alias("root_no"), "depth", F.array_join(F.col("path").cast("array<string>"), "/").alias("path"), spelt.alias("path_names"), "size", "on_cycle")
+    return named.select("recording_id", "seg_no", "parent_no", F.col("root").alias("root_no"), "depth", F.array_join(F.col("path").cast("array<string>"), "/").alias("path"), spelt.alias("path_names"), "size", "on_cycle", F.col("circle").isNotNull().alias("in_circle"))
 
 
 @query(
@@ -130,9 +133,9 @@ d AS (SELECT k.recording_id, k.p AS seg_no, k.seg_no AS descendant FROM k JOIN w
 SELECT * FROM d""",
 )
 def p2_descendants(spark: SparkSession, sf: str) -> DataFrame:
-    """All descendants of every segment, by preorder ranges."""
+    """All descendants of every segment, by preorder ranges. The SQL has none of segments on or below a circle."""
     tree, _ = _segment_tree(spark, sf)
-    return hierarchy.descendants(tree, "recording_id", "seg_no")
+    return hierarchy.descendants(tree, "recording_id", "seg_no", circles=True)
 
 
 def _fields_sql(d: str) -> str:
