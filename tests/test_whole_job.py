@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import itertools
 import random
 
 import pytest
@@ -135,3 +136,17 @@ def test_descendants_on_and_below_circles(spark):
     rows = hierarchy.whole_sizes(tree, "g").collect()
     assert {(r.g, r.v) for r in rows if r.circle is not None} == {(g, v) for (g, v), seen in ups.items() if v in seen}
     assert {(r.g, r.v): r.size - 1 for r in rows} == {(g, a): sum(1 for h, x, _ in pairs if (h, x) == (g, a)) for g, a in parents}
+
+
+def test_best_parameters_of_the_whole_grid(spark, tmp_path):
+    heard = ["один а б в г д е ж", "два три", "нет"]
+    sf = saved(spark, tmp_path, manual_segments=([("r", 1, 0, "один и к два три", True)], MANUAL), srt_segments=([("r", 1, i, None, None, None, x) for i, x in enumerate(heard)], SRT))
+    left, right = pipeline._token_sides(spark, sf)
+    segments = [r.l_norm.split() for r in left.orderBy("l_pos").collect()]
+    tokens = [r.r_norm for r in right.orderBy("r_pos").collect()]
+    scores = []
+    for s, t, c in itertools.product((0.5, 0.8, 1.0), (0.2, 0.3, 0.4), (0.01, 0.02, 0.05)):
+        ends, _ = plain_boundaries(segments, tokens, s, t, 15, c)
+        scores.append((sum(a == b for a, b in zip(ends, ends[1:])), len(scores)))
+    assert [(r.unmatched, r.param_no) for r in pipeline.best_parameters(spark, sf).collect()] == [min(scores)]
+    assert min(scores)[1] > 3
