@@ -60,10 +60,11 @@ def surely_speech(text: Column, fillers: list[str]) -> Column:
     """Whether a word of three letters or more that is no part of a filler stands before the first or
     after the last sign that sets passages off.
 
-    Where it does the text holds speech, and the costlier no_speech() need not look.
+    Where it does the text holds speech, and the costlier no_speech() need not look. Words beside a hyphen are left to
+    no_speech(), which joins them first.
     """
     known = "|".join(sorted({drawn_out(w).replace("е", "[её]") for f in fillers for w in f.lower().replace("ё", "е").split()})) or "(?!)"
-    word = rf"(?<!\p{{L}})(?!(?:{known})(?!\p{{L}}))\p{{L}}{{3,}}"
+    word = rf"(?<![\p{{L}}‐‑–-])(?!(?:{known})(?!\p{{L}}))\p{{L}}{{3,}}+(?![‐‑–-])"
     return text.rlike(f"^[^{_SIGNS}]*?{word}") | text.rlike(f"{word}[^{_SIGNS}]*$")
 
 
