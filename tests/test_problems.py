@@ -76,12 +76,14 @@ def test_blocked_scan_against_plain_windows(spark, block):
         assert r.n == next((x[2] for x in own if x[1] > r.o and x[2] is not None), None)
 
 
-def test_hierarchy_against_brute_force(spark):
+@pytest.mark.parametrize("wide", [2, 256])
+def test_hierarchy_against_brute_force(spark, monkeypatch, wide):
+    monkeypatch.setattr(hierarchy, "WIDE", wide)
     rng = random.Random(3)
     parents = {(g, v): rng.choice([None, rng.randrange(40), v, 99, -1]) if rng.random() < 0.9 else v - 1 for g in ("a", "b") for v in range(40)}
     parents |= {("deep", v): v - 1 if v else None for v in range(70)}
     rows = [(g, v, p) for (g, v), p in parents.items()] + [(None, 1, None), ("a", None, 1)]
-    tree = hierarchy.hierarchy(spark.createDataFrame(rows, "g string, v int, p int").withColumn("root", F.lit("clash")), "g", "v", "p")
+    tree = hierarchy.hierarchy(spark.createDataFrame(rows, "g string, v int, p int").withColumn("root", F.lit("clash")), "g", "v", "p", paths=True)
     got = {(r.g, r.v): r for r in tree.collect()}
     assert set(got) == set(parents)
 
@@ -132,20 +134,59 @@ def test_reasons(line, reason):
     assert bad_rows.parse_line(line, ",")[0] == reason
 
 
-def test_least_edits_leave_sound_quoting():
+def test_least_edits_make_the_line_parse():
     rng = random.Random(5)
-    for _ in range(3000):
-        line = "".join(rng.choice('ab",') for _ in range(rng.randrange(12)))
-        cost, ops = bad_rows.least_edits(line, ",")
+    for _ in range(4000):
+        line = "".join(rng.choice('ab",,') for _ in range(rng.randrange(14)))
+        cost, edits = bad_rows.least_edits(line, ",")
         assert (cost == 0) == (bad_rows.zero_cost(line, ",") is not None)
+        assert cost == sum(bad_rows.QUOTE if e[-1] == '"' else bad_rows.DELIMITER for e, _ in edits)
         chars = list(line)
-        for op in reversed(ops):
-            kind, at = op.split(" ")
-            if kind == 'delete"':
-                assert chars.pop(int(at)) == '"'
+        for edit, at in reversed(edits):
+            if edit[0] == "d":
+                # A delimiter beyond the last field goes with what is in the field it would begin.
+                assert chars.pop(at) == edit[-1]
             else:
-                chars.insert(int(at), '"')
-        assert bad_rows.zero_cost("".join(chars), ",") is not None, (line, ops)
+                chars.insert(at, edit[-1])
+        if not any(e == "delete," for e, _ in edits):
+            assert bad_rows.zero_cost("".join(chars), ",") is not None, (line, edits)
+
+
+def brute_edits(line: str, most: int) -> tuple[int, int] | None:
+    """Fewest edits of quotes, then of delimiters, by trying all of up to `most`; delimiters beyond the last are just counted."""
+    level, seen = {line}, {line}
+    for quotes in range(most + 1):
+        counts = [abs(len(f) - bad_rows.FIELDS) for x in level if (f := sound_fields(x)) is not None]
+        if counts:
+            return quotes, min(counts)
+        level = {y for x in level for at in range(len(x) + 1) for y in ([x[:at] + '"' + x[at:]] + ([x[:at] + x[at + 1 :]] if x[at : at + 1] == '"' else []))} - seen
+        seen |= level
+    return None
+
+
+def sound_fields(line: str) -> list[str] | None:
+    import re
+
+    field = r'(?:"(?:[^"]|"")*"|[^",]*)'
+    return re.findall(rf"(?:^|,)({field})", line) if re.fullmatch(f"{field}(?:,{field})*", line) else None
+
+
+def test_least_edits_against_all_edits():
+    rng = random.Random(6)
+    for _ in range(400):
+        line = "".join(rng.choice('a",,') for _ in range(rng.randrange(9)))
+        want = brute_edits(line, 2)
+        if want is not None:
+            cost, _ = bad_rows.least_edits(line, ",")
+            assert cost == want[0] * bad_rows.QUOTE + want[1], line
+
+
+def test_the_edits_tell_the_reason(monkeypatch):
+    lines = ['1,00:00:01.000,00:00:02.000,S,"text', "1,2", GOOD + ",", GOOD]
+    assert [bad_rows.parse_line(x, ",")[0] for x in lines] == ["quoting", "columns", "columns", None]
+    assert bad_rows.parse_line(lines[2], ",")[1:4] == ("delete, 34", 0, 1)
+    monkeypatch.setattr(bad_rows, "least_edits", lambda line, d: (0, []))
+    assert [bad_rows.parse_line(x, ",")[0] for x in lines] == ["columns", "columns", "columns", None]
 
 
 def test_parse_rows_of_odd_tables(spark):

@@ -85,9 +85,9 @@ w AS (SELECT recording_id, seg_no, seg_no AS root_no, 0 AS depth FROM k WHERE p
 """
 
 
-def _segment_tree(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+def _segment_tree(spark: SparkSession, sf: str, paths: bool = False) -> tuple[DataFrame, DataFrame]:
     links = hierarchy.continuation_links(read_table(spark, sf, "index_segments"))
-    return hierarchy.hierarchy(links, "recording_id", "seg_no", "parent_no"), links
+    return hierarchy.hierarchy(links, "recording_id", "seg_no", "parent_no", paths), links
 
 
 @query(
@@ -105,21 +105,22 @@ def p2_found(spark: SparkSession, sf: str) -> DataFrame:
 @query(
     "p2_paths",
     f"""WITH RECURSIVE {_LINKS_SQL},
-d AS (SELECT recording_id, seg_no, seg_no AS below FROM w
-      UNION ALL SELECT d.recording_id, d.seg_no, k.seg_no FROM d JOIN k ON k.recording_id = d.recording_id AND k.p = d.below),
-s AS (SELECT recording_id, seg_no, count(*) AS size FROM d GROUP BY ALL),
+d AS (SELECT recording_id, seg_no, seg_no AS below FROM k
+      UNION SELECT d.recording_id, d.seg_no, k.seg_no FROM d JOIN k ON k.recording_id = d.recording_id AND k.p = d.below),
+o AS (SELECT DISTINCT d.recording_id, d.seg_no FROM d JOIN k ON k.recording_id = d.recording_id AND k.seg_no = d.seg_no AND k.p = d.below),
+s AS (SELECT recording_id, seg_no, count(DISTINCT below) AS size FROM d GROUP BY ALL),
 u AS (SELECT recording_id, seg_no, CAST(seg_no AS VARCHAR) AS path, coalesce(name, '') AS path_names FROM k WHERE p IS NULL
       UNION ALL SELECT k.recording_id, k.seg_no, u.path || '/' || k.seg_no, u.path_names || '/' || coalesce(k.name, '')
       FROM k JOIN u ON k.recording_id = u.recording_id AND k.p = u.seg_no)
-SELECT k.recording_id, k.seg_no, k.p AS parent_no, w.root_no, w.depth, u.path, u.path_names, s.size, w.root_no IS NULL AS on_cycle
-FROM k LEFT JOIN w USING (recording_id, seg_no) LEFT JOIN s USING (recording_id, seg_no) LEFT JOIN u USING (recording_id, seg_no)""",
+SELECT k.recording_id, k.seg_no, k.p AS parent_no, w.root_no, w.depth, u.path, u.path_names, s.size, w.root_no IS NULL AS on_cycle, o.seg_no IS NOT NULL AS in_circle
+FROM k LEFT JOIN o USING (recording_id, seg_no) LEFT JOIN w USING (recording_id, seg_no) LEFT JOIN s USING (recording_id, seg_no) LEFT JOIN u USING (recording_id, seg_no)""",
 )
 def p2_paths(spark: SparkSession, sf: str) -> DataFrame:
     """Parent, root, depth, path of numbers and of clip names, and subtree size of every segment.
 
-    on_cycle is true on a circle and below one, in_circle on it only, which the SQL lacks, as it does sizes of both.
+    on_cycle is true on a circle and below one, in_circle on it only; what is on a circle has all that is on it in its size.
     """
-    tree, links = _segment_tree(spark, sf)
+    tree, links = _segment_tree(spark, sf, paths=True)
     named = hierarchy.named_paths(hierarchy.whole_sizes(tree, "recording_id"), links, "recording_id", "seg_no", "name")
     spelt = F.array_join(F.transform("path_names", lambda x: F.coalesce(x, F.lit(""))), "/")
     return named.select("recording_id", "seg_no", "parent_no", F.col("root").alias("root_no"), "depth", F.array_join(F.col("path").cast("array<string>"), "/").alias("path"), spelt.alias("path_names"), "size", "on_cycle", F.col("circle").isNotNull().alias("in_circle"))
@@ -128,12 +129,12 @@ def p2_paths(spark: SparkSession, sf: str) -> DataFrame:
 @query(
     "p2_descendants",
     f"""WITH RECURSIVE {_LINKS_SQL},
-d AS (SELECT k.recording_id, k.p AS seg_no, k.seg_no AS descendant FROM k JOIN w ON k.recording_id = w.recording_id AND k.seg_no = w.seg_no WHERE k.p IS NOT NULL
-      UNION ALL SELECT d.recording_id, k.p, d.descendant FROM d JOIN k ON k.recording_id = d.recording_id AND k.seg_no = d.seg_no WHERE k.p IS NOT NULL)
-SELECT * FROM d""",
+d AS (SELECT recording_id, p AS seg_no, seg_no AS descendant FROM k WHERE p IS NOT NULL
+      UNION SELECT d.recording_id, k.p, d.descendant FROM d JOIN k ON k.recording_id = d.recording_id AND k.seg_no = d.seg_no WHERE k.p IS NOT NULL)
+SELECT * FROM d WHERE seg_no <> descendant""",
 )
 def p2_descendants(spark: SparkSession, sf: str) -> DataFrame:
-    """All descendants of every segment, by preorder ranges. The SQL has none of segments on or below a circle."""
+    """All descendants of every segment, by preorder ranges. What is on a circle has all others on it, and what hangs on them."""
     tree, _ = _segment_tree(spark, sf)
     return hierarchy.descendants(tree, "recording_id", "seg_no", circles=True)
 
@@ -176,3 +177,23 @@ def p4_found(spark: SparkSession, sf: str) -> DataFrame:
 def p4_loaded(spark: SparkSession, sf: str) -> DataFrame:
     """Lines that load, with typed fields."""
     return bad_rows.split_rows(read_table(spark, sf, "raw_segment_rows"))[0]
+
+
+_EDITS_SQL = r"""WITH RECURSIVE l AS (SELECT line_id, CASE WHEN lower(coalesce(file_format, '')) = 'tsv' THEN chr(9) ELSE ',' END AS d, regexp_replace(raw_line, '\r$', '') AS s FROM raw_segment_rows),
+w AS (SELECT line_id, d, s, 0 AS i, 0 AS h, 1000000 AS b, 1000000 AS q, 1000000 AS c, 0 AS n FROM l WHERE s IS NOT NULL
+  UNION ALL SELECT line_id, d, s, i + 1,
+    CASE x WHEN '"' THEN h + 1 WHEN d THEN least(h, b, c, q + 1) ELSE 1000000 END,
+    CASE x WHEN '"' THEN b + 1 WHEN d THEN 1000000 ELSE least(h, b) END,
+    CASE x WHEN '"' THEN least(h, c, q + 1) WHEN d THEN least(q, h + 1) ELSE least(q, h + 1, c + 1) END,
+    CASE x WHEN '"' THEN least(q, c + 1) ELSE 1000000 END,
+    n + CASE WHEN x = d AND (h = 0 OR b = 0 OR c = 0) THEN 1 ELSE 0 END
+  FROM (SELECT *, substr(s, i + 1, 1) AS x FROM w WHERE i < length(s))),
+e AS (SELECT line_id, least(h, b, c, q + 1) AS quote_edits, n FROM w WHERE i = length(s) UNION ALL SELECT line_id, 0, 0 FROM l WHERE s IS NULL)
+SELECT line_id, quote_edits, CASE WHEN quote_edits = 0 THEN abs(n - 4) END AS delimiter_edits FROM e WHERE quote_edits > 0 OR n <> 4"""
+
+
+@query("p4_edits", _EDITS_SQL)
+def p4_edits(spark: SparkSession, sf: str) -> DataFrame:
+    """How many quotes, and in lines of sound quoting how many delimiters, must be inserted or deleted for a line to parse."""
+    bad = bad_rows.split_rows(read_table(spark, sf, "raw_segment_rows"))[1].where("quote_edits + delimiter_edits > 0")
+    return bad.select("line_id", "quote_edits", F.when(F.col("quote_edits") == 0, F.col("delimiter_edits")).alias("delimiter_edits"))
