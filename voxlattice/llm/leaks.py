@@ -1,14 +1,18 @@
 """Problem 7: evaluation items that leaked into documents.
 
 Winnowing: of the hashes of K neighbouring words, the least in every run of W is kept, so any shared span of
-K + W - 1 words leaves a common fingerprint. The items' fingerprints are looked up for every document's; hits are
-extended by an alignment that tells how many of the item's words stand in order in one passage.
+K + W - 1 words leaves a common fingerprint. Every document is read once: those that hold fingerprints of any item are
+written as numbers of words with the places of the fingerprints. These small rows are then joined with the items'
+fingerprints, block by block of items, and hits are extended by an alignment that tells how many of the item's words
+stand in order.
 
-Items come in blocks of bounded size, and each block is sent to the executors; documents are never shuffled.
+Which fingerprints items have is told to the readers by a Bloom filter of bounded size. Items come in blocks of bounded
+size, so what is sent to the executors doesn't grow with the items; documents are never shuffled.
 """
 
 from __future__ import annotations
 
+import hashlib
 import re
 import unicodedata
 from bisect import bisect_left
@@ -21,79 +25,89 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from voxlattice.llm.lookalikes import SAME_AS, SHAPES
+from voxlattice.runtime import drop_stage, stage
 
 #: Words in a hashed gram, and grams in a window of which one is kept.
 K, W = 3, 2
-#: Items sent to the executors at a time.
-BLOCK_ITEMS = 20_000
+#: Bytes of the words and fingerprints of a block of items, which are sent to the executors; an item is never cut.
+BLOCK_BYTES = 32 << 20
+#: Bits of the Bloom filter for each fingerprint, and at most: then more documents pass that have no hits.
+BLOOM_BITS, MOST_BLOOM_BITS = 16, 1 << 28
+#: Words whose number a worker remembers.
+REMEMBERED = 500_000
 #: Share of an item's words that makes a leak.
 SHARE = 0.5
-#: An alignment follows if the hits of diagonals DRIFT apart at most (an aside and some words more or less) fall on
-#: that share of the item's words. Half an item in runs of LEAST_RUN words has a quarter of its grams left, of which
-#: about every second is kept.
-HITS, HIT_SHARE, DRIFT = 2, 0.1, 40
+#: An alignment follows if so many of an item's fingerprints, and at least that share of its words, are in the document.
+#: Half an item in runs of LEAST_RUN words has a quarter of its grams left, of which about every second is kept.
+HITS, HIT_SHARE = 2, 0.1
 #: Alignment: a shared word gains 1; a word in between in the document costs ASIDE, a whole run of them ASIDE_MOST at
-#: most and REACH words at most; a word of the item left out costs LEFT_OUT.
-ASIDE, ASIDE_MOST, REACH, LEFT_OUT = 0.3, 3.0, 60, 0.5
-#: Shared words in a run, on average, of a passage: chance alignments of common phrases have shorter ones.
-LEAST_RUN = 4.2
+#: most; a word of the item left out costs LEFT_OUT. A part of a passage ends where NEAR words come in between; what
+#: follows is a part of its own.
+ASIDE, ASIDE_MOST, NEAR, LEFT_OUT = 0.3, 3.0, 60, 0.5
+#: Shared words in a run, on average, of a passage and of each of its parts: chance alignments of common phrases have
+#: shorter ones. A part has half of what makes a leak at least.
+LEAST_RUN, LEAST_PART = 4.2, SHARE / 2
 
 _ROWS = [r.split() for r in SHAPES.split("\n") if r]
 _FOLD = {ord(c): next(x for x in (r[1], *r) if x != "-") for r in _ROWS for c in r if c != "-"} | {ord(k): v for k, v in SAME_AS.items()}
-_FOLD |= {c: None for c in (*range(0x300, 0x306), 0x307, *range(0x309, 0x370), ord("\\"), ord("_"), 0xAD, *range(0x200B, 0x2010), 0x2060, 0xFEFF)}
-_WORD = re.compile(r"[぀-ヿ一-鿿฀-๿]|[^\W_]+")
+# Stress marks, formats and markup of stress, which stand within words.
+_WITHIN = r"\\_\u0300-\u0305\u0307\u0309-\u036F\u00AD\u200B-\u200F\u2060\uFEFF"
+_UNSEEN = re.compile(f"[{_WITHIN}]")
+_ONE = "[\u3040-\u30FF\u4E00-\u9FFF\u0E00-\u0E7F]"
+_WORD = re.compile(rf"{_ONE}|[^\W_]+")
+#: Words as they are written: with what can't be seen, and with the marks of й and ё.
+_WRITTEN = re.compile(rf"{_ONE}|(?:[^\W_]|[{_WITHIN}\u0306\u0308])+")
 
 
 def words(text: str) -> list[str]:
     """Words without case, stress marks, formats, punctuation and script of look-alikes; unspaced scripts by character."""
-    if not unicodedata.is_normalized("NFKC", text):
-        text = unicodedata.normalize("NFKC", text)
-    return _WORD.findall(text.translate(_FOLD).lower())
+    return [w for x in _WRITTEN.findall(text) if (w := _folded(x))]
 
 
-class Items:
-    """Fingerprints of a block of items."""
-
-    def __init__(self, rows: list[tuple]):
-        self.keys, self.texts, self.ids = [], [], {}
-        grams, places = [], []
-        for key, text in rows:
-            found = words(text or "")
-            if found:
-                self.keys.append(key)
-                self.texts.append(np.array([self.ids.setdefault(w, len(self.ids) + 1) for w in found], np.int64))
-        for i, t in enumerate(self.texts):
-            h, at = winnow(t, np.zeros(len(t), np.int64))
-            grams.append(h)
-            places.append(np.column_stack([np.full(len(at), i), at]))
-        h = np.concatenate(grams) if grams else np.zeros(0, np.uint64)
-        order = np.argsort(h, kind="stable")
-        self.hashes = h[order]
-        self.places = np.vstack(places)[order] if places else np.zeros((0, 2), np.int64)
+def _folded(written: str) -> str:
+    """The one form of a word; empty if nothing of it can be seen."""
+    text = _UNSEEN.sub("", unicodedata.normalize("NFKC", _UNSEEN.sub("", written)))
+    return "".join(_WORD.findall(text.translate(_FOLD).lower()))
 
 
-def winnow(ids: np.ndarray, text: np.ndarray, k: int = K, w: int = W) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes and places of the kept grams. ids: words, 0 for one no item has; text: which text a word is of.
+class Numbers(dict):
+    """Written word -> a number of 63 bits of its one form, found once; 0 if nothing can be seen."""
 
-    Of a text with fewer than k words the whole text is one gram.
-    """
+    def __missing__(self, written: str) -> int:
+        if len(self) >= REMEMBERED:
+            self.clear()
+        form = _folded(written)
+        number = int.from_bytes(hashlib.blake2b(form.encode(), digest_size=8).digest()) >> 1 or 1 if form else 0
+        self[written] = number
+        return number
+
+    def of(self, text: str | None) -> np.ndarray:
+        """The numbers of the words of a text."""
+        found = np.fromiter(map(self.__getitem__, _WRITTEN.findall(text or "")), np.int64)
+        return found[found != 0]
+
+
+def gram_hashes(ids: np.ndarray, text: np.ndarray, k: int = K) -> np.ndarray:
+    """A hash of the k words from each place on, all ones where a text has no more of them; of a text with fewer than k
+    words the whole text is one gram. text: which text a word is of."""
     n = len(ids)
-    most = np.uint64(2**64 - 1)
     padded = np.concatenate([ids, np.zeros(k - 1, np.int64)])
     last = np.concatenate([text, np.full(k - 1, -1)])
     h = np.zeros(n, np.uint64)
-    good = np.ones(n, bool)
     for j in range(k):
-        inside = last[j : j + n] == text
-        word = padded[j : j + n]
-        good &= ~(inside & (word == 0))
-        h = (h ^ np.where(inside, word, 0).astype(np.uint64)) * np.uint64(0x9E3779B97F4A7C15)
+        h = (h ^ np.where(last[j : j + n] == text, padded[j : j + n], 0).astype(np.uint64)) * np.uint64(0x9E3779B97F4A7C15)
         h ^= h >> np.uint64(29)
     short = last[k - 1 : k - 1 + n] != text
     first = np.concatenate([[True], text[1:] != text[:-1]]) if n else np.zeros(0, bool)
-    h = np.where(good & (~short | first), h, most)
+    return np.where(~short | first, h, np.uint64(2**64 - 1))
+
+
+def winnow(ids: np.ndarray, text: np.ndarray, k: int = K, w: int = W) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes and places of the kept grams: every window of w grams of one text keeps its least, and all equal to it;
+    texts with fewer grams keep one too."""
+    h = gram_hashes(ids, text, k)
+    n, most = len(h), np.uint64(2**64 - 1)
     kept = np.zeros(n, bool)
-    # Every window of w grams of one text keeps its least, the rightmost of equal ones; texts with fewer keep one too.
     for j in range(w):
         least = h.copy()
         for o in range(-j, w - j):
@@ -110,25 +124,71 @@ def winnow(ids: np.ndarray, text: np.ndarray, k: int = K, w: int = W) -> tuple[n
     return h[at], at
 
 
-def aligned(item: np.ndarray, doc: np.ndarray) -> tuple[int, int]:
-    """How many of the item's words the best passage of doc holds in the item's order, and in how many runs."""
+class Bloom:
+    """Which of all hashes may be among those added."""
+
+    def __init__(self, expected: int):
+        bits = 1 << max(10, (max(1, expected) * BLOOM_BITS - 1).bit_length())
+        self.mask = np.uint64(min(bits, MOST_BLOOM_BITS) - 1)
+        self.set = np.zeros((int(self.mask) + 1) // 8, np.uint8)
+
+    def _bits(self, h: np.ndarray) -> Iterator[np.ndarray]:
+        for shift in (0, 21, 42):
+            yield ((h >> np.uint64(shift)) ^ (h << np.uint64(7))) & self.mask
+
+    def add(self, h: np.ndarray) -> None:
+        for b in self._bits(h):
+            np.bitwise_or.at(self.set, (b >> np.uint64(3)).astype(np.int64), (1 << (b & np.uint64(7)).astype(np.int64)).astype(np.uint8))
+
+    def may_have(self, h: np.ndarray) -> np.ndarray:
+        out = np.ones(len(h), bool)
+        for b in self._bits(h):
+            out &= (self.set[(b >> np.uint64(3)).astype(np.int64)] >> (b & np.uint64(7)).astype(np.uint8) & 1).astype(bool)
+        return out
+
+
+class Items:
+    """Words and fingerprints of a block of items: keys, and the numbers of their words."""
+
+    def __init__(self, keys: list, texts: list[np.ndarray]):
+        self.keys, self.texts = keys, [np.asarray(t, np.int64) for t in texts]
+        size = np.array([len(t) for t in self.texts], np.int64)
+        of = np.repeat(np.arange(len(size)), size)
+        all_ids = np.concatenate([np.zeros(0, np.int64), *self.texts])
+        grams, (h, at) = gram_hashes(all_ids, of), winnow(all_ids, of)
+        start = size.cumsum() - size
+        order = np.argsort(h, kind="stable")
+        self.hashes, self.item, self.place = h[order], of[at][order], (at - start[of[at]])[order]
+        self.longest = int(size.max(initial=1))
+        kept = np.bincount(self.item, minlength=len(size))
+        self.need = np.maximum(1, np.minimum(kept, np.maximum(HITS, np.ceil(HIT_SHARE * size))))
+        # The grams of each item by hash, with their places, for counting those that stand in order.
+        self.grams = []
+        for a, n in zip(start.tolist(), size.tolist()):
+            g = grams[a : a + max(1, n - K + 1)]
+            o = np.argsort(g, kind="stable")
+            self.grams.append((g[o], o))
+
+
+def parts(item: np.ndarray, doc: np.ndarray) -> list[tuple[int, int, int, int, int, int]]:
+    """Chains of words that doc shares with the item in its order, nowhere NEAR words apart: (words, runs, first and last
+    place in the document, first and last in the item) of the best chain from each word that one begins with."""
     where: dict[int, list[int]] = defaultdict(list)
     for i, w in enumerate(item.tolist()):
         where[w].append(i)
-    # Chains of shared words, in the order of the document; each word continues the best earlier one.
     js, is_ = [], []
-    for j, w in enumerate(doc.tolist()):
-        for i in reversed(where.get(w, ())):
+    for j in np.flatnonzero(np.isin(doc, item)).tolist():
+        for i in reversed(where[int(doc[j])]):
             js.append(j)
             is_.append(i)
-    if not js:
-        return 0, 0
     n = len(js)
-    dj, di = np.array(js), np.array(is_)
-    score, count, runs = np.ones(n), [1] * n, [1] * n
+    dj, di = np.array(js, np.int64), np.array(is_, np.int64)
+    score, count, runs, root = np.ones(n), [1] * n, [1] * n, list(range(n))
+    best = list(range(n))
     a = 0
+    # Each word continues the best earlier chain, if it gains by that.
     for x in range(1, n):
-        while js[x] - js[a] > REACH:
+        while js[x] - js[a] > NEAR:
             a += 1
         if a == x:
             continue
@@ -137,113 +197,154 @@ def aligned(item: np.ndarray, doc: np.ndarray) -> tuple[int, int]:
         total[(gap_i < 0) | (gap_j < 0)] = -1.0
         b = int(total.argmax())
         if total[b] > 0:
-            score[x] = 1 + total[b]
+            score[x], root[x] = 1 + total[b], root[a + b]
             count[x] = count[a + b] + 1
-            runs[x] = runs[a + b] + (gap_i[b] > 0 or gap_j[b] > 0)
-    best = int(score.argmax())
-    return count[best], runs[best]
-
-
-def grams_in_order(item: np.ndarray, doc: np.ndarray, k: int = K) -> int:
-    """The most grams of k words of the item that doc holds in the item's order (longest increasing subsequence)."""
-    if len(item) < k or len(doc) < k:
-        return 0
-    same = item[:, None] == doc[None, :]
-    n, m = len(item) - k + 1, len(doc) - k + 1
-    gram = same[:n, :m].copy()
-    for j in range(1, k):
-        gram &= same[j : j + n, j : j + m]
-    j_, i_ = np.nonzero(gram.T)
+            runs[x] = runs[a + b] + bool(gap_i[b] > 0 or gap_j[b] > 0)
+            if score[x] > score[best[root[x]]]:
+                best[root[x]] = x
+    return [(count[e], runs[e], js[r], js[e], is_[r], is_[e]) for r, e in enumerate(best) if root[r] == r]
+
+
+def held_in_parts(item: np.ndarray, doc: np.ndarray) -> int:
+    """How many of the item's words doc holds in its order: in one part, or in several that are passages themselves,
+    however far apart."""
+    found = parts(item, doc)
+    sound = sorted((p for p in found if p[0] >= min(LEAST_RUN, len(item)) * p[1]), key=lambda p: p[3])
+    most = max((p[0] for p in sound), default=0)
+    long_ = [p for p in sound if p[0] >= max(K, LEAST_PART * len(item))]
+    held = []
+    for k, (words_, _, first, _, start, _) in enumerate(long_):
+        held.append(words_ + max((held[m] for m in range(k) if long_[m][3] < first and long_[m][5] < start), default=0))
+    return max([most, *held])
+
+
+def grams_in_order(grams: tuple[np.ndarray, np.ndarray], doc: np.ndarray) -> int:
+    """The most grams of an item that doc holds in the item's order (longest increasing subsequence). grams: sorted
+    hashes and their places; doc: hashes of its grams in order."""
+    g, place = grams
+    lo, hi = np.searchsorted(g, doc, "left"), np.searchsorted(g, doc, "right")
     tails: list[int] = []
-    for i in i_[np.lexsort((-i_, j_))].tolist():
-        at = bisect_left(tails, i)
-        tails[at : at + 1] = [i]
+    for j in np.flatnonzero(hi > lo).tolist():
+        # Of equal grams of the item at most one can follow at this place: the greatest first.
+        for i in sorted(place[lo[j] : hi[j]].tolist(), reverse=True):
+            at = bisect_left(tails, i)
+            tails[at : at + 1] = [i]
     return len(tails)
 
 
-def leaked(item: np.ndarray, doc: np.ndarray) -> bool:
+def leaked(block: Items, i: int, doc: np.ndarray, grams: np.ndarray) -> bool:
     """Whether the document's best passage holds enough of the item, in runs of shared words and not here and there."""
-    if len(item) >= K and grams_in_order(item, doc) < SHARE * len(item) * (1 - (K - 1) / LEAST_RUN):
+    item = block.texts[i]
+    if len(item) >= K and grams_in_order(block.grams[i], grams) < SHARE * len(item) * (1 - (K - 1) / LEAST_RUN):
         return False  # r runs of m words in all share at least m - (K - 1) r grams in order
-    held, runs = aligned(item, doc)
-    return held >= SHARE * len(item) and held >= min(LEAST_RUN, len(item)) * runs
-
+    return held_in_parts(item, doc) >= SHARE * len(item)
 
-def candidates(block: Items, ids: np.ndarray, text: np.ndarray, start: np.ndarray) -> np.ndarray:
-    """Rows of text, item, and the first and last diagonal (place in the text less place in the item) of enough hits.
 
-    Diagonals fall into bins of two widths DRIFT, once more shifted by one, so hits within DRIFT share a bin.
-    """
-    h, at = winnow(ids, text)
+def candidates(block: Items, h: np.ndarray, of: np.ndarray) -> list[tuple[int, int]]:
+    """(text, item) with enough of the item's fingerprints in the text. h: hashes of kept grams; of: which text each is of."""
+    if not len(block.hashes):
+        return []
     lo, hi = np.searchsorted(block.hashes, h, "left"), np.searchsorted(block.hashes, h, "right")
     times = hi - lo
-    if not times.sum():
-        return np.zeros((0, 4), np.int64)
-    where = np.repeat(at, times)
-    inner = np.arange(len(where)) - np.repeat(times.cumsum() - times, times)
-    place = block.places[np.repeat(lo, times) + inner]
-    t, i, q = text[where], place[:, 0], place[:, 1]
-    diagonal = where - start[t] - q
-    longest = int(max(len(x) for x in block.texts))
-    base = diagonal.min()
-    bins = int(diagonal.max() - base) // (2 * DRIFT) + 2
-    need = np.array([max(HITS, int(np.ceil(HIT_SHARE * len(x)))) for x in block.texts])
-    out = []
-    for shift in (0, DRIFT):
-        b = (diagonal - base + shift) // (2 * DRIFT)
-        group = (t * len(block.texts) + i) * bins + b
-        found, n = np.unique(np.unique(group * longest + q) // longest, return_counts=True)
-        ti, b = np.divmod(found, bins)
-        ti, i_ = np.divmod(ti, len(block.texts))
-        ok = n >= need[i_]
-        first = base + b[ok] * 2 * DRIFT - shift
-        out.append(np.column_stack([ti[ok], i_[ok], first, first + 2 * DRIFT]))
-    return np.vstack(out)
-
-
-def leaks_in_batch(block: Items, texts: list[str | None]) -> set[tuple[int, int]]:
-    """(place in texts, place in block) of the leaks; all texts of a batch go through the fingerprints together."""
-    if not block.texts:
-        return set()
-    known = block.ids
-    parts = [np.fromiter((known.get(w, 0) for w in words(t)), np.int64) if t else np.zeros(0, np.int64) for t in texts]
-    size = np.array([len(p) for p in parts])
-    if not size.sum():
-        return set()
-    ids, text, start = np.concatenate(parts), np.repeat(np.arange(len(parts)), size), size.cumsum() - size
-    found: set[tuple[int, int]] = set()
-    for t, i, first, last in candidates(block, ids, text, start).tolist():
-        if (t, i) not in found:
-            item = block.texts[i]
-            if leaked(item, parts[t][max(0, first - DRIFT) : max(0, last + len(item) + DRIFT)]):
-                found.add((t, i))
-    return found
-
-
-def leaks(docs: DataFrame, items: DataFrame, block_items: int = BLOCK_ITEMS) -> DataFrame:
+    inner = np.arange(times.sum()) - np.repeat(times.cumsum() - times, times)
+    found = np.repeat(lo, times) + inner
+    pair = np.repeat(of, times) * len(block.texts) + block.item[found]
+    # Each of an item's places counts once.
+    places, n = np.unique(np.unique(pair * block.longest + block.place[found]) // block.longest, return_counts=True)
+    text, item = np.divmod(places[n >= block.need[places % len(block.texts)]], len(block.texts))
+    return list(zip(text.tolist(), item.tolist()))
+
+
+def _fingerprinted(docs: DataFrame, bloom, key: str) -> DataFrame:
+    """key, words, at: the documents that hold HITS fingerprints of items, or the only one they have."""
+    kind = docs.schema[key].dataType.simpleString()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        numbers = Numbers()
+        for batch in batches:
+            parts = [numbers.of(t) for t in batch.column(1).to_pylist()]
+            size = np.array([len(p) for p in parts], np.int64)
+            ids, of, start = np.concatenate([np.zeros(0, np.int64), *parts]), np.repeat(np.arange(len(parts)), size), size.cumsum() - size
+            h, at = winnow(ids, of)
+            hit = bloom.value.may_have(h)
+            h, at = h[hit], at[hit]
+            doc = of[at]
+            kept = np.flatnonzero(np.bincount(doc, minlength=len(parts)) >= np.minimum(HITS, np.maximum(1, size - K + 1)))
+            chosen = np.isin(doc, kept)
+            bounds = np.searchsorted(doc[chosen], kept)
+            hashes = pa.ListArray.from_arrays(pa.array(np.append(bounds, chosen.sum()), pa.int32()), pa.array(h[chosen].view(np.int64)))
+            taken = [parts[i] for i in kept.tolist()]
+            ends = np.cumsum([0, *map(len, taken)])
+            numbers_of = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate([np.zeros(0, np.int64), *taken])))
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(kept, pa.int64())), numbers_of, hashes], ["doc_key", "words", "hashes"])
+
+    return docs.select(key, "text").where("text IS NOT NULL").mapInArrow(run, f"doc_key {kind}, words array<bigint>, hashes array<bigint>")
+
+
+def _numbered(items: DataFrame) -> DataFrame:
+    """item_key and words of the items that have any, one row for each distinct item."""
+    kind = items.schema["item_id"].dataType.simpleString()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        numbers = Numbers()
+        for batch in batches:
+            found = [numbers.of(t).tolist() for t in batch.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.list_(pa.int64()))], ["item_key", "words"])
+
+    return items.select("item_id", "text").where("text IS NOT NULL").mapInArrow(run, f"item_key {kind}, words array<bigint>").where("size(words) > 0").distinct()
+
+
+def leaks(docs: DataFrame, items: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """Distinct (item_id, doc_id) where the document's text holds at least SHARE of the item's words as one passage.
 
     NULL and empty texts on either side match nothing, nor do texts without words; equal rows give one result; an
-    empty table gives an empty one. Items are taken in blocks of about block_items, one pass over the documents
-    each, so that what is sent to the executors stays bounded; whole texts are searched.
+    empty table gives an empty one. An item of fewer than K words is found only in texts that have no more. Documents
+    are read and cut into words once, whole, whatever the number of items; each block of items, of about block_bytes,
+    is then one pass over the written rows of those documents that hold fingerprints at all.
     """
     spark = docs.sparkSession
-    n = items.count()
-    blocks = max(1, -(-n // block_items))
+    numbered = stage(_numbered(items))
+    sized = numbered.agg(F.coalesce(F.sum(F.size("words")), F.lit(0)).alias("n")).first()["n"]
+    # A word takes 8 bytes for itself, 16 for its gram and its place, and about 16 for what is kept of it.
+    blocks = max(1, -(-sized * 40 // block_bytes))
+    block_of = F.pmod(F.xxhash64("item_key"), F.lit(blocks))
+
+    def block(k: int) -> Items:
+        rows = numbered.where(block_of == k).toArrow()
+        return Items(rows.column(0).to_pylist(), [np.asarray(x) for x in rows.column(1).to_pylist()])
+
+    bloom = Bloom(sized)
+    for k in range(blocks):
+        bloom.add(block(k).hashes)
+    sent_bloom = spark.sparkContext.broadcast(bloom)
+    found = stage(_fingerprinted(docs, sent_bloom, "doc_id"))
+    sent_bloom.unpersist()
     kinds = f"item_id {items.schema['item_id'].dataType.simpleString()}, doc_id {docs.schema['doc_id'].dataType.simpleString()}"
-    out = None
+    out = []
     for k in range(blocks):
-        rows = items.where(F.pmod(F.xxhash64("item_id"), F.lit(blocks)) == k).select("item_id", "text").collect()
-        sent = spark.sparkContext.broadcast(Items([(r.item_id, r.text) for r in rows]))
+        sent = spark.sparkContext.broadcast(block(k))
 
         def run(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
-            block = sent.value
+            one = sent.value
             for batch in batches:
-                pairs = sorted(leaks_in_batch(block, batch.column(1).to_pylist()))
-                keys = batch.column(0).take(pa.array([t for t, _ in pairs], pa.int64()))
-                found = pa.array([block.keys[i] for _, i in pairs])
-                yield pa.RecordBatch.from_arrays([found.cast(pa.int64()) if not pairs else found, keys], ["item_id", "doc_id"])
-
-        part = docs.select("doc_id", "text").where("text IS NOT NULL").mapInArrow(run, kinds)
-        out = part if out is None else out.unionByName(part)
-    return out.distinct()
+                h = batch.column(2)
+                size = np.diff(h.offsets.to_numpy())
+                flat = h.flatten().to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64)
+                words_, last, pairs = batch.column(1), -1, []
+                for t, i in candidates(one, flat, np.repeat(np.arange(len(size)), size)):
+                    if t != last:
+                        doc, last = words_[t].values.to_numpy(zero_copy_only=False).astype(np.int64), t
+                        grams = gram_hashes(doc, np.zeros(len(doc), np.int64))
+                    if leaked(one, i, doc, grams):
+                        pairs.append((t, i))
+                ids = pa.array([one.keys[i] for _, i in pairs])
+                yield pa.RecordBatch.from_arrays([ids if pairs else ids.cast(pa.int64()), batch.column(0).take(pa.array([t for t, _ in pairs], pa.int64()))], ["item_id", "doc_id"])
+
+        out.append(stage(found.mapInArrow(run, kinds)))
+        sent.unpersist()
+    drop_stage(found)
+    drop_stage(numbered)
+    whole = out[0]
+    for part in out[1:]:
+        whole = whole.unionByName(part)
+    return whole.distinct()
