@@ -33,6 +33,8 @@ K, W = 3, 2
 BLOCK_BYTES = 32 << 20
 #: Bits of the Bloom filter for each fingerprint, and at most: then more documents pass that have no hits.
 BLOOM_BITS, MOST_BLOOM_BITS = 16, 1 << 28
+#: Pairs of a text and an item whose hits are counted at a time.
+COUNTERS = 4_000_000
 #: Words whose number a worker remembers.
 REMEMBERED = 500_000
 #: Share of an item's words that makes a leak.
@@ -241,18 +243,31 @@ def leaked(block: Items, i: int, doc: np.ndarray, grams: np.ndarray) -> bool:
 
 
 def candidates(block: Items, h: np.ndarray, of: np.ndarray) -> list[tuple[int, int]]:
-    """(text, item) with enough of the item's fingerprints in the text. h: hashes of kept grams; of: which text each is of."""
-    if not len(block.hashes):
-        return []
+    """(text, item) with enough of the item's fingerprints in the text, in order. h: hashes of kept grams; of: which text
+    each is of, in order. Hits are counted by pair before the few pairs with enough are counted by place."""
+    out: list[tuple[int, int]] = []
+    n = len(block.texts)
+    if not len(block.hashes) or not len(h):
+        return out
     lo, hi = np.searchsorted(block.hashes, h, "left"), np.searchsorted(block.hashes, h, "right")
-    times = hi - lo
-    inner = np.arange(times.sum()) - np.repeat(times.cumsum() - times, times)
-    found = np.repeat(lo, times) + inner
-    pair = np.repeat(of, times) * len(block.texts) + block.item[found]
-    # Each of an item's places counts once.
-    places, n = np.unique(np.unique(pair * block.longest + block.place[found]) // block.longest, return_counts=True)
-    text, item = np.divmod(places[n >= block.need[places % len(block.texts)]], len(block.texts))
-    return list(zip(text.tolist(), item.tolist()))
+    some = hi > lo
+    lo, times, of = lo[some], (hi - lo)[some], of[some]
+    per = max(1, COUNTERS // n)
+    for first in range(0, int(of[-1]) + 1 if len(of) else 0, per):
+        a, z = np.searchsorted(of, [first, first + per])
+        if a == z:
+            continue
+        t = times[a:z]
+        found = np.repeat(lo[a:z] - t.cumsum() + t, t) + np.arange(t.sum())
+        item = block.item[found]
+        pair = np.repeat(of[a:z] - first, t) * n + item
+        enough = np.bincount(pair)[pair] >= block.need[item]
+        pair, place = pair[enough], block.place[found[enough]]
+        # Each of an item's places counts once.
+        kept, places = np.unique(np.unique(pair * block.longest + place) // block.longest, return_counts=True)
+        text, item = np.divmod(kept[places >= block.need[kept % n]], n)
+        out += zip((text + first).tolist(), item.tolist())
+    return out
 
 
 def _fingerprinted(docs: DataFrame, bloom, key: str) -> DataFrame:
