@@ -4,6 +4,8 @@ import itertools
 import math
 import random
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -55,22 +57,129 @@ def test_odd_texts(spark):
 
 @pytest.mark.parametrize("seed", range(5))
 def test_forward_backward_against_all_paths(seed):
+    """Three texts at a time: posteriors of places and of pairs of events."""
     rng = random.Random(seed)
-    n = 6
-    logit, near = [rng.uniform(-3, 3) for _ in range(n)], [rng.randrange(3) for _ in range(n)]
-    mass = [[0.0, 0.0] for _ in range(n)]
-    for path in itertools.product((0, 1), repeat=n):
-        w, last = 0.0, 1
-        for i, e in enumerate(path):
-            w += S.STEPS[near[i]][last][e] + (logit[i] if e else 0.0)
-            last = e
-        for i, e in enumerate(path):
-            mass[i][e] += math.exp(w)
-    for odds, (a, b) in zip(S.forward_backward(logit, near), mass):
-        assert abs(odds - math.log(b / a)) < 1e-9
+    sizes = [6, 1, 4]
+    n = sum(sizes)
+    logit, near = np.array([rng.uniform(-3, 3) for _ in range(n)]), np.array([rng.randrange(3) for _ in range(n)])
+    steps = np.array([[[rng.uniform(-1, 1) for _ in "ab"] for _ in "ab"] for _ in range(3)])
+    odds, pairs = S.forward_backward(logit, near, np.repeat(np.arange(3), sizes), steps)
+    first = 0
+    for size in sizes:
+        mass, both = np.zeros((size, 2)), np.zeros((size, 2, 2))
+        for path in itertools.product((0, 1), repeat=size):
+            w, last = 0.0, 1
+            for i, e in enumerate(path):
+                w += steps[near[first + i]][last][e] + (logit[first + i] if e else 0.0)
+                last = e
+            for i, e in enumerate(path):
+                mass[i][e] += math.exp(w)
+                both[i][path[i - 1] if i else 1][e] += math.exp(w)
+        assert np.allclose(odds[first : first + size], np.log(mass[:, 1] / mass[:, 0]))
+        assert np.allclose(pairs[first : first + size], both / both.sum((1, 2), keepdims=True))
+        first += size
 
 
 def test_marks_seen_through_keep_raw_offsets():
-    text = "Чинили лод\\ки\\. Да​."
-    assert S.places(text)[-1].end == len(text)
-    assert S.places(text)[0].end == text.index(".") + 1
+    text = "Чинили лод\\ки\\. Да\u200b."
+    found = [p[0] for p in S.places(text)[2] if p[1] != S.STARTS]
+    assert found == [text.index(".") + 1, len(text)]
+    clean, to_raw = S._seen("а\u0301б\\\\в")
+    assert clean == "абв" and [to_raw(i) for i in range(4)] == [0, 1, 3, 6]
+
+
+def rows_of(texts: list[str]) -> pa.RecordBatch:
+    """Places of texts as they are written."""
+    found = [S.places(t) for t in texts]
+    lists = [pa.array([[p[i] for p in ps] for _, _, ps in found], pa.list_(pa.from_numpy_dtype(kind))) for i, kind in enumerate(S.PLACE.values())]
+    return pa.RecordBatch.from_arrays([pa.array([S.LANGUAGES.index(lang) for lang, _, _ in found]), *lists], ["lang", *S.PLACE])
+
+
+def learnt(batch: S.Batch, rounds: int = S.ROUNDS, steps: bool = True) -> S.Model:
+    model = S.Model()
+    for _ in range(rounds):
+        cells = np.zeros((S.CELLS, 2))
+        batch.add_counts(model, cells)
+        model = S.Model(cells)
+        if not steps:
+            model.steps = np.zeros_like(model.steps)
+    return model
+
+
+def test_the_first_guess_only_starts():
+    """From no guess at all the same boundaries are learnt, and a model once learnt doesn't look at the guess."""
+    made = corpus(random.Random(1), 500)
+    batch = S.Batch(rows_of([t for _, _, t, _ in made]))
+    model = learnt(batch)
+    odds = batch.posterior(model)[0]
+    batch.first[:] = 0.5
+    assert (batch.posterior(model)[0] == odds).all()
+    blind = batch.posterior(learnt(batch))[0]
+    assert ((blind > 0) == (odds > 0)).mean() > 0.95
+    assert (np.abs(blind - odds) > 0.1).any()
+
+
+def test_events_depend_on_the_events_before_them():
+    made = corpus(random.Random(2), 500)
+    batch = S.Batch(rows_of([t for _, _, t, _ in made]))
+    model = learnt(batch)
+    assert model.steps[0, 1, 1] < model.steps[2, 1, 1]  # a boundary a word behind another is less likely
+    alone = S.Model()
+    alone.__dict__ |= model.__dict__ | {"steps": np.zeros_like(model.steps)}
+    assert np.abs(batch.posterior(model)[0] - batch.posterior(alone)[0])[batch.open].max() > 0.3
+
+
+WHO = {"ru": ["рыбаки", "бабы", "старики", "соседи"], "en": ["the elders", "the smiths", "our neighbours", "some women"], "zh": ["渔夫", "老人们", "邻居们", "木匠"], "th": ["ชาวประมง", "คนแก่", "เพื่อนบ้าน", "ช่างไม้"]}
+DID = {"ru": ["чинили", "носили", "прятали", "красили"], "en": ["mended", "carried", "hid", "painted"], "zh": ["修理", "搬运", "出售", "清洗"], "th": ["ซ่อม", "ขาย", "ล้าง", "ตาก"]}
+WHAT = {"ru": ["сети у реки", "старые корзины", "лодки весной", "косы на гумне"], "en": ["nets at dawn", "old boots", "boats by the mill", "sickles in autumn"], "zh": ["旧渔网", "竹篮子", "木桶在河边", "铜壶"], "th": ["แหเก่า", "ตะกร้า", "ถังไม้ข้างบ่อ", "หม้อทองแดง"]}
+
+
+def sentence(rng, lang: str) -> str:
+    return ("" if lang in ("zh", "th") else " ").join(rng.choice(x[lang]) for x in (WHO, DID, WHAT))
+
+
+@pytest.mark.parametrize("lang", ["ru", "en", "zh", "th"])
+def test_texts_without_marks_are_split(spark, lang):
+    rng = random.Random(7)
+    full, gap = {"zh": ("。", ""), "th": ("", " ")}.get(lang, (".", " "))
+    marked = [(i, gap.join((u := sentence(rng, lang))[0].upper() + u[1:] + full for _ in range(rng.randrange(2, 7)))) for i in range(400)]
+    bare, want = [], {}
+    for i in range(20):
+        units = [sentence(rng, lang) for _ in range(12)]
+        glue = "" if lang in ("zh", "th") else " "
+        bare.append((1000 + i, glue.join(units)))
+        ends = np.cumsum([len(u) for u in units]) + np.arange(12) * len(glue)
+        want[1000 + i] = set(ends.tolist())
+    got: dict[int, set[int]] = {}
+    for r in S.sentence_ends(spark.createDataFrame(marked + bare, "row_id bigint, text string"), ["row_id"]).where("row_id >= 1000").collect():
+        got.setdefault(r.row_id, set()).add(r.end_char)
+    both, found, there = (sum(len(x) for x in y) for y in ([got[i] & want[i] for i in want], got.values(), want.values()))
+    assert both / found > 0.95 and both / there > 0.95
+
+
+def test_units_without_marks_against_all_ways_to_part(spark):
+    rng = random.Random(0)
+    cells = np.zeros((S.GRAM_CELLS, 2))
+    ru = S.LANGUAGES.index("ru")
+    for _ in range(60):
+        units = [sentence(rng, "ru") for _ in range(4)]
+        S.Grams.add(" ".join(units), ru, np.cumsum([len(u) + 1 for u in units]).tolist(), cells)
+    grams = S.Grams(cells)
+    forms = " ".join(sentence(rng, "ru") for _ in range(3)).split()
+    n, gain = len(forms), grams.odds(forms, ru)
+    units = grams.units[ru] + 1e-3
+    seen = units[1:].cumsum()
+    most = int((seen < 0.9999 * seen[-1]).sum()) + 1
+    length = np.convolve(units[1 : most + 2], [0.25, 0.5, 0.25], "same")[: most + 1] / seen[-1]
+    mass, total = np.zeros(n), 0.0
+    for cuts in itertools.product((0, 1), repeat=n - 1):
+        at = [-1, *[i for i, c in enumerate(cuts) if c], n - 1]
+        sizes = np.diff(at)
+        if sizes.max() > len(length):
+            continue
+        w = math.exp(sum(gain[i] for i in at[1:-1])) * math.prod(length[k - 1] for k in sizes)
+        total += w
+        for i in at[1:-1]:
+            mass[i] += w
+    assert grams.split(forms, ru) == np.flatnonzero(mass / total > 0.5).tolist()
+    assert grams.split(["один"], ru) == [] and grams.split([], ru) == []
