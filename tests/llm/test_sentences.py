@@ -90,9 +90,7 @@ def test_marks_seen_through_keep_raw_offsets():
 
 def rows_of(texts: list[str]) -> pa.RecordBatch:
     """Places of texts as they are written."""
-    found = [S.places(t) for t in texts]
-    lists = [pa.array([[p[i] for p in ps] for _, _, ps in found], pa.list_(pa.from_numpy_dtype(kind))) for i, kind in enumerate(S.PLACE.values())]
-    return pa.RecordBatch.from_arrays([pa.array([S.LANGUAGES.index(lang) for lang, _, _ in found]), *lists], ["lang", *S.PLACE])
+    return pa.RecordBatch.from_arrays(S._as_rows([S.places(t) for t in texts]), ["lang", "stretch", *S.PLACE])
 
 
 def learnt(batch: S.Batch, rounds: int = S.ROUNDS, steps: bool = True) -> S.Model:

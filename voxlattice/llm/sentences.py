@@ -264,10 +264,10 @@ def places(text: str) -> tuple[str, int, list[tuple]]:
         out.append([0, STARTS, len(MARKS), 0, SHAPES[shape], _cell(right, RIGHT), _cell(following, RIGHT), 0, 0.5])
     blanks = re.compile(r"\s+") if lang == "th" else None
     specials = [(m.start(), m.end()) for m in _SPECIAL.finditer(clean)]
-    stretch = max((n for _, _, n in _stretches(clean, specials, unspaced)), default=0)
     if blanks:
         specials += [(m.start(), m.end()) for m in blanks.finditer(clean)]
         specials.sort()
+    stretch = max((n for _, _, n in _stretches(clean, specials, unspaced)), default=0)
     for a, b in specials:
         if a >= n:
             break
@@ -476,28 +476,28 @@ def _sums(rows: DataFrame, add, cells: int) -> np.ndarray:
     return out
 
 
+_CODE = {lang: i for i, lang in enumerate(LANGUAGES)}
+
+
+def _as_rows(found: list[tuple[str, int, list[tuple]]]) -> list[pa.Array]:
+    """lang, stretch and the lists of PLACE of texts."""
+    offsets = pa.array(np.cumsum([0, *(len(ps) for _, _, ps in found)]), pa.int32())
+    columns = list(zip(*(p for _, _, ps in found for p in ps))) or [()] * len(PLACE)
+    lists = [pa.ListArray.from_arrays(offsets, pa.array(np.array(c, kind))) for c, kind in zip(columns, PLACE.values())]
+    return [pa.array([_CODE[lang] for lang, _, _ in found], pa.int32()), pa.array([n for _, n, _ in found], pa.int32()), *lists]
+
+
 def _placed(texts: DataFrame, keys: list[str], text: str) -> DataFrame:
     """keys, lang, stretch, and the places of every text that has any."""
     kinds = {np.int32: "int", np.int8: "tinyint", np.float32: "float"}
     schema = ", ".join([*[f"k{i} {texts.schema[k].dataType.simpleString()}" for i, k in enumerate(keys)], "lang int, stretch int", *[f"{name} array<{kinds[kind]}>" for name, kind in PLACE.items()]])
-    code = {lang: i for i, lang in enumerate(LANGUAGES)}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            kept, langs, stretches, sizes, flat = [], [], [], [0], []
-            for i, t in enumerate(batch.column(len(keys)).to_pylist()):
-                if t:
-                    lang, stretch, found = places(t)
-                    if found:
-                        kept.append(i)
-                        langs.append(code[lang])
-                        stretches.append(stretch)
-                        sizes.append(sizes[-1] + len(found))
-                        flat += found
-            offsets, columns = pa.array(sizes, pa.int32()), list(zip(*flat)) or [()] * len(PLACE)
-            lists = [pa.ListArray.from_arrays(offsets, pa.array(np.array(c, kind))) for (name, kind), c in zip(PLACE.items(), columns)]
+            found = [places(t) if t else None for t in batch.column(len(keys)).to_pylist()]
+            kept = [i for i, x in enumerate(found) if x and x[2]]
             take = pa.array(kept, pa.int64())
-            yield pa.RecordBatch.from_arrays([*[batch.column(i).take(take) for i in range(len(keys))], pa.array(langs, pa.int32()), pa.array(stretches, pa.int32()), *lists], [*[f"k{i}" for i in range(len(keys))], "lang", "stretch", *PLACE])
+            yield pa.RecordBatch.from_arrays([*[batch.column(i).take(take) for i in range(len(keys))], *_as_rows([found[i] for i in kept])], [*[f"k{i}" for i in range(len(keys))], "lang", "stretch", *PLACE])
 
     return texts.select(*keys, text).mapInArrow(run, schema)
 
@@ -527,14 +527,15 @@ def _decided(placed: DataFrame, keys: list[str], sent) -> DataFrame:
     return placed.drop("stretch").mapInArrow(run, ", ".join([*[f"k{i} {kinds[f'k{i}']}" for i in range(len(keys))], "end_char int"]))
 
 
-def boundaries(text: str, model: Model) -> list[int]:
-    """Ends of the sentence units of one text that writes marks."""
-    lang, _, found = places(text) if text else ("other", 0, [])
-    if not found:
-        return []
-    columns = [pa.array([[p[i] for p in found]], pa.list_(pa.from_numpy_dtype(kind))) for i, (name, kind) in enumerate(PLACE.items())]
-    b = Batch(pa.RecordBatch.from_arrays([pa.array([LANGUAGES.index(lang)]), *columns], ["lang", *PLACE]))
-    return b.ends[(b.posterior(model)[0] > 0) & (b.sure != STARTS)].tolist()
+def boundaries(texts: list[str], model: Model) -> list[tuple[str, list[int]]]:
+    """Language and ends of the sentence units of texts that write marks."""
+    found = [places(t) for t in texts]
+    b = Batch(pa.RecordBatch.from_arrays(_as_rows(found), ["lang", "stretch", *PLACE]))
+    ends: list[list[int]] = [[] for _ in texts]
+    kept = (b.posterior(model)[0] > 0) & (b.sure != STARTS)
+    for i, end in zip(b.text[kept].tolist(), b.ends[kept].tolist()):
+        ends[i].append(end)
+    return [(lang, e) for (lang, _, _), e in zip(found, ends)]
 
 
 # ---- Texts without marks: an n-gram model over all gaps.
@@ -567,7 +568,7 @@ def _token_cells(forms: list[str], lang: int, unspaced: bool) -> tuple[np.ndarra
     on either side count as one token."""
     before = ["".join(forms[max(0, i - 1) : i + 1]) for i in range(len(forms) - 1)] if unspaced else forms[:-1]
     after = ["".join(forms[i : i + 2]) for i in range(1, len(forms))] if unspaced else forms[1:]
-    cell = lambda x, n: zlib.crc32(f"{lang} {x}".encode()) % n
+    cell = lambda x, n: _cell(f"{lang} {x}", n)
     return np.array([cell(x, TOKENS) for x in before], np.int64), np.array([cell(x, TOKENS) for x in after], np.int64), np.array([cell(f"{a} {b}", PAIRS) for a, b in zip(before, after)], np.int64)
 
 
@@ -636,7 +637,7 @@ def unmarked(text: str, open_from: np.ndarray) -> list[tuple[int, list[tuple[int
     """(language, tokens with raw offsets) of each stretch of a text that writes no marks."""
     clean, to_raw = _seen(text)
     name = _language(clean)
-    lang, unspaced = LANGUAGES.index(name), name in _UNSPACED
+    lang, unspaced = _CODE[name], name in _UNSPACED
     specials = [(m.start(), m.end()) for m in _SPECIAL.finditer(clean)]
     if name == "th":
         specials = sorted(specials + [(m.start(), m.end()) for m in re.finditer(r"\s+", clean)])
@@ -654,9 +655,9 @@ def _without_marks(texts: DataFrame, keys: list[str], text: str, model: Model) -
     sent = spark.sparkContext.broadcast(model)
 
     def count(batch: pa.RecordBatch, cells: np.ndarray) -> None:
-        for t in batch.column(0).to_pylist():
-            if t and not unmarked(t, open_from):
-                Grams.add(t, LANGUAGES.index(_language(_SEEN_THROUGH.sub("", t))), boundaries(t, sent.value), cells)
+        marked = [t for t in batch.column(0).to_pylist() if t and not unmarked(t, open_from)]
+        for t, (lang, ends) in zip(marked, boundaries(marked, sent.value)):
+            Grams.add(t, _CODE[lang], ends, cells)
 
     grams = spark.sparkContext.broadcast(Grams(_sums(texts.select(text), count, GRAM_CELLS)))
 
