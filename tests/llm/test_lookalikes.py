@@ -16,7 +16,16 @@ def test_same_picture(odd, plain):
     assert L.canonical_token(odd) == L.canonical_token(plain) == plain
 
 
-@pytest.mark.parametrize(("a", "b"), [("лед", "лёд"), ("Мир", "мир"), ("сн́ег", "снег"), ("ложки.", "ложки"), ("лжки", "ложки"), ("x²", "x2")])
+@pytest.mark.parametrize(("a", "b"), [("µ", "μ"), ("ﺍ", "ا"), ("Ⅷ", "VIII"), ("⼀", "一"), ("Ꭺ", "A"), ("ﬅ", "st"), ("‒", "–"), ("ǆ", "dž"), ("ﻼ", "لا"), ("ｱ", "ア"), ("ﬁне", "fiне"), ("e\u0308", "ё"), ("ꓮꓐ", "АВ")])
+def test_more_of_one_picture(a, b):
+    assert L.canonical_token(a) == L.canonical_token(b)
+
+
+def test_stable_words_are_in_a_normal_form():
+    assert L.stable("слово") and L.stable("word") and not L.stable("сло\u0301во") and not L.stable("cлово") and not L.stable("и\u0306ог")
+
+
+@pytest.mark.parametrize(("a", "b"), [("l", "I"), ("0", "O"), ("3", "З"), ("№", "No"), ("ϐ", "β"), ("лед", "лёд"), ("Мир", "мир"), ("сн́ег", "снег"), ("ложки.", "ложки"), ("лжки", "ложки"), ("x²", "x2")])
 def test_what_can_be_seen_stays(a, b):
     assert L.canonical_token(a) != L.canonical_token(b)
 

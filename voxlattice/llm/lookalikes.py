@@ -1,13 +1,13 @@
 """Problem 6: one form for text that looks the same.
 
-A quick check by character properties tells which words can't change: those in the plain letters of one script,
-with no combining marks, compatibility widths, formats or unusual blanks. Only the other words are normalised,
-each as a whole so that marks keep their base letters, and spliced back into the unchanged text.
+Words are the segments, with blanks as their boundaries, so marks keep their base letters. The quick check lets pass
+those in a normal form (by Unicode's quick-check property) that are in the plain letters of one script; only the others
+are normalised, each as a whole, and spliced back into the unchanged text.
 
 The form keeps what can be seen (letter case, accents, spelling) and drops what can't: formats and ignorable
-characters, widths, kinds of blanks, ligatures, composition, and the script of letters of one shape. A word is
-written in the script whose letters in daily use can show most of it, and in the home script where several can,
-so words that look the same always end up the same.
+characters, widths, positional and compatibility forms of one picture, kinds of blanks, ligatures, composition, and the
+script of letters of one shape. A word is written in the script whose letters in daily use can show most of it, and in
+the home script where several can, so words that look the same always end up the same.
 """
 
 from __future__ import annotations
@@ -15,6 +15,7 @@ from __future__ import annotations
 import re
 import unicodedata
 from collections.abc import Iterator
+from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -74,8 +75,17 @@ Z - Ζ -
 ᴦ г - -
 ᴨ п - -
 """
-# Single characters that are drawn as one of the above.
-SAME_AS = {"ɑ": "a", "ᴏ": "o", "ᴋ": "к", "ү": "у", "Ү": "У", "Ӏ": "І", "Ϻ": "М", "‐": "-", "‑": "-", "ﬀ": "ff", "ﬁ": "fi", "ﬂ": "fl", "ﬃ": "ffi", "ﬄ": "ffl", "ﬆ": "st"}
+# Single characters that are drawn as one of the above, after Unicode's list of confusable characters
+# (UTS #39); of that list only those that can't be told apart.
+SAME_AS = {
+    "ɑ": "a", "ᴏ": "o", "ᴋ": "к", "ү": "у", "Ү": "У", "Ӏ": "І", "Ϻ": "М", "ﬅ": "st", "‐": "-", "‒": "–", "―": "—", "ꙇ": "i", "ⅼ": "l",
+    "Ꭰ": "D", "Ꭱ": "R", "Ꭲ": "T", "Ꭵ": "i", "Ꭺ": "A", "Ꭻ": "J", "Ꭼ": "E", "Ꮃ": "W", "Ꮇ": "M", "Ꮋ": "H", "Ꮐ": "G", "Ꮓ": "Z", "Ꮪ": "S", "Ꮯ": "C", "Ꮲ": "P", "Ꮶ": "K", "Ꮮ": "L", "Ꮩ": "V", "Ᏼ": "B",
+    "ꓮ": "A", "ꓐ": "B", "ꓚ": "C", "ꓓ": "D", "ꓰ": "E", "ꓝ": "F", "ꓖ": "G", "ꓧ": "H", "ꓲ": "I", "ꓙ": "J", "ꓗ": "K", "ꓡ": "L", "ꓟ": "M", "ꓠ": "N", "ꓳ": "O", "ꓑ": "P", "ꓣ": "R", "ꓢ": "S", "ꓔ": "T", "ꓴ": "U", "ꓦ": "V", "ꓪ": "W", "ꓫ": "X", "ꓬ": "Y", "ꓜ": "Z",
+}
+# Kinds of compatibility decomposition that leave the picture as it is, and ranges of further characters
+# of which that holds: the micro sign, digraphs, Roman numerals, radicals and ligatures.
+_SAME_PICTURE = ("<wide>", "<narrow>", "<noBreak>", "<initial>", "<medial>", "<final>", "<isolated>")
+_ALSO_SAME = ((0xB5, 0xB5), (0x132, 0x133), (0x1C4, 0x1CC), (0x1F1, 0x1F3), (0x2160, 0x217F), (0x2E80, 0x2FD5), (0xFB00, 0xFB04), (0xFB06, 0xFB17))
 SCRIPTS = ("latn", "cyrl", "grek", "armn")
 
 _ROWS = [r.split() for r in SHAPES.split("\n") if r]
@@ -105,14 +115,25 @@ _STABLE = re.compile(f"(?:{STABLE_CYRL}|{STABLE_LATN}|{STABLE_REST})")
 STABLE_TOKEN = rf"^(?:{STABLE_CYRL}|{STABLE_LATN}|[{_MARKS}]*)\z"
 
 
+@lru_cache(maxsize=1 << 16)
+def _picture(c: str) -> str:
+    """What a character is drawn as: itself, or the characters it stands for in another width, position or ligature."""
+    kind = unicodedata.decomposition(c).partition(" ")[0]
+    if kind in _SAME_PICTURE or kind == "<compat>" and any(a <= ord(c) <= z for a, z in _ALSO_SAME):
+        plain = unicodedata.normalize("NFKC", c)
+        # Phrases written as one character don't look like their words.
+        c = c if " " in plain else plain
+    return "".join(SAME_AS.get(x, x) for x in c)
+
+
 def _shape(word: str) -> str:
     """The word decomposed, without what can't be seen and in plain widths."""
-    out = []
-    for c in _IGNORABLE.sub("", word):
-        if unicodedata.decomposition(c).startswith(("<wide>", "<narrow>")):
-            c = unicodedata.normalize("NFKC", c)
-        out.append(SAME_AS.get(c, c))
-    return unicodedata.normalize("NFD", "".join(out))
+    return unicodedata.normalize("NFD", "".join(map(_picture, _IGNORABLE.sub("", word))))
+
+
+def stable(word: str) -> bool:
+    """The quick check: whether nothing in a word can change."""
+    return unicodedata.is_normalized("NFC", word) and _STABLE.fullmatch(word) is not None
 
 
 def _script(letters: list[str], home: str) -> str:
@@ -141,7 +162,7 @@ def canonical_text(text: str | None, home: str | None = None) -> str | None:
     out, kept = [], 0
     for m in _WORD.finditer(text):
         word = m.group()
-        if _STABLE.fullmatch(word):
+        if stable(word):
             continue
         if home is None:
             home = _script([c for c in text if c in _LETTERS], "cyrl")

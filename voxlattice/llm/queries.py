@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import unicodedata
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -67,4 +68,31 @@ def p9_found(spark: SparkSession, sf: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {f.__name__: f for f in (p3_found, p5_found, p6_found, p6_transcripts, p7_found, p8_mixture, p8_shares, p9_found)}
-ORACLE: dict[str, str] = {}
+
+
+def _looks_sql(column: str) -> str:
+    """DuckDB expression for what a token looks like: letters of one shape as one of them, composed, without what can't be
+    seen. The table of pairs is made of the characters of all blocks of alphabetic scripts and of compatibility forms
+    that come out as one character; the few that come out as more follow."""
+    rep = {c: next(x for x in r if x != "-") for r in lookalikes._ROWS for c in r if c != "-"}
+    pairs, longer = {}, {}
+    for a, z in ((0x21, 0x24F), (0x250, 0x2FF), (0x370, 0x58F), (0x13A0, 0x13FF), (0x1D00, 0x1D7F), (0x1E00, 0x1FFF), (0x2010, 0x2015), (0x2160, 0x217F), (0x2E80, 0x2FD5), (0xA4D0, 0xA4FF), (0xFB00, 0xFB17), (0xFE70, 0xFEFC), (0xFF01, 0xFFEE)):
+        for c in map(chr, range(a, z + 1)):
+            made = unicodedata.normalize("NFC", "".join(rep.get(x, x) for x in lookalikes._shape(c)))
+            if made != c and made:
+                (pairs if len(made) == 1 else longer)[c] = made
+    quoted = lambda x: "'" + x.replace("'", "''") + "'"
+    table = f"{quoted(''.join(pairs))}, {quoted(''.join(pairs.values()))}"
+    ignorable = "".join(c if c == "-" else f"\\x{{{ord(c):X}}}" for c in lookalikes._IGNORABLE.pattern.strip("[]"))
+    out = f"regexp_replace({column}, '[{ignorable}]', '', 'g')"
+    for c, made in longer.items():
+        out = f"replace({out}, {quoted(c)}, {quoted(made)})"
+    # Letters are brought to one shape before marks are composed with them, and composed ones after.
+    out = f"translate(nfc_normalize(translate({out}, {table})), {table})"
+    return rf"regexp_replace({out}, '^[\s\x{{A0}}\x{{1680}}\x{{2000}}-\x{{200A}}\x{{202F}}\x{{205F}}\x{{3000}}]+|[\s\x{{A0}}\x{{1680}}\x{{2000}}-\x{{200A}}\x{{202F}}\x{{205F}}\x{{3000}}]+$', '', 'g')"
+
+
+ORACLE: dict[str, str] = {
+    "p6_found": f"""WITH t AS (SELECT token_id, norm, {_looks_sql('norm')} AS form FROM t2_tokens), x AS (SELECT lex_id, norm, {_looks_sql('norm')} AS form FROM norm_lexicon)
+SELECT DISTINCT x.lex_id, t.token_id FROM t JOIN x USING (form) WHERE t.norm <> x.norm AND form <> ''"""
+}
