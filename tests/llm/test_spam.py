@@ -1,6 +1,10 @@
 from __future__ import annotations
 
+import math
 import random
+from collections import Counter
+
+import numpy as np
 
 from voxlattice.llm import spam
 
@@ -28,7 +32,37 @@ def test_kinds_of_spam(spark):
     assert spam.spam_documents(df.limit(0)).collect() == []
 
 
-def test_windows_cover_the_text():
-    lang, chars, x = spam.windows(honest(random.Random(1), 30))
-    assert lang == "ru" and len(chars) == len(x) and chars.sum() > 500 and ((x >= 0) & (x <= 1.0001)).all()
-    assert spam.language("the cat and the dog") == "en" and spam.language("der hund und die katze") == "de" and spam.language("木匠在井边") == "zh"
+def plain_windows(text: str) -> list[list[float]]:
+    """Features of the windows of one text, window by window and token by token."""
+    tokens = [m.group() for m in spam._TOKENS.finditer(text.lower())]
+    kinds = [spam._KIND_OF[t] for t in tokens]
+    own = spam._SETS[spam.language([t for t, k in zip(tokens, kinds) if k == spam.WORD])]
+    starts = [m.start() for m in spam._TOKENS.finditer(text.lower())] + [len(text)]
+    same = ["#" if k == spam.LINK else "0" if k != spam.WORD else t for t, k in zip(tokens, kinds)]
+    times = Counter(zip(same, same[1:]))
+    many = [math.log2(times[p]) for p in zip(same, same[1:])]
+    cuts = list(range(0, len(tokens), spam.WINDOW))
+    if len(cuts) > 1 and len(tokens) - cuts[-1] < spam.WINDOW // 2:
+        cuts.pop()
+    out = []
+    for a, z in zip(cuts, [*cuts[1:], len(tokens)]):
+        k, size = z - a, starts[z] - starts[a]
+        counts = Counter(same[a:z])
+        out.append([
+            sum(t in own for t in tokens[a:z]) / k, sum(x == spam.NUMBER for x in kinds[a:z]) / k, sum(starts[i + 1] - starts[i] for i in range(a, z) if kinds[i] == spam.LINK) / size,
+            sum(max(many[i] if i < len(many) else 0, many[i - 1] if i else 0) for i in range(a, z)) / max(1, math.log2(len(tokens))) / k, -sum(c / k * math.log2(c / k) for c in counts.values()) / math.log2(k) if k > 1 else 1.0,
+        ])
+    return out
+
+
+def test_windows_of_many_texts_against_the_plain_rule():
+    rng = random.Random(1)
+    texts = [honest(rng, rng.randrange(1, 30)) + rng.choice(["", " #сети #сети 3.5 http://a.test/x 12:30 "]) * rng.randrange(4) for _ in range(60)] + ["", "...", "да"]
+    at, langs, chars, x = spam.windows(texts)
+    assert set(langs) == {"ru"}
+    for i, t in enumerate(texts):
+        own = at == i
+        want = plain_windows(t) if any(map(str.isalnum, t)) else []
+        assert own.sum() == len(want) and np.allclose(x[own], want) if want else not own.any()
+    assert (chars > 0).all()
+    assert spam.language("the cat and the dog".split()) == "en" and spam.language("der hund und die katze".split()) == "de" and spam.language(["木匠在井边"]) == "zh"

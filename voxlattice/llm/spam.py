@@ -8,10 +8,10 @@ chi-square distribution and it lies in a spam-directed direction. A text is spam
 
 from __future__ import annotations
 
-import math
 import re
-from collections import Counter
+from collections import Counter, defaultdict
 from collections.abc import Iterator
+from itertools import count
 
 import numpy as np
 import pyarrow as pa
@@ -23,6 +23,8 @@ from voxlattice.runtime import stage
 #: Words in a window.
 WINDOW = 16
 FEATURES = ("function_words", "numbers", "markup", "repetition", "entropy")
+#: Different tokens that a worker remembers.
+REMEMBERED = 500_000
 #: Which way spam lies along each feature.
 TOWARDS = (-1, 1, 1, 1, -1)
 #: Least spread of a feature, for those that are 0 in most windows.
@@ -49,71 +51,105 @@ _SETS = {k: frozenset(v.split()) for k, v in FUNCTION_WORDS.items()} | {k: froze
 _SCRIPTS = (("ru", "а", "я"), ("el", "α", "ω"), ("hy", "ա", "ֆ"), ("ar", "ء", "ي"), ("hi", "ऄ", "ह"), ("th", "ก", "ฮ"), ("ja", "ぁ", "ヺ"), ("zh", "一", "鿿"), ("latin", "a", "z"))
 LANGUAGES = ("ru", "en", "de", "el", "ar", "hi", "hy", "th", "ja", "zh", "other")
 _DROP = {c: None for c in (*range(0x300, 0x306), 0x307, *range(0x309, 0x370), ord("\\"), ord("_"), 0xAD, *range(0x200B, 0x2010), 0x2060, 0xFEFF)}
-_TOKEN = re.compile(
-    r"(?P<time>\d{1,2}:\d\d(?::\d\d)?(?:[.,]\d{1,3})?)"
-    r"|(?P<link></?[a-z]+(?: [^<>]*)?>|https?://\S+|(?:[a-z0-9-]+\.)+[a-z]{2,9}(?:/\S*)?(?![\w.])|#\w+)"
-    r"|(?P<number>\d+(?:[.,]\d+)*)|[぀-ヿ一-鿿]|[฀-๿]{1,3}|[^\W\d_]+(?:[ऀ-ःऺ-ॏ]+[^\W\d_]*)*"
-)
+_TIME, _NUMBER = r"\d{1,2}:\d\d(?::\d\d)?(?:[.,]\d{1,3})?", r"\d+(?:[.,]\d+)*"
+_LINK = r"</?[a-z]+(?: [^<>]*)?>|https?://\S+|(?:[a-z0-9-]+\.)+[a-z]{2,9}(?:/\S*)?(?![\w.])|#\w+"
+_OTHER = r"[\u3040-\u30FF\u4E00-\u9FFF]|[\u0E00-\u0E7F]{1,3}|[^\W\d_]+(?:[\u0900-\u0903\u093A-\u094F]+[^\W\d_]*)*"
+_TOKENS = re.compile(f"({_TIME}|{_LINK}|{_NUMBER}|{_OTHER})")
 _DROPPED = re.compile("[̀-̅̇̉-ͯ\\\\_­​-‏⁠﻿]")
 
 
-def language(text: str) -> str:
-    """The language by script, and by function words among those in Latin letters."""
-    sample = Counter(text)
-    counts = {name: 0 for name, _, _ in _SCRIPTS}
-    for c, n in sample.items():
-        for name, a, b in _SCRIPTS:
-            if a <= c <= b:
-                counts[name] += n
-                break
-    if counts["ja"] * 4 > counts["zh"] > 0:
+class _Kinds(dict):
+    """Token -> WORD, LINK, NUMBER or TIME, each found once."""
+
+    def __missing__(self, token: str) -> int:
+        if len(self) >= REMEMBERED:
+            self.clear()
+        kind = TIME if re.fullmatch(_TIME, token) else LINK if re.fullmatch(_LINK, token) else NUMBER if re.fullmatch(_NUMBER, token) else WORD
+        self[token] = kind
+        return kind
+
+
+class _Scripts(dict):
+    """Character -> its script or "", each found once."""
+
+    def __missing__(self, c: str) -> str:
+        self[c] = next((name for name, a, b in _SCRIPTS if a <= c <= b), "")
+        return self[c]
+
+
+WORD, LINK, NUMBER, TIME = range(4)
+_KIND_OF, _SCRIPT_OF = _Kinds(), _Scripts()
+
+
+def language(words: list[str]) -> str:
+    """The language of words by script, and by function words among those in Latin letters."""
+    counts: dict[str, int] = {}
+    for c, n in Counter("".join(words)).items():
+        if name := _SCRIPT_OF[c]:
+            counts[name] = counts.get(name, 0) + n
+    if counts.get("ja", 0) * 4 > counts.get("zh", 0) > 0:
         return "ja"
-    best = max(counts, key=counts.get)
-    if counts[best] == 0:
+    best = max((name for name, _, _ in _SCRIPTS), key=lambda name: counts.get(name, 0))
+    if best not in counts:
         return "other"
     if best != "latin":
         return best
-    words = re.findall(r"[a-zäöüß]+", text)
-    return max(("en", "de"), key=lambda k: sum(w in _SETS[k] for w in words))
-
-
-def windows(text: str, window: int = WINDOW) -> tuple[str, np.ndarray, np.ndarray]:
-    """Language, characters per window, and features per window (rows) of a whole text."""
-    low = _DROPPED.sub("", text.lower())
-    found = list(_TOKEN.finditer(low))
-    n = len(found)
-    if n == 0:
-        return "other", np.zeros(0, np.int64), np.zeros((0, len(FEATURES)))
-    words = [m.group() for m in found]
-    kinds = [m.lastgroup for m in found]
-    lang = language(" ".join(w for w, k in zip(words, kinds) if k is None))
-    own = _SETS.get(lang, frozenset())
-    start = np.fromiter((m.start() for m in found), np.int64, n)
-    size = np.diff(np.append(start, len(low)))
-    is_link = np.fromiter((k == "link" for k in kinds), bool, n)
-    is_number = np.fromiter((k == "number" for k in kinds), float, n)
-    is_function = np.fromiter((w in own for w in words), float, n)
-    same = ["#" if k == "link" else "0" if k in ("number", "time") else w for w, k in zip(words, kinds)]
-    pairs = list(zip(same, same[1:]))
-    times = Counter(pairs)
-    many = np.log2(np.fromiter((times[p] for p in pairs), float, n - 1)) if n > 1 else np.zeros(0)
-    repeated = np.maximum(np.append(many, 0), np.insert(many, 0, 0)) / max(1.0, math.log2(n))
-    cuts = list(range(0, n, window))
-    if len(cuts) > 1 and n - cuts[-1] < window // 2:
-        cuts.pop()
-    at = np.array(cuts)
-    length = np.diff(np.append(at, n))
-    total = lambda x: np.add.reduceat(x, at)
-    chars = total(size)
-    entropy = np.zeros(len(cuts))
-    for i, a in enumerate(cuts):
-        k = int(length[i])
-        if k > 1:
-            entropy[i] = -sum(c / k * math.log2(c / k) for c in Counter(same[a : a + k]).values()) / math.log2(k)
-        else:
-            entropy[i] = 1.0
-    out = np.column_stack([total(is_function) / length, total(is_number) / length, total(np.where(is_link, size, 0)) / np.maximum(chars, 1), total(repeated) / length, entropy])
-    return lang, chars, out
+    return max(("en", "de"), key=lambda k: sum(map(_SETS[k].__contains__, words)))
+
+
+def windows(texts: list[str], window: int = WINDOW) -> tuple[np.ndarray, list[str], np.ndarray, np.ndarray]:
+    """Which text each window is of, its language and characters, and its features (rows), of whole texts.
+
+    Each text is cut into tokens on its own; all else is counted for all texts together. Texts without tokens have none.
+    """
+    tokens: list[str] = []
+    lengths, counts, langs, function = [], [], [], []
+    for text in texts:
+        parts = _TOKENS.split(_DROPPED.sub("", text.lower()))
+        found = parts[1::2]
+        counts.append(len(found))
+        if not found:
+            langs.append("other")
+            continue
+        lang = language([t for t in found if _KIND_OF[t] == WORD])
+        langs.append(lang)
+        function.append(np.fromiter(map(_SETS.get(lang, frozenset()).__contains__, found), bool, len(found)))
+        # What stands behind a token counts with it.
+        size = np.fromiter(map(len, parts), np.int64, len(parts))
+        lengths.append(size[1::2] + size[2::2])
+        tokens += found
+    if not tokens:
+        return np.zeros(0, np.int64), [], np.zeros(0, np.int64), np.zeros((0, len(FEATURES)))
+    n = np.array(counts)
+    of, start = np.repeat(np.arange(len(texts)), n), n.cumsum() - n
+    kind = np.fromiter(map(_KIND_OF.__getitem__, tokens), np.int8, len(tokens))
+    chars, is_function = np.concatenate(lengths), np.concatenate(function)
+    known: dict[str, int] = defaultdict(count().__next__)
+    same = np.fromiter(map(known.__getitem__, tokens), np.int64, len(tokens)) + 2
+    same[kind == LINK], same[(kind == NUMBER) | (kind == TIME)] = 0, 1
+    # How often each pair of neighbours occurs in its text.
+    inner = of[1:] == of[:-1]
+    pair = (of[:-1] * (len(known) + 2) + same[:-1])[inner]
+    _, pair = np.unique(pair, return_inverse=True)
+    _, at, times = np.unique(pair * (len(known) + 2) + same[1:][inner], return_inverse=True, return_counts=True)
+    many = np.zeros(len(tokens) + 1)
+    many[1:-1][inner] = np.log2(times[at])
+    repeated = np.maximum(many[1:], many[:-1]) / np.maximum(1.0, np.log2(n))[of]
+    # A short rest belongs to the last window.
+    place = np.arange(len(tokens)) - start[of]
+    last = np.maximum(0, (n - window // 2) // window)
+    number = np.minimum(place // window, last[of])
+    first = np.flatnonzero(np.append(True, (number[1:] != number[:-1]) | ~inner))
+    length = np.diff(np.append(first, len(tokens)))
+    total = lambda x: np.add.reduceat(x, first)
+    which = np.repeat(np.arange(len(first)), length)
+    _, at, times = np.unique(which * (len(known) + 2) + same, return_inverse=True, return_counts=True)
+    # The sum over tokens of -log(share) / length is that over kinds of -share * log(share).
+    spread = total(-np.log2(times[at] / length[which])) / length
+    entropy = np.where(length > 1, spread / np.log2(np.maximum(length, 2)), 1.0)
+    size = total(chars)
+    x = np.column_stack([total(is_function.astype(float)) / length, total((kind == NUMBER).astype(float)) / length, total(np.where(kind == LINK, chars, 0)) / np.maximum(size, 1), total(repeated) / length, entropy])
+    return of[first], [langs[i] for i in of[first].tolist()], size, x
 
 
 def window_features(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -121,18 +157,10 @@ def window_features(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            at, langs, chars, rows = [], [], [], []
-            for i, t in enumerate(batch.column(1).to_pylist()):
-                if t:
-                    lang, size, x = windows(t)
-                    at += [i] * len(size)
-                    langs += [lang] * len(size)
-                    chars.append(size)
-                    rows.append(x)
-            x = np.vstack(rows) if rows else np.zeros((0, len(FEATURES)))
+            at, langs, chars, x = windows([t or "" for t in batch.column(1).to_pylist()])
             keys = batch.column(0).take(pa.array(at, pa.int64()))
             yield pa.RecordBatch.from_arrays(
-                [keys, pa.array(langs, pa.string()), pa.array(np.concatenate(chars) if chars else [], pa.int64()), *[pa.array(x[:, k].astype(np.float32)) for k in range(x.shape[1])]],
+                [keys, pa.array(langs, pa.string()), pa.array(chars, pa.int64()), *[pa.array(x[:, k].astype(np.float32)) for k in range(x.shape[1])]],
                 ["doc_key", "language", "chars", *FEATURES],
             )
 
