@@ -46,3 +46,12 @@ def test_token_counts_round_trip(spark):
     encoder = M._encoder(M.TOKENIZER)
     assert all(encoder.decode(encoder.encode_ordinary(t)) == t for t in texts if t)
     assert got == {i: len(encoder.encode_ordinary(t)) if t else 0 for i, t in enumerate(texts)}
+
+
+def test_the_largest_mixture_within_reach(spark):
+    """Source c has 63 tokens to give with all repeats, d none at all: the others stay at what they should be beside c."""
+    targets = spark.createDataFrame(TARGETS, "source_name string, target_share double, max_repeats int")
+    mixed, planned = M.mixture(sized(spark), targets, total=M.WITHIN_REACH)
+    assert {p["source"]: round(p["given"]) for p in planned} == {"a": 315, "b": 189, "c": 63, "d": 0}
+    shares = {r.source_name: r.actual_share for r in M.shares(mixed, planned).collect()}
+    assert abs(shares["a"] - 5 / 9) < 0.02 and abs(shares["b"] - 3 / 9) < 0.02 and abs(shares["c"] - 1 / 9) < 0.01

@@ -24,6 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from voxlattice.llm.batches import by_size
 from voxlattice.llm.lookalikes import SAME_AS, SHAPES
 from voxlattice.runtime import drop_stage, stage
 
@@ -276,7 +277,7 @@ def _fingerprinted(docs: DataFrame, bloom, key: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         numbers = Numbers()
-        for batch in batches:
+        for batch in by_size(batches, 1):
             parts = [numbers.of(t) for t in batch.column(1).to_pylist()]
             size = np.array([len(p) for p in parts], np.int64)
             ids, of, start = np.concatenate([np.zeros(0, np.int64), *parts]), np.repeat(np.arange(len(parts)), size), size.cumsum() - size

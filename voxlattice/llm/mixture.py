@@ -75,22 +75,32 @@ def _pieces(knots: Schedule) -> list[tuple[float, float, float, float, float, fl
     return out
 
 
+#: As `total`: the largest mixture in which every source that has documents reaches its share.
+WITHIN_REACH = -1
+
+
 def plan(sized: DataFrame, targets: DataFrame, total: int | None = None) -> list[dict]:
     """For each target: what there is of its source, what it should give, and what it gives.
 
-    total: size of the mixture in tokens, by default what there is of all target sources together. A source that
-    can't give its share even with max_repeats uses of each document gives all it can.
+    total: size of the mixture in tokens, by default what there is of all target sources together, or WITHIN_REACH. A
+    source that can't give its share even with max_repeats uses of each document gives all it can. Within reach the
+    shares are of what sources with documents give, so that they reach theirs whatever targets have none.
     """
     named = targets.groupBy(source_name(F.col("source_name")).alias("name")).agg(F.sum("target_share").alias("target_share"), F.max("max_repeats").alias("max_repeats"))
     there = sized.where("tokens > 0").groupBy("source").agg(F.sum("tokens").alias("tokens"), F.count("*").alias("documents"))
     rows = named.join(there, F.col("name") == F.col("source"), "left").limit(MOST_TARGETS + 1).collect()
     if len(rows) > MOST_TARGETS:
         raise ValueError(f"more than {MOST_TARGETS} targets")
+    there_share = 1.0
+    if total == WITHIN_REACH:
+        able = [r for r in rows if r.tokens and (r.max_repeats or 0) > 0 and (r.target_share or 0) > 0]
+        there_share = sum(r.target_share for r in able) or 1.0
+        total = int(min((r.tokens * r.max_repeats * there_share / r.target_share for r in able), default=0))
     total = sum(r.tokens or 0 for r in rows) if total is None else total
     out = []
     for r in sorted(rows, key=lambda r: r["name"] or ""):
         have, repeats = r.tokens or 0, max(0, r.max_repeats or 0)
-        wanted = (r.target_share or 0.0) * total
+        wanted = (r.target_share or 0.0) * total / there_share
         out.append({"source": r["name"], "target_share": r.target_share or 0.0, "max_repeats": repeats, "documents": r.documents or 0, "available": have, "wanted": wanted, "given": min(wanted, float(have * repeats))})
     return out
 

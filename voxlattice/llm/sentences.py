@@ -32,6 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from voxlattice.llm.batches import by_size
 from voxlattice.runtime import stage
 
 #: Cells that words on the left and on the right are hashed into, per language.
@@ -493,7 +494,7 @@ def _placed(texts: DataFrame, keys: list[str], text: str) -> DataFrame:
     schema = ", ".join([*[f"k{i} {texts.schema[k].dataType.simpleString()}" for i, k in enumerate(keys)], "lang int, stretch int", *[f"{name} array<{kinds[kind]}>" for name, kind in PLACE.items()]])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in by_size(batches, len(keys)):
             found = [places(t) if t else None for t in batch.column(len(keys)).to_pylist()]
             kept = [i for i, x in enumerate(found) if x and x[2]]
             take = pa.array(kept, pa.int64())

@@ -18,6 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from voxlattice.llm.batches import by_size
 from voxlattice.runtime import stage
 
 #: Words in a window.
@@ -156,7 +157,7 @@ def window_features(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     """key, language, chars and the features of every window; NULL texts and texts without words have no rows."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in by_size(batches, 1):
             at, langs, chars, x = windows([t or "" for t in batch.column(1).to_pylist()])
             keys = batch.column(0).take(pa.array(at, pa.int64()))
             yield pa.RecordBatch.from_arrays(

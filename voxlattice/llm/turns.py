@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from voxlattice.functions.timecode import code_ms
 from voxlattice.llm.boosting import Boosted
 from voxlattice.operators.latest import latest
-from voxlattice.runtime import broadcast_if_small, stage
+from voxlattice.runtime import broadcast_if_small, drop_stage, stage
 
 #: Lines of a clip that one task scans.
 BLOCK = 4096
@@ -263,6 +263,7 @@ def turns(lines: DataFrame, rows: int = TRAINING_ROWS, model: Callable[[DataFram
     pieces = counted.groupBy(*KEYS, "block", "turn").agg(F.min_by("speaker", "pos").alias("speaker"), F.min("pos").alias("first_pos"), F.max("pos").alias("last_pos"))
     # A turn may reach over blocks: what stands before a block's first boundary goes on with the block before.
     pieces = stage(pieces.withColumn("edge", (F.col("turn") == 0) | (F.col("turn") == F.max("turn").over(Window.partitionBy(*KEYS, "block")))))
+    drop_stage(scanned)
     along = Window.partitionBy(*KEYS).orderBy("block", "turn").rowsBetween(Window.unboundedPreceding, 0)
     edges = pieces.where("edge").withColumn("whole", F.sum((F.col("turn") > 0).cast("int")).over(along))
     joined = edges.groupBy(*KEYS, "whole").agg(F.min_by("speaker", "first_pos").alias("speaker"), F.min("first_pos").alias("first_pos"), F.max("last_pos").alias("last_pos")).drop("whole")
