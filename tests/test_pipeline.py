@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from voxlattice.functions import similarity as S
 from voxlattice.functions import text as T
 from voxlattice.functions.timecode import code_ms, code_seconds, ms_code
-from voxlattice.operators import alignment, batching, recognise, reorder, segments
+from voxlattice.operators import batching, matching, recognise, reorder, segments
 from voxlattice.sources import audio, index, manifest, sinks
 from voxlattice.sources.srt import CUT, EMBED, MERGE, SPAN, parse_blocks, render_srt
 from voxlattice.streaming.srt_stream import each_batch, stream_blocks
@@ -37,8 +37,8 @@ def test_normalisers(spark):
     assert one(spark, T.norm_edit, said).endswith("ёлка да… ну ка 00 01 02 003")
     assert one(spark, T.norm_tokens, "Мой «чай», ёж-то") == "мои чаи еж-то"
     assert one(spark, lambda c: T.norm_match(c, srt=True), "[x] Да, (нет)…") == "да нет"
-    assert one(spark, T.clean_alignment, "Да_,  нет́ ") == "Да, нет"
-    assert one(spark, T.alignment_clean, "Да [смех] нет") == "Да нет"
+    assert one(spark, T.clean_for_matching, "Да_,  нет́ ") == "Да, нет"
+    assert one(spark, T.clean_without_notes, "Да [смех] нет") == "Да нет"
 
 
 def test_brackets_labels_and_packing(spark):
@@ -81,7 +81,8 @@ BLOCKS = "1\n00:00:00,031 --> 00:00:05,739\n[SPEAKER_01]: Да\nвот\n\n2\n00:
 def test_srt_readers(spark):
     df = spark.createDataFrame([("r", BLOCKS), ("e", ""), ("n", None)], "k string, srt string")
     read = lambda rules: [(r.srt_index, r.start_code, r.speaker_tag, r.text) for r in parse_blocks(df, "srt", rules).orderBy("block_no").collect()]
-    assert read(MERGE) == [(1, "00:00:00,031", "SPEAKER_01", "Да вот"), (2, "00:00:05,759", None, "Нет")]
+    # The merging reader takes whatever stands on both sides of the arrow.
+    assert read(MERGE) == [(1, "00:00:00,031", "SPEAKER_01", "Да вот"), (2, "00:00:05,759", None, "Нет"), (4, "00:00", None, "B")]
     assert read(SPAN) == [(1, "00:00:00,031", "[SPEAKER_01]:", "Да\nвот"), (2, "00:00:05,759", "", "Нет")]
     assert read(EMBED) == [(1, "00:00:00,031", "SPEAKER_01", "Да"), (2, "00:00:05,759", "UNKNOWN", "Нет"), (None, "00:00:01,000", "UNKNOWN", "A")]
     strict = parse_blocks(df, "srt", CUT).orderBy("block_no").collect()
@@ -129,10 +130,10 @@ def test_merged_labels(spark):
 
 def test_greedy_matchers():
     a = ["один два три", "четыре пять", "шесть семь"]
-    assert alignment.greedy_pointer(a, a) == [[0], [1], [2]]
-    assert alignment.greedy_pointer(["совсем другое", *a], ["лишнее слово тут", *a])[1:] == [[1], [2], [3]]
-    assert alignment.greedy_run(a, a)[0] == [0] and alignment.greedy_run(a, []) == [[], [], []]
-    assert alignment.greedy_run(["а б"], ["а б"]) == [[0]]
+    assert matching.greedy_pointer(a, a) == [[0], [1], [2]]
+    assert matching.greedy_pointer(["совсем другое", *a], ["лишнее слово тут", *a])[1:] == [[1], [2], [3]]
+    assert matching.greedy_run(a, a)[0] == [0] and matching.greedy_run(a, []) == [[], [], []]
+    assert matching.greedy_run(["а б"], ["а б"]) == [[0]]
 
 
 def brute_spans(segs, tokens, skip, least, longest, cost):
@@ -154,12 +155,12 @@ def brute_spans(segs, tokens, skip, least, longest, cost):
     return best
 
 
-def test_span_alignment_against_all_paths():
+def test_span_matches_against_all_paths():
     rng = random.Random(4)
     for _ in range(60):
         segs = [[rng.choice("abcd") for _ in range(rng.randrange(3))] for _ in range(rng.randrange(4))]
         tokens = [rng.choice("abcd") for _ in range(rng.randrange(6))]
-        ends, costs = alignment.span_boundaries(segs, tokens, longest=3)
+        ends, costs = matching.span_boundaries(segs, tokens, longest=3)
         want, j = brute_spans(segs, tokens, 0.8, 0.3, 3, 0.02)
         assert round(costs[-1] if costs else 0.0, 9) == want and ends[-1] == j and ends[0] == 0 and ends == sorted(ends)
 
@@ -178,8 +179,9 @@ def test_reordering(spark):
     texts = ["рыбаки чинили сети у брода", "бабы носили корзины в амбар", "кузнецы точили косы на гумне"]
     rows = [("f", i, t, texts[(i + 1) % 3], True) for i, t in enumerate(texts)] + [("f", 3, "", None, False)]
     df = spark.createDataFrame(rows, "f string, pos int, text string, transcript string, active boolean")
-    got = {r.pos: (r.transcript, r.applied) for r in reorder.reordered(df, "f", "pos", "text", "transcript", "active").collect()}
-    assert got == {0: (texts[0], True), 1: (texts[1], True), 2: (texts[2], True), 3: (None, True)}
+    rows, summary = reorder.reordered(df, "f", "pos", "text", "transcript", "active")
+    assert {r.pos: r.transcript for r in rows.collect()} == {0: texts[0], 1: texts[1], 2: texts[2], 3: None}
+    assert summary.first().applied
 
 
 def test_batches(spark):

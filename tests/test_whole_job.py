@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from voxlattice.functions.timecode import code_ms
-from voxlattice.operators import alignment, hierarchy
+from voxlattice.operators import hierarchy, matching
 from voxlattice.plans import pipeline
 from voxlattice.plans.queries import QUERIES
 
@@ -62,11 +62,11 @@ def test_a_clip_is_aligned_across_any_place(spark):
     lines = [("r", 1, i, f"слово{i + 300}" if i >= 1_000 else "нет") for i in range(n)]
     left, right = spark.createDataFrame(lines, "recording_id string, seg_no int, l_pos int, l_norm string"), spark.createDataFrame(tokens, "recording_id string, seg_no int, r_pos int, r_norm string")
     tail = spark.createDataFrame([("r", 1, i, f"слово{i}") for i in range(n)], "recording_id string, seg_no int, l_pos int, l_norm string")
-    rows = alignment.span_aligned(tail, right.where(f"r_pos < {n}"), ["recording_id", "seg_no"]).orderBy("l_pos").collect()
+    rows = matching.span_aligned(tail, right.where(f"r_pos < {n}"), ["recording_id", "seg_no"]).orderBy("l_pos").collect()
     assert [(r.tok_from, r.tok_to) for r in rows] == [(i, i + 1) for i in range(n)]
-    met = alignment.aligned(tail, right, ["recording_id", "seg_no"], lambda a, b: [[b.index(x)] if x in b else [] for x in a]).collect()
+    met = matching.aligned(tail, right, ["recording_id", "seg_no"], lambda a, b: [[b.index(x)] if x in b else [] for x in a]).collect()
     assert sorted((r.l_pos, r.r_pos) for r in met) == [(i, i) for i in range(n)]
-    far = alignment.aligned(left, right, ["recording_id", "seg_no"], lambda a, b: [[b.index(x)] if x in b else [] for x in a]).collect()
+    far = matching.aligned(left, right, ["recording_id", "seg_no"], lambda a, b: [[b.index(x)] if x in b else [] for x in a]).collect()
     assert sorted((r.l_pos, r.r_pos) for r in far) == [(i, i + 300) for i in range(1_000, n)]
 
 
@@ -91,15 +91,15 @@ def plain_boundaries(segments, tokens, skip, least, longest, length_cost):
     return ends, [best[i][ends[i]] for i in range(1, n + 1)]
 
 
-@pytest.mark.parametrize("whole", [0, alignment.WHOLE_TABLE])
+@pytest.mark.parametrize("whole", [0, matching.WHOLE_TABLE])
 def test_span_boundaries_equal_the_whole_table(monkeypatch, whole):
-    monkeypatch.setattr(alignment, "WHOLE_TABLE", whole)
+    monkeypatch.setattr(matching, "WHOLE_TABLE", whole)
     rng = random.Random(7)
     for _ in range(150):
         segments = [[rng.choice("abcdefg") for _ in range(rng.randrange(5))] for _ in range(rng.randrange(12))]
         tokens = [rng.choice(["", *"abcdefgh"]) for _ in range(rng.randrange(30))]
         options = {"skip": rng.choice([0.5, 0.8, 1.0]), "least": rng.choice([0.2, 0.3, 0.4]), "longest": rng.choice([3, 15, 25]), "length_cost": rng.choice([0.01, 0.02, 0.05])}
-        assert alignment.span_boundaries(segments, tokens, **options) == plain_boundaries(segments, tokens, **options)
+        assert matching.span_boundaries(segments, tokens, **options) == plain_boundaries(segments, tokens, **options)
 
 
 def test_readers_return_all_blocks_of_a_clip(spark, tmp_path):
@@ -109,9 +109,8 @@ def test_readers_return_all_blocks_of_a_clip(spark, tmp_path):
     ]
     sf = saved(spark, tmp_path, srt_segments=(rows, SRT))
     read = lambda name: [(r.srt_index, r.tag, r.bad) for r in QUERIES[name](spark, sf).orderBy("block_no").collect()]
-    bad = [(3, None, "time"), (4, None, "time")]
-    assert [r for r in read("srt_parse_merge") if r[2] is None] == [(1, "SPEAKER_01", None), (2, None, None), (5, None, None), (6, None, None)]
-    assert [(i, b) for i, _, b in read("srt_parse_merge") if b] == [(i, b) for i, _, b in bad]
+    assert [r for r in read("srt_parse_merge") if r[2] is None] == [(1, "SPEAKER_01", None), (2, None, None), (3, "SPEAKER_01", None), (5, None, None), (6, None, None)]
+    assert [(i, b) for i, _, b in read("srt_parse_merge") if b] == [(4, "time")]
     assert [r for r in read("srt_parse_span") if r[2] is None] == [(1, "[SPEAKER_01]:", None), (2, "", None), (5, "", None), (6, "[АБВ]:", None)]
     for name, last in (("srt_parse_embed", "UNKNOWN"), ("srt_parse_cut", "АБВ")):
         got = read(name)

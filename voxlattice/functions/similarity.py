@@ -7,7 +7,7 @@ import re
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType
+from pyspark.sql.types import DoubleType, IntegerType, StructField, StructType
 
 from voxlattice.functions.text import norm_edit
 
@@ -91,9 +91,13 @@ def partial_ratio(a: str, b: str, enough: float = 100.0) -> float:
     return best
 
 
-def token_set_ratio(a: str, b: str) -> float:
-    """The best ratio among the shared words and the shared words with either side's rest; 0 if a side has no words."""
-    x, y = (set(re.findall(r"\w+", t.lower())) for t in (a, b))
+def token_set_ratio(a: str, b: str, blanks: bool = False) -> float:
+    """The best ratio among the shared words and the shared words with either side's rest; 0 if a side has no words.
+
+    With blanks, words are what stands between blanks, in their case (M-04, M-05); else runs of word characters in lower
+    case (M-03).
+    """
+    x, y = (set(t.split()) if blanks else set(re.findall(r"\w+", t.lower())) for t in (a, b))
     if not x or not y:
         return 0.0
     both, left, right = (" ".join(sorted(s)) for s in (x & y, x - y, y - x))
@@ -103,11 +107,17 @@ def token_set_ratio(a: str, b: str) -> float:
     return max(ratio(one, two), *((ratio(both, one), ratio(both, two)) if both else (0.0,)))
 
 
-@F.pandas_udf(DoubleType())
-def token_set_ratio_udf(a: pd.Series, b: pd.Series) -> pd.Series:
-    return pd.Series([token_set_ratio(x or "", y or "") for x, y in zip(a, b)], dtype=float)
+def strict_scores(a: str, b: str) -> tuple[int, int]:
+    """M-03: word-set and partial ratio as whole numbers."""
+    return round(token_set_ratio(a, b)), round(partial_ratio(a, b))
+
+
+@F.pandas_udf(StructType([StructField("words", IntegerType()), StructField("part", IntegerType())]))
+def strict_scores_udf(a: pd.Series, b: pd.Series) -> pd.DataFrame:
+    return pd.DataFrame([strict_scores(x or "", y or "") for x, y in zip(a, b)], columns=["words", "part"]).astype("int32")
 
 
-@F.pandas_udf(DoubleType())
-def partial_ratio_udf(a: pd.Series, b: pd.Series) -> pd.Series:
-    return pd.Series([partial_ratio(x or "", y or "") for x, y in zip(a, b)], dtype=float)
+@F.pandas_udf(StructType([StructField("words", DoubleType()), StructField("part", DoubleType())]))
+def loose_scores_udf(a: pd.Series, b: pd.Series) -> pd.DataFrame:
+    """M-04: the same ratios as they are, of words between blanks; 0 if a side is empty."""
+    return pd.DataFrame([(token_set_ratio(x, y, blanks=True), partial_ratio(x, y)) if x and y else (0.0, 0.0) for x, y in zip(a, b)], columns=["words", "part"], dtype=float)

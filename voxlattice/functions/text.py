@@ -6,12 +6,13 @@ unless said otherwise.
 
 from __future__ import annotations
 
+import re
 import unicodedata
 
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
+from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, StructType
 
 # The combining accents that serve as stress marks, and the mark of segments left out.
 STRESS = "\u0300\u0301\u0302\u0303\u0304"
@@ -84,14 +85,14 @@ def norm_edit(text: Column) -> Column:
     return squeeze(F.regexp_replace(s, r"[.,!?;:—–-]+", " "))
 
 
-def clean_alignment(text: Column) -> Column:
+def clean_for_matching(text: Column) -> Column:
     """N-6: without stress marks and underscores, blanks squeezed; case and punctuation stay."""
     return squeeze(F.regexp_replace(drop_stress(text), "_", ""))
 
 
-def alignment_clean(text: Column) -> Column:
-    """The clean form of an alignment (a definition of our own): N-6 without bracketed notes."""
-    return clean_alignment(drop_brackets(text))
+def clean_without_notes(text: Column) -> Column:
+    """The clean form of matched texts (a definition of our own): N-6 without bracketed notes."""
+    return clean_for_matching(drop_brackets(text))
 
 
 def split_sentences(text: Column) -> Column:
@@ -153,50 +154,77 @@ def words(text: Column) -> Column:
     return F.filter(F.split(text, r"(?U)\s+"), lambda x: x != "")
 
 
-def packed_sentences(text: Column, longest: int = 30, shortest: int = 5) -> Column:
-    """T-07: parts between runs of . ! ? packed into segments of up to `longest` words; marks are lost, ellipses don't split."""
-    parts = F.filter(F.transform(F.split(text, r"[.!?]+"), strip), lambda x: x != "")
-    count = lambda x: F.size(words(x))
-    start = F.struct(F.array().cast("array<string>").alias("done"), F.lit("").alias("now"))
+def pack(text: str, longest: int = 30, shortest: int = 5) -> list[str]:
+    """T-07 of one text: parts between runs of . ! ? packed into segments of up to `longest` words; one of fewer than
+    `shortest` takes in the next. Marks are lost, ellipses don't split."""
+    done: list[str] = []
+    now, n = [], 0
+    for part in re.split(r"[.!?]+", text):
+        part = part.strip()
+        if not part:
+            continue
+        size = len(part.split())
+        if now and (n + size > longest or n >= shortest):
+            done.append(" ".join(now))
+            now, n = [], 0
+        now.append(part)
+        n += size
+    return done + ([" ".join(now)] if now else [])
 
-    def add(acc: Column, x: Column) -> Column:
-        both = F.concat(acc["now"], F.lit(" "), x)
-        flushed = F.struct(F.concat(acc["done"], F.array(acc["now"])).alias("done"), x.alias("now"))
-        grown = F.struct(acc["done"].alias("done"), both.alias("now"))
-        begun = F.struct(acc["done"].alias("done"), x.alias("now"))
-        return F.when(acc["now"] == "", begun).when(count(acc["now"]) + count(x) > longest, flushed).when(count(acc["now"]) < shortest, grown).otherwise(flushed)
 
-    return F.aggregate(parts, start, add, lambda acc: F.when(acc["now"] == "", acc["done"]).otherwise(F.concat(acc["done"], F.array(acc["now"]))))
+def clean(text: str) -> str:
+    """N-6 of one text."""
+    return " ".join(re.sub(rf"[\\_{STRESS}]", "", text).split())
 
 
-def joined_short(segments: Column, shortest: int = 3) -> Column:
+def join_short(segments: list[str], shortest: int = 3) -> list[tuple[str, str]]:
     """T-08: (orig, clean) of the segments; one with fewer words than `shortest` takes in the next, one step only."""
-    pairs = F.filter(F.transform(segments, lambda x: F.struct(x.alias("orig"), clean_alignment(x).alias("clean"))), lambda p: p["clean"] != "")
-    kind = "struct<orig:string,clean:string>"
-    start = F.struct(F.array().cast(f"array<{kind}>").alias("done"), F.lit(None).cast(kind).alias("held"))
-
-    def add(acc: Column, x: Column) -> Column:
-        joined = F.struct(F.concat(acc["held"]["orig"], F.lit(" "), x["orig"]).alias("orig"), F.concat(acc["held"]["clean"], F.lit(" "), x["clean"]).alias("clean"))
-        return (
-            F.when(acc["held"].isNotNull(), F.struct(F.concat(acc["done"], F.array(joined)).alias("done"), F.lit(None).cast(kind).alias("held")))
-            .when(F.size(words(x["clean"])) < shortest, F.struct(acc["done"].alias("done"), x.alias("held")))
-            .otherwise(F.struct(F.concat(acc["done"], F.array(x)).alias("done"), F.lit(None).cast(kind).alias("held")))
-        )
-
-    return F.aggregate(pairs, start, add, lambda acc: F.when(acc["held"].isNull(), acc["done"]).otherwise(F.concat(acc["done"], F.array(acc["held"]))))
-
-
-def tokens_with_offsets(text: Column) -> Column:
+    out: list[tuple[str, str]] = []
+    held: tuple[str, str] | None = None
+    for orig in segments:
+        pair = (orig, clean(orig))
+        if not pair[1]:
+            continue
+        if held:
+            out.append((f"{held[0]} {pair[0]}", f"{held[1]} {pair[1]}"))
+            held = None
+        elif len(pair[1].split()) < shortest:
+            held = pair
+        else:
+            out.append(pair)
+    return out + ([held] if held else [])
+
+
+def token_norm(word: str) -> str:
+    """N-4 of one token; brackets around it go."""
+    if word.startswith("[") and word.endswith("]"):
+        word = word[1:-1]
+    plain = unicodedata.normalize("NFD", word.replace("\\", "").translate({0x451: 0x435, 0x401: 0x415}))
+    plain = "".join(c for c in plain if unicodedata.category(c) != "Mn").lower()
+    return " ".join(re.sub("[.,!?…—–:;()\\[\\]\"'«»]", " ", plain).split())
+
+
+def tokens(text: str) -> list[tuple[str, str, int, int]]:
+    """T-13: (text, norm, start, end) of the parts between blanks, with offsets [start, end) in code points."""
+    return [(m.group(), token_norm(m.group()), m.start(), m.end()) for m in re.finditer(r"\S+", text)]
+
+
+@F.pandas_udf(ArrayType(StringType()))
+def packed_sentences(text: pd.Series) -> pd.Series:
+    """T-07."""
+    return text.map(pack, na_action="ignore")
+
+
+@F.pandas_udf(ArrayType(StructType([StructField("orig", StringType()), StructField("clean", StringType())])))
+def joined_short(segments: pd.Series) -> pd.Series:
+    """T-08 of arrays of segments."""
+    return segments.map(lambda xs: [{"orig": o, "clean": c} for o, c in join_short(list(xs))], na_action="ignore")
+
+
+@F.pandas_udf(ArrayType(StructType([StructField("text", StringType()), StructField("norm", StringType()), StructField("start", IntegerType()), StructField("end", IntegerType())])))
+def tokens_with_offsets(text: pd.Series) -> pd.Series:
     """T-13: words with normal form and [start, end) offsets in code points; brackets around one word go from its norm."""
-    cut = F.regexp_extract_all(text, F.lit(r"(?U)(\s*)(\S+)"), F.lit(0))
-    start = F.struct(F.array().cast("array<struct<text:string,start:int,end:int>>").alias("out"), F.lit(0).alias("at"))
-
-    def add(acc: Column, x: Column) -> Column:
-        word = strip(x)
-        end = acc["at"] + F.length(x)
-        return F.struct(F.concat(acc["out"], F.array(F.struct(word.alias("text"), (end - F.length(word)).alias("start"), end.alias("end")))).alias("out"), end.alias("at"))
-
-    return F.aggregate(cut, start, add, lambda acc: acc["out"])
+    return text.map(lambda x: [{"text": t, "norm": n, "start": a, "end": z} for t, n, a, z in tokens(x)], na_action="ignore")
 
 
 def time_code(line: Column) -> Column:
@@ -234,6 +262,16 @@ def swap_suffix(name: Column, suffix: str) -> Column:
     return F.regexp_replace(name, r"\.[^.]*$", suffix)
 
 
+def shown(text: Column, n: int = 60) -> Column:
+    """T-19: what messages show of a text."""
+    return F.left(text, F.lit(n))
+
+
+def is_named(text: Column) -> Column:
+    """F-06: a name or transcript that isn't empty."""
+    return F.length(strip(F.coalesce(text, F.lit("")))) > 0
+
+
 def safe_time(code: Column) -> Column:
     """T-16: a code that can stand in a file name."""
     return F.translate(code, ":.", "--")

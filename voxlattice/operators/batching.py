@@ -2,29 +2,48 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from collections.abc import Iterator
+
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, IntegerType, LongType, StructField, StructType
 
 
 def duration_batches(items: DataFrame, keys: list[str], pos: str, duration: str, most_items: int = 32, most_seconds: float = 180.0) -> DataFrame:
     """W-07: keys, pos, duration, batch_no, place: items by duration, ties by pos, in batches that close when they hold
     most_items or when the next item would take them beyond most_seconds; one that is too long alone is a batch.
 
-    The rule is sequential, so each value of keys is one list: give shards (say recordings) of bounded size.
+    The rule is sequential, so each value of keys is scanned in one task, in a stream of sorted rows that is never held:
+    give shards (say recordings). Items without duration are left out.
     """
-    ordered = F.array_sort(F.collect_list(F.struct(F.col(duration).alias("d"), F.col(pos).alias("p"))))
-    kind = "array<struct<p:bigint,d:double,batch:int,place:int>>"
-    start = F.struct(F.array().cast(kind).alias("out"), F.lit(-1).alias("batch"), F.lit(0).alias("n"), F.lit(0.0).alias("s"))
-
-    def add(acc: Column, x: Column) -> Column:
-        new = (acc["batch"] < 0) | (acc["n"] >= most_items) | (acc["s"] + x["d"] > most_seconds)
-        batch, place = F.when(new, acc["batch"] + 1).otherwise(acc["batch"]), F.when(new, F.lit(0)).otherwise(acc["n"])
-        item = F.struct(x["p"].cast("bigint").alias("p"), x["d"].cast("double").alias("d"), batch.alias("batch"), place.alias("place"))
-        return F.struct(F.concat(acc["out"], F.array(item)).alias("out"), batch.alias("batch"), (place + 1).alias("n"), F.when(new, x["d"].cast("double")).otherwise(acc["s"] + x["d"]).alias("s"))
-
-    folded = F.aggregate(ordered, start, add, lambda acc: acc["out"])
-    made = items.where(F.col(duration).isNotNull()).groupBy(*keys).agg(folded.alias("_out")).select(*keys, F.explode("_out").alias("_x"))
-    return made.select(*keys, F.col("_x.p").alias(pos), F.col("_x.d").alias(duration), F.col("_x.batch").alias("batch_no"), F.col("_x.place").alias("place"))
+    kinds = [items.schema[k] for k in keys]
+    schema = StructType([*kinds, StructField(pos, LongType()), StructField(duration, DoubleType()), StructField("batch_no", IntegerType()), StructField("place", IntegerType())])
+    known = items.select(*keys, F.col(pos).cast("bigint").alias(pos), F.col(duration).cast("double").alias(duration)).where(F.col(duration).isNotNull())
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, number, held, seconds = None, 0, 0, 0.0
+        for batch in batches:
+            numbers, places = [], []
+            of = list(zip(*(batch.column(i).to_pylist() for i in range(len(keys))))) if keys else [()] * batch.num_rows
+            for key, d in zip(of, batch.column(len(keys) + 1).to_pylist()):
+                if key != now:
+                    now, number, held, seconds = key, 0, 0, 0.0
+                elif held >= most_items or seconds + d > most_seconds:
+                    number, held, seconds = number + 1, 0, 0.0
+                numbers.append(number)
+                places.append(held)
+                held, seconds = held + 1, seconds + d
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(numbers, pa.int32()), pa.array(places, pa.int32())], [*keys, pos, duration, "batch_no", "place"])
+
+    return known.repartition(*keys).sortWithinPartitions(*keys, duration, pos).mapInArrow(run, schema)
+
+
+def shuffled(batches: DataFrame, keys: list[str], seed: int = 0) -> DataFrame:
+    """O-07: the batches with `turn`, their place in an order drawn by seed; each shard of keys has its own."""
+    one = batches.select(*keys, "batch_no").distinct()
+    turn = F.row_number().over(Window.partitionBy(*keys).orderBy(F.xxhash64(F.lit(seed), *keys, "batch_no"), "batch_no")) - 1
+    return batches.join(one.withColumn("turn", turn), [*keys, "batch_no"])
 
 
 def batch_estimate(items: DataFrame, keys: list[str], duration: str, most_items: int = 32, most_seconds: float = 180.0) -> DataFrame:

@@ -1,4 +1,4 @@
-"""Sequential alignment of recognised segments with a transcript's sentences or tokens.
+"""Sequential matching of recognised segments with a transcript's sentences or tokens.
 
 The matchers are ordered by nature and a clip may be cut nowhere without losing matches across the cut, so each clip
 goes whole to one task. What a task holds grows with the lines and tokens of its clip; of a large table the
@@ -22,6 +22,7 @@ KEPT_SPANS = 25_000_000
 #: Places of a table of the dynamic programme that is kept whole, 12 bytes each.
 WHOLE_TABLE = 10_000_000
 
+
 def greedy_run(source: list[str], target: list[str], direct: tuple[float, float] = (75, 80), ahead: tuple[float, float] = (90, 90), retry: int = 5) -> list[list[int]]:
     """J-08: for each source sentence the positions of its target sentences.
 
@@ -30,7 +31,8 @@ def greedy_run(source: list[str], target: list[str], direct: tuple[float, float]
     sentences beyond the current one are tried with the stricter thresholds, fewer near the end, and a run taken
     from the first that matches.
     """
-    fits = lambda a, b, t: token_set_ratio(a, b) > t[0] or partial_ratio(a, b, t[1] + 1e-6) > t[1]
+    # Scores are whole numbers; the search of a part may end at one that is rounded up beyond the threshold.
+    fits = lambda a, b, t: round(token_set_ratio(a, b)) > t[0] or round(partial_ratio(a, b, t[1] + 0.501)) > t[1]
     out: list[list[int]] = [[] for _ in source]
     at, last = 0, len(target) - 1
     for i, s in enumerate(source):
@@ -67,7 +69,7 @@ def greedy_run(source: list[str], target: list[str], direct: tuple[float, float]
 def greedy_pointer(source: list[str], target: list[str], least: tuple[float, float] = (50, 60), retry: int = 4) -> list[list[int]]:
     """J-09: each source takes all matching target sentences from the pointer on; if none matched, the first of the
     next `retry` that matches, and the pointer moves behind it."""
-    fits = lambda a, b: bool(a) and bool(b) and (token_set_ratio(a, b) >= least[0] or partial_ratio(a, b, least[1]) >= least[1])
+    fits = lambda a, b: bool(a) and bool(b) and (token_set_ratio(a, b, blanks=True) >= least[0] or partial_ratio(a, b, least[1]) >= least[1])
     out: list[list[int]] = [[] for _ in source]
     at = 0
     for i, s in enumerate(source):
@@ -123,7 +125,7 @@ def span_similarities(segments: list[list[str]], tokens: list[str], longest: int
 def span_boundaries(
     segments: list[list[str]], tokens: list[str], skip: float = 0.8, least: float = 0.3, shortest: int = 1, longest: int = 25, length_cost: float = 0.02, similar: Callable[[int], tuple[np.ndarray, np.ndarray]] | None = None,
 ) -> tuple[list[int], list[float]]:
-    """J-10: boundaries (one more than segments) of the cheapest monotone alignment, and the cumulative costs.
+    """J-10: boundaries (one more than segments) of the cheapest monotone matching, and the cumulative costs.
 
     A segment either takes no token at the cost `skip`, or the span of up to `longest` tokens that follows. Equal
     costs prefer skipping, then the shorter span; tokens may stay over only at the end. similar: span_similarities()

@@ -59,13 +59,14 @@ def collate(clips: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     return np.array([np.pad(c, (0, n - len(c))) for c in clips]).reshape(len(clips), n), mask
 
 
-def recognise(clips: DataFrame, load: Callable[[], Recogniser], settings: Settings, shards: int = 64) -> DataFrame:
+def recognise(clips: DataFrame, load: Callable[[], Recogniser], settings: Settings, shard_clips: int = 4096) -> DataFrame:
     """Predictions of clips (pos, path, duration_s, content): path, text, duration_s, model_id, model_type, language_code.
 
-    Clips are batched by duration within shards; a batch's clips are brought together, and each Python worker loads
-    the model once.
+    Clips are batched by duration within shards of about shard_clips; a batch's clips are brought together, and each
+    Python worker loads the model once.
     """
     settings.checked()
+    shards = max(1, clips.count() // shard_clips)
     sharded = clips.withColumn("shard", F.pmod(F.xxhash64("path"), F.lit(shards)))
     batches = duration_batches(sharded, ["shard"], "pos", "duration_s", settings.max_batch_size, settings.max_batch_audio_s).select("shard", "pos", "batch_no", "place")
     batched = sharded.join(batches, ["shard", "pos"]).select("shard", "batch_no", "place", "path", "duration_s", "content").repartition("shard", "batch_no").sortWithinPartitions("shard", "batch_no", "place")

@@ -4,15 +4,19 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from voxlattice.functions.similarity import token_set_ratio_udf
+from voxlattice.functions.similarity import token_set_ratio
 from voxlattice.functions.text import norm_reorder
+from voxlattice.runtime import stage
 
 GRAMS = (3, 4, 5)
 #: N-grams kept for a file, by frequency.
 FEATURES = 20_000
+#: Texts of either side of a file whose products one task takes.
+SIDE = 256
 
 
 def char_grams(df: DataFrame, keys: list[str], text: str) -> DataFrame:
@@ -23,12 +27,11 @@ def char_grams(df: DataFrame, keys: list[str], text: str) -> DataFrame:
     return df.select(*keys, F.explode(grams).alias("gram")).groupBy(*keys, "gram").agg(F.count("*").alias("n"))
 
 
-def tfidf_cosine(docs: DataFrame, file: str, side: str, pos: str, text: str, features: int = FEATURES) -> DataFrame:
-    """M-05, first part: file, i, j, cosine of TF-IDF vectors of character 3- to 5-grams of texts of side 0 and 1.
+def unit_vectors(docs: DataFrame, file: str, side: str, pos: str, text: str, features: int = FEATURES) -> DataFrame:
+    """M-05: file, side, pos, gram, w: TF-IDF vectors of length 1 of character 3- to 5-grams, fitted on both sides of each file.
 
-    Weights are count * (ln((1 + N) / (1 + df)) + 1) over both sides of the file, vectors have length 1. Pairs
-    without a common gram are left out. Grams beyond the `features` most frequent of a file are dropped (those
-    as frequent as the last of them stay); the join is on the gram, so it spreads over the cluster.
+    Weights are count * (ln((1 + N) / (1 + df)) + 1). Grams beyond the `features` most frequent of a file are dropped;
+    those as frequent as the last of them stay.
     """
     grams = char_grams(docs, [file, side, pos], text)
     number = docs.groupBy(file).agg(F.count("*").alias("docs"))
@@ -42,24 +45,95 @@ def tfidf_cosine(docs: DataFrame, file: str, side: str, pos: str, text: str, fea
     idf = F.log((1 + F.col("docs")) / (1 + F.col("df"))) + 1
     weighted = grams.join(vocabulary.select(file, "gram", idf.alias("idf")), [file, "gram"]).withColumn("w", F.col("n") * F.col("idf"))
     length = weighted.groupBy(file, side, pos).agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("len"))
-    unit = weighted.join(length, [file, side, pos]).select(file, side, pos, "gram", (F.col("w") / F.col("len")).alias("w"))
+    return weighted.join(length, [file, side, pos]).select(file, side, pos, "gram", (F.col("w") / F.col("len")).alias("w"))
+
+
+def _in_blocks(rows: DataFrame, file: str, pos: str, left: DataFrame, to: str, other: str) -> DataFrame:
+    """rows with their own block and, once for each block of the other side, that one's. left: file, and the numbers of blocks."""
+    block = F.pmod(F.xxhash64(pos), F.col(f"{to}_blocks")).cast("int")
+    return rows.join(left, file).withColumn(to, block).withColumn(other, F.explode(F.sequence(F.lit(0), (F.col(f"{other}_blocks") - 1).cast("int")))).drop("a_blocks", "b_blocks")
+
+
+def matrix(docs: DataFrame, file: str, side: str, pos: str, text: str, words: bool = True, char_weight: float = 0.7) -> DataFrame:
+    """M-05, J-05: file, i, j, cosine and, with words, sim of every text of side 0 with every one of side 1 of its file.
+
+    sim is char_weight of the cosine and the rest of the word-set ratio. Without words, pairs that share no gram are left
+    out. The texts of a file are cut into blocks; each pair of blocks is one sparse product in one task, so a file of
+    any size spreads over the cluster.
+    """
+    unit = unit_vectors(docs, file, side, pos, text)
+    vectors = unit.groupBy(file, side, pos).agg(F.collect_list("gram").alias("grams"), F.collect_list("w").alias("weights"))
+    rows = docs.select(file, side, F.col(pos).cast("bigint").alias("pos"), F.col(text).alias("said")).join(vectors.select(file, side, F.col(pos).cast("bigint").alias("pos"), "grams", "weights"), [file, side, "pos"], "left")
+    blocks = lambda k: F.greatest(F.lit(1), F.ceil(F.count_if(F.col(side) == k) / SIDE)).cast("bigint")
+    number = docs.groupBy(file).agg(blocks(0).alias("a_blocks"), blocks(1).alias("b_blocks"))
+    a = _in_blocks(rows.where(F.col(side) == 0), file, "pos", number, "a", "b")
+    b = _in_blocks(rows.where(F.col(side) == 1), file, "pos", number, "b", "a")
+    b = b.select(*[F.col(c).alias(c) for c in b.columns])
+
+    def run(left: pa.Table, right: pa.Table) -> pa.Table:
+        sides = []
+        known: dict[str, int] = {}
+        for t in (left, right):
+            grams = [g or () for g in t.column("grams").to_pylist()]
+            weights = [np.asarray(w if w is not None else (), float) for w in t.column("weights").to_pylist()]
+            index = np.fromiter((known.setdefault(g, len(known)) for gs in grams for g in gs), np.int64)
+            sides.append((t.column("pos").to_numpy(), np.repeat(np.arange(len(grams)), [len(g) for g in grams]), index, np.concatenate([np.zeros(0), *weights]), t.column("said").to_pylist()))
+        (i, ri, gi, wi, ti), (j, rj, gj, wj, tj) = sides
+        # The right side as one dense table of grams, to which each text on the left adds up its own rows.
+        table = np.zeros((len(known), len(j)))
+        table[gj, rj] = wj
+        cos = np.zeros((len(i), len(j)))
+        ends = np.searchsorted(ri, np.arange(len(i) + 1))
+        for k in range(len(i)):
+            own = slice(ends[k], ends[k + 1])
+            cos[k] = wi[own] @ table[gi[own]]
+        if words:
+            ratios = np.array([[token_set_ratio(x or "", y or "", blanks=True) for y in tj] for x in ti]).reshape(cos.shape) / 100
+            x, y = np.indices(cos.shape).reshape(2, -1)
+        else:
+            x, y = np.nonzero(cos)
+        out = {file: pa.array([(left if left.num_rows else right).column(file)[0].as_py()] * len(x), pa.string()), "i": pa.array(i[x]), "j": pa.array(j[y]), "cosine": pa.array(cos[x, y])}
+        return pa.table(out | ({"sim": pa.array((char_weight * cos + (1 - char_weight) * ratios)[x, y])} if words else {}))
+
+    schema = f"{file} string, i bigint, j bigint, cosine double" + (", sim double" if words else "")
+    return a.groupBy(file, "a", "b").cogroup(b.groupBy(file, "a", "b")).applyInArrow(run, schema)
+
+
+def similar_pairs(docs: DataFrame, pairs: DataFrame, file: str, side: str, pos: str, text: str, char_weight: float = 0.7) -> DataFrame:
+    """M-05 of some pairs only: file, i, j, sim of pairs (file, i, j); the fit is on all docs."""
+    unit = unit_vectors(docs, file, side, pos, text)
     a = unit.where(F.col(side) == 0).select(file, F.col(pos).alias("i"), "gram", F.col("w").alias("wa"))
     b = unit.where(F.col(side) == 1).select(file, F.col(pos).alias("j"), "gram", F.col("w").alias("wb"))
-    return a.join(b, [file, "gram"]).groupBy(file, "i", "j").agg(F.sum(F.col("wa") * F.col("wb")).alias("cosine"))
+    cos = pairs.join(a, [file, "i"]).join(b, [file, "j", "gram"]).groupBy(file, "i", "j").agg(F.sum(F.col("wa") * F.col("wb")).alias("cosine"))
+    x = docs.where(F.col(side) == 0).select(file, F.col(pos).alias("i"), F.col(text).alias("x"))
+    y = docs.where(F.col(side) == 1).select(file, F.col(pos).alias("j"), F.col(text).alias("y"))
+    ratio = F.pandas_udf(lambda p, q: pd.Series([token_set_ratio(u or "", v or "", blanks=True) for u, v in zip(p, q)], dtype=float), "double")
+    sim = char_weight * F.coalesce("cosine", F.lit(0.0)) + (1 - char_weight) * ratio("x", "y") / 100
+    return pairs.join(x, [file, "i"]).join(y, [file, "j"]).join(cos, [file, "i", "j"], "left").select(file, "i", "j", sim.alias("sim"))
 
 
-def similarity(rows: DataFrame, file: str, pos: str, text: str, transcript: str, char_weight: float = 0.7) -> DataFrame:
-    """M-05: file, i, j, sim of every text with every transcript of its file (J-05 within the file)."""
-    plain = rows.select(file, F.col(pos).alias("pos"), norm_reorder(F.col(text)).alias("a"), norm_reorder(F.col(transcript)).alias("b"))
-    both = plain.select(file, F.lit(0).alias("side"), "pos", F.col("a").alias("text")).unionByName(plain.select(file, F.lit(1).alias("side"), "pos", F.col("b").alias("text")))
-    cos = tfidf_cosine(both, file, "side", "pos", "text")
-    a, b = plain.select(file, F.col("pos").alias("i"), "a"), plain.select(file, F.col("pos").alias("j"), "b")
-    pairs = a.join(b, file).select(file, "i", "j", (token_set_ratio_udf("a", "b") / 100).alias("words"))
-    sim = char_weight * F.coalesce("cosine", F.lit(0.0)) + (1 - char_weight) * F.col("words")
-    return pairs.join(cos, [file, "i", "j"], "left").select(file, "i", "j", sim.alias("sim"))
+def _placed(rows: DataFrame, file: str, pos: str, text: str, transcript: str, active: str) -> DataFrame:
+    """file, pos, place (among the active rows of the file, or among the others), active, a, b: the texts as they are compared."""
+    on = F.coalesce(active, F.lit(False))
+    place = F.row_number().over(Window.partitionBy(file, on).orderBy(pos)) - 1
+    return rows.select(file, F.col(pos).alias("pos"), place.alias("place"), on.alias("active"), norm_reorder(F.col(text)).alias("a"), norm_reorder(F.col(transcript)).alias("b"), F.col(transcript).alias("raw"))
 
 
-def best_shift(sim: DataFrame, file: str, max_shift: int = 2) -> DataFrame:
+def _two_sides(a: DataFrame, b: DataFrame, file: str) -> DataFrame:
+    """(file, side, pos, text) of two tables (file, pos, text)."""
+    return a.select(file, F.lit(0).alias("side"), "pos", "text").unionByName(b.select(file, F.lit(1).alias("side"), "pos", "text"))
+
+
+def diagonals(placed: DataFrame, file: str, max_shift: int = 3) -> DataFrame:
+    """file, i, j, sim of active rows by place, for shifts j - i from 0 to max_shift; the fit is on active rows only."""
+    on = placed.where("active")
+    docs = _two_sides(on.select(file, F.col("place").alias("pos"), F.col("a").alias("text")), on.select(file, F.col("place").alias("pos"), F.col("b").alias("text")), file)
+    size = on.groupBy(file).agg(F.count("*").alias("k"))
+    pairs = on.join(size, file).select(file, F.col("place").alias("i"), F.explode(F.sequence(F.col("place"), F.least(F.col("place") + max_shift, (F.col("k") - 1).cast("int")))).alias("j"))
+    return similar_pairs(docs, pairs, file, "side", "pos", "text")
+
+
+def best_shift(sim: DataFrame, file: str, max_shift: int = 3) -> DataFrame:
     """A-02: file, shift, mean_sim of the diagonal j = i + shift that is most similar; equal ones prefer the smaller."""
     by = sim.where(F.col("j").between(F.col("i"), F.col("i") + max_shift)).groupBy(file, (F.col("j") - F.col("i")).alias("shift")).agg(F.avg("sim").alias("mean_sim"))
     best = F.max(F.struct(F.round("mean_sim", 12).alias("m"), (-F.col("shift")).alias("s"), F.col("mean_sim").alias("mean_sim"))).alias("b")
@@ -100,44 +174,50 @@ def assign(gain: np.ndarray) -> np.ndarray:
     return out
 
 
-def reordered(rows: DataFrame, file: str, pos: str, text: str, transcript: str, active: str, least_gain: float = 1e-3) -> DataFrame:
-    """Stage 5: file, pos, transcript, applied; leftovers of active rows come as rows with pos NULL (U-01).
+def reordered(rows: DataFrame, file: str, pos: str, text: str, transcript: str, active: str, least_gain: float = 1e-3, max_shift: int = 3) -> tuple[DataFrame, DataFrame]:
+    """Stage 5: (rows, summary).
+
+    rows: file, pos, transcript; leftovers of active rows come as rows with pos NULL (U-01). summary: file, shift,
+    mean_before, mean_after, applied. Active rows get the transcripts that suit them best, one each, from all rows of
+    the file; the order is kept if nothing would change or the mean similarity would rise by less than least_gain.
+    Means are of two fits of their own, on what active rows have before and after. Files without active rows stay.
 
-    Active rows get the transcripts that suit them best, one each, from all rows of the file; the order is kept if
-    nothing would change or the mean similarity would rise by less than least_gain. A file is one group: it holds
-    the segments of one recording; the similarities, which are most of the work, are spread over the cluster.
+    The assignment takes a file's matrix into one task, as it can't be parted; the similarities, which are most of the
+    work, are spread over the cluster.
     """
-    # Only active rows ask; all rows with a transcript may give, active ones first.
-    sim = similarity(rows, file, pos, text, transcript)
-    sim = sim.select(*[F.col(c).alias(c) for c in sim.columns])
-    base = rows.select(file, F.col(pos).alias("pos"), F.col(transcript).alias("transcript"), F.coalesce(active, F.lit(False)).alias("active"))
-
-    def run(key, a: pd.DataFrame, s: pd.DataFrame) -> pd.DataFrame:
-        a = a.sort_values("pos").reset_index(drop=True)
-        k = int(a["active"].sum())
-        order = [*a.index[a["active"]], *a.index[~a["active"]]]
-        result, applied = a["transcript"].tolist(), False
-        left: list = []
-        if k:
-            place = {p: x for x, p in enumerate(a["pos"])}
-            m = np.zeros((len(a), len(a)))
-            m[s["i"].map(place), s["j"].map(place)] = s["sim"]
-            rows_, columns = order[:k], order
-            picked = [columns[c] for c in assign(m[np.ix_(rows_, columns)])]
-            before, after = np.mean([m[r, r] for r in rows_]), np.mean([m[r, c] for r, c in zip(rows_, picked)])
-            if picked != rows_ and after - before >= least_gain:
-                applied = True
-                old = list(result)
-                for c in picked:
-                    if c not in rows_:
-                        result[c] = None
-                for r, c in zip(rows_, picked):
-                    result[r] = old[c]
-                left = [old[r] for r in rows_ if r not in set(picked)]
-        out = pd.DataFrame({file: key[0], "pos": a["pos"].astype("Int32"), "transcript": result, "applied": applied})
-        if left:
-            out = pd.concat([out, pd.DataFrame({file: key[0], "pos": pd.array([None] * len(left), "Int32"), "transcript": left, "applied": True})])
-        return out
+    placed = stage(_placed(rows, file, pos, text, transcript, active))
+    on = placed.where("active")
+    before = diagonals(placed, file, max_shift)
+    shifts = best_shift(before, file, max_shift)
+    means = before.where("i = j").groupBy(file).agg(F.avg("sim").alias("mean_before"))
+    docs = _two_sides(on.select(file, "pos", F.col("a").alias("text")), placed.select(file, "pos", F.col("b").alias("text")), file)
+    sim = matrix(docs, file, "side", "pos", "text").select(F.col(file).alias("_file"), F.col("i").cast("int"), F.col("j").cast("int"), "sim")
+
+    def run(key, p: pd.DataFrame, s: pd.DataFrame) -> pd.DataFrame:
+        mine = p.loc[p["active"]].sort_values("pos")["pos"].tolist()
+        others = p.loc[~p["active"]].sort_values("pos")["pos"].tolist()
+        at = int(p["shift"].iloc[0])
+        columns = mine[at:] + mine[:at] + others
+        x, y = {v: k for k, v in enumerate(mine)}, {v: k for k, v in enumerate(columns)}
+        gain = np.zeros((len(mine), len(columns)))
+        gain[s["i"].map(x), s["j"].map(y)] = s["sim"]
+        return pd.DataFrame({file: [key[0]] * len(mine), "to": mine, "of": [columns[c] for c in assign(gain)]})
 
     kind = rows.schema[file].dataType.simpleString()
-    return base.groupBy(file).cogroup(sim.groupBy(file)).applyInPandas(run, f"{file} {kind}, pos int, transcript string, applied boolean")
+    # Files without active rows have no shift and stay out.
+    sides = placed.join(shifts.select(file, "shift"), file).select(file, "pos", "active", "shift")
+    picked = stage(sides.groupBy(file).cogroup(sim.groupBy("_file")).applyInPandas(run, f"{file} {kind}, to int, of int"))
+    given = picked.join(placed.select(file, F.col("pos").alias("of"), "b", "raw"), [file, "of"])
+    after_docs = _two_sides(on.select(file, "pos", F.col("a").alias("text")), given.select(file, F.col("to").alias("pos"), F.col("b").alias("text")), file)
+    after = similar_pairs(after_docs, picked.select(file, F.col("to").alias("i"), F.col("to").alias("j")), file, "side", "pos", "text").groupBy(file).agg(F.avg("sim").alias("mean_after"))
+    moved = picked.groupBy(file).agg(F.bool_or(F.col("to") != F.col("of")).alias("moved"))
+    applied = (F.col("moved") | (F.col("shift") != 0)) & (F.col("mean_after") - F.col("mean_before") >= least_gain)
+    summary = stage(shifts.join(means, file).join(after, file).join(moved, file).select(file, "shift", "mean_before", "mean_after", applied.alias("applied")))
+
+    where = placed.join(summary.select(file, "applied"), file, "left").withColumn("applied", F.coalesce("applied", F.lit(False)))
+    used = picked.select(file, F.col("of").alias("pos"), F.lit(True).alias("used"))
+    got = given.select(file, F.col("to").alias("pos"), F.col("raw").alias("got"))
+    whole = where.join(got, [file, "pos"], "left").join(used, [file, "pos"], "left")
+    kept = F.when(~F.col("applied"), F.col("raw")).when(F.col("active"), F.col("got")).when(F.col("used").isNull(), F.col("raw"))
+    left = whole.where("applied AND active AND used IS NULL").select(file, F.lit(None).cast("int").alias("pos"), F.col("raw").alias("transcript"))
+    return whole.select(file, "pos", kept.alias("transcript")).unionByName(left), summary

@@ -50,6 +50,12 @@ def merged_chains(df: DataFrame, key: str, number: str, prev: str, text: str, se
     return rooted.groupBy(key, F.col("root").cast("int").alias(number)).agg(F.array_join(F.transform(ordered, lambda x: x["t"]), sep).alias(text), F.array_join(F.transform(ordered, lambda x: x["n"].cast("string")), ",").alias("members"))
 
 
+def parent_names(df: DataFrame, key: str, number: str, prev: str, name: str) -> DataFrame:
+    """J-15: key, number, parent_name of rows whose parent is there; others are left out."""
+    parents = df.select(F.col(key).alias("_k"), F.col(number).alias("_n"), F.col(name).alias("parent_name"))
+    return df.join(parents, (F.col(key) == F.col("_k")) & (F.col(prev) == F.col("_n"))).select(key, number, "parent_name")
+
+
 def zip_join(left: DataFrame, right: DataFrame, keys: list[str], left_order: list[Column], right_order: list[Column], right_columns: list[str]) -> DataFrame:
     """J-03: the i-th row of left gets the i-th row of right within the keys; left rows beyond stay with NULLs.
 

@@ -45,11 +45,25 @@ def encode(x: np.ndarray, rate: int = RATE) -> bytes:
     return out.getvalue()
 
 
+def low_pass(x: np.ndarray, cut: float, taps: int = 129) -> np.ndarray:
+    """X-15: samples without what is above `cut`, a share of the rate, by a windowed sinc filter; no delay."""
+    k = np.arange(taps) - taps // 2
+    h = np.sinc(2 * cut * k) * np.blackman(taps)
+    return np.convolve(x, h / h.sum(), "same") if len(x) >= taps else np.convolve(np.pad(x, taps), h / h.sum(), "same")[taps:-taps]
+
+
+def high_pass(x: np.ndarray, cut: float, taps: int = 129) -> np.ndarray:
+    """X-15: what low_pass() takes away."""
+    return x - low_pass(x, cut, taps)
+
+
 def mono(x: np.ndarray, rate: int, to: int = RATE) -> np.ndarray:
-    """S-21, X-02: the mean of the channels at another rate, by linear interpolation."""
+    """S-21, X-02: the mean of the channels at another rate; what a lower rate can't hold is filtered out first."""
     y = x.mean(1) if x.ndim == 2 else x
     if rate == to or not len(y):
         return y
+    if to < rate:
+        y = low_pass(y, 0.45 * to / rate)
     n = max(1, round(len(y) * to / rate))
     return np.interp(np.arange(n) * rate / to, np.arange(len(y)), y)
 

@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 # Suffixes of audio files.
-SUFFIXES = (".wav", ".mp3", ".flac", ".m4a", ".ogg", ".opus", ".wma")
+SUFFIXES = (".wav", ".mp3", ".flac", ".m4a", ".ogg", ".opus", ".webm")
 
 
 def manifest_path(line: Column) -> Column:
@@ -35,6 +35,27 @@ def find_audio(spark: SparkSession, folder: str, glob: str = "*", suffixes: tupl
     return files.select("path", F.regexp_replace(file, r"\.[^.]*$", "").alias("name"), suffix(file).alias("ext"), "length").where(F.col("ext").isin(*suffixes))
 
 
+def discovered(spark: SparkSession, manifest: str | None = None, folder: str | None = None, glob: str = "*") -> DataFrame:
+    """U-03: pos, path of what the manifest names, in its order, then of the files of the folder by path; each path at its
+    first place. With neither it is empty."""
+    parts = []
+    if manifest:
+        parts.append(read_manifest(spark, manifest).select(F.lit(0).alias("part"), "pos", "path"))
+    if folder:
+        parts.append(find_audio(spark, folder, glob).select(F.lit(1).alias("part"), F.lit(0).alias("pos"), F.regexp_replace("path", "^file:/*", "/").alias("path")))
+    return united(parts) if parts else spark.createDataFrame([], "pos int, path string")
+
+
+def united(parts: list[DataFrame]) -> DataFrame:
+    """pos, path of rows (part, pos, path) by part, pos and path, each path at its first place."""
+    whole = parts[0]
+    for p in parts[1:]:
+        whole = whole.unionByName(p)
+    first = whole.where("path IS NOT NULL").groupBy("path").agg(F.min(F.struct("part", "pos", "path")).alias("at"))
+    # A list of files, as one recogniser takes it, is numbered in one task.
+    return first.select((F.row_number().over(Window.orderBy("at")) - 1).alias("pos"), "path")
+
+
 def limited(items: DataFrame, n: int) -> DataFrame:
     """O-05: the first n in the order of discovery."""
     return items.orderBy("pos").limit(n)

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from voxlattice.functions import text as T
 from voxlattice.sources.srt import render_srt
 
 
@@ -28,6 +29,18 @@ def write_srt(df: DataFrame, keys: list[str], path: str, order: str = "srt_index
     render_srt(df, keys, order).select(*keys, F.concat("srt", F.lit("\n")).alias("value")).write.mode("overwrite").partitionBy(*keys).text(path)
 
 
+def utterance_texts(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """K-13: keys, file, content: for each utterance its text as it is and its clean form, in files named like its clip."""
+    base = T.utterance_name(F.col("srt_index"), F.col("speaker"), F.col("start_code"))
+    files = F.array(F.struct(F.concat(base, F.lit("_orig.txt")).alias("file"), F.col("text").alias("content")), F.struct(F.concat(base, F.lit(".txt")).alias("file"), T.clean_without_notes(F.col("text")).alias("content")))
+    return rows.select(*keys, F.explode(files).alias("x")).select(*keys, "x.file", "x.content")
+
+
+def write_texts(df: DataFrame, keys: list[str], text: str, path: str) -> None:
+    """K-10: a text file for each row, in a folder named after its keys."""
+    df.select(*keys, F.col(text).alias("value")).write.mode("overwrite").partitionBy(*keys).option("lineSep", "\n").text(path)
+
+
 def pair_lines(pairs: DataFrame, keys: list[str]) -> DataFrame:
     """K-09: keys, line_no, value: for pair i the lines 'i> source', 'i= target', 'i# score'."""
     n = F.col("pair_no").cast("string")
@@ -36,7 +49,7 @@ def pair_lines(pairs: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def run_summary(rows: DataFrame, keys: list[str]) -> DataFrame:
-    """K-11, A-03, A-04, A-06: per clip the counts of both sides, pairs, mean similarity, and success."""
+    """A-03: per clip the counts of both sides. products.chain_summary() has the rest of K-11."""
     side = lambda s, d: F.count_if((F.col("side") == s) & F.col("is_dialect").eqNullSafe(d))
     counts = [side(s, d).alias(f"{s}_{'dialect' if d else 'standard'}") for s in ("whisper", "manual") for d in (True, False)]
     return rows.groupBy(*keys).agg(F.count_if(F.col("side") == "whisper").alias("whisper_total"), F.count_if(F.col("side") == "manual").alias("manual_total"), *counts)

@@ -19,6 +19,8 @@ class Rules:
     least_lines: lines a block must have. any_tag: any [..]: is a tag, kept with its colon, else only [SPEAKER_n]:,
     of which the name is kept. no_tag: what a block without tag gets. all_lines: text is all lines from the third
     on, joined by `join`; else the third only. dots: times with a dot. strict: what is skipped is an error.
+    skip_lines: lines before the first whole number are passed over. any_times: whatever stands on both sides of the
+    arrow is a time.
     """
 
     by_blank_lines: bool = True
@@ -31,10 +33,12 @@ class Rules:
     dots: bool = False
     needs_text: bool = False
     strict: bool = False
+    skip_lines: bool = False
+    any_times: bool = False
 
 
 #: The readers of the merging, spanning, embedding and cutting stages.
-MERGE = Rules()
+MERGE = Rules(skip_lines=True, any_times=True)
 SPAN = Rules(any_tag=True, no_tag="", join="\n")
 EMBED = Rules(by_blank_lines=False, needs_index=False, least_lines=3, no_tag="UNKNOWN", all_lines=False)
 CUT = Rules(least_lines=3, any_tag=True, no_tag="UNKNOWN", all_lines=False, dots=True, strict=True)
@@ -53,9 +57,14 @@ def parse_blocks(df: DataFrame, text: str, rules: Rules = MERGE) -> DataFrame:
     s = F.regexp_replace(s, r"^\s*\n+|\s+$", "")
     blocks = df.where(F.trim(F.col(text)) != "").select(*keys, F.posexplode(F.split(s, r"\n\s*\n" if rules.by_blank_lines else r"\n\n+")).alias("block_no", "_block"))
     lines = blocks.withColumn("orig_lines", F.split("_block", "\n"))
+    if rules.skip_lines:
+        at = F.array_position(F.transform("orig_lines", lambda x: x.rlike(r"^\s*[0-9]+\s*\z")), True).cast("int")
+        lines = lines.withColumn("orig_lines", F.when(at > 1, F.slice("orig_lines", at, F.size("orig_lines"))).otherwise(F.col("orig_lines")))
     line = lambda i: F.try_element_at(F.col("orig_lines"), F.lit(i))
     timed = line(2)
-    found = lambda i: F.regexp_extract(timed, _TIMES, i)
+    times = r"^\s*(.*?)\s*-->\s*(.*?)\s*$" if rules.any_times else _TIMES
+    found = lambda i: F.regexp_extract(timed, times, i)
+    told = F.regexp_extract(timed, times, 0)
     code = lambda i: F.regexp_replace(found(i), ",", ".") if rules.dots else found(i)
     head = F.coalesce(line(3), F.lit(""))
     tagged = r"^\s*(\[[^\]]+\]:)\s*" if rules.any_tag else r"^\s*\[(SPEAKER_[0-9]+)\]:\s*"
@@ -64,7 +73,7 @@ def parse_blocks(df: DataFrame, text: str, rules: Rules = MERGE) -> DataFrame:
         tag = F.regexp_replace(tag, r"^\[|\]:$", "")
     rest = F.slice("orig_lines", 4, F.greatest(F.size("orig_lines") - 3, F.lit(0))) if rules.all_lines else F.array().cast("array<string>")
     body = F.trim(F.concat_ws(rules.join, F.concat(F.array(F.regexp_replace(head, tagged, "")), rest)))
-    bad: Column = F.when(F.size("orig_lines") < rules.least_lines, "lines").when(found(1) == "", "time").when(timed.isNull(), "time")
+    bad: Column = F.when(F.size("orig_lines") < rules.least_lines, "lines").when(told == "", "time").when(timed.isNull(), "time")
     if rules.needs_index:
         bad = F.coalesce(F.when(~line(1).rlike(r"^\s*[0-9]+\s*$"), "index"), bad)
     out = lines.select(
