@@ -3,7 +3,7 @@
 Winnowing: of the hashes of K neighbouring words, the least in every run of W is kept, so any shared span of
 K + W - 1 words leaves a common fingerprint. Every document is read once: those that hold fingerprints of any item are
 written as numbers of words with the places of the fingerprints. These small rows are then joined with the items'
-fingerprints, block by block of items, and hits are extended by an alignment that tells how many of the item's words
+fingerprints, block by block of items, and hits are extended by chains of shared words that tell how many of the item's words
 stand in order.
 
 Which fingerprints items have is told to the readers by a Bloom filter of bounded size. Items come in blocks of bounded
@@ -40,14 +40,14 @@ COUNTERS = 4_000_000
 REMEMBERED = 500_000
 #: Share of an item's words that makes a leak.
 SHARE = 0.5
-#: An alignment follows if so many of an item's fingerprints, and at least that share of its words, are in the document.
+#: Chains are looked for if so many of an item's fingerprints, and at least that share of its words, are in the document.
 #: Half an item in runs of LEAST_RUN words has a quarter of its grams left, of which about every second is kept.
 HITS, HIT_SHARE = 2, 0.1
-#: Alignment: a shared word gains 1; a word in between in the document costs ASIDE, a whole run of them ASIDE_MOST at
+#: Chains: a shared word gains 1; a word in between in the document costs ASIDE, a whole run of them ASIDE_MOST at
 #: most; a word of the item left out costs LEFT_OUT. A part of a passage ends where NEAR words come in between; what
 #: follows is a part of its own.
 ASIDE, ASIDE_MOST, NEAR, LEFT_OUT = 0.3, 3.0, 60, 0.5
-#: Shared words in a run, on average, of a passage and of each of its parts: chance alignments of common phrases have
+#: Shared words in a run, on average, of a passage and of each of its parts: chance chains of common phrases have
 #: shorter ones. A part has half of what makes a leak at least.
 LEAST_RUN, LEAST_PART = 4.2, SHARE / 2
 
