@@ -48,7 +48,7 @@ NEXT_WEIGHT = 0.5
 #: Observations that events are taken to depend on the events before them as if they didn't.
 STEP_BACK_OFF = 5.0
 #: Share of the dependence that is taken for true; the rest of the weight is on events that don't depend on each other.
-STEP_WEIGHT = 0.5
+STEP_WEIGHT = 0.3
 #: A stretch writes no marks if it is so many times as long as the OPEN_QUANTILE of those between places of its language.
 OPEN_TIMES, OPEN_QUANTILE = 2.0, 0.9
 #: Lengths of units that are told apart, in words, or in characters where words aren't spaced.
