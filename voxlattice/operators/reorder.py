@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections import Counter
+from collections.abc import Iterator
+
 import numpy as np
 import pandas as pd
 import pyarrow as pa
@@ -20,20 +23,30 @@ SIDE = 256
 
 
 def char_grams(df: DataFrame, keys: list[str], text: str) -> DataFrame:
-    """keys, gram, n: counts of character n-grams of each text, blanks included."""
-    s, length = F.col(text), F.length(text)
-    some = lambda n: F.when(length >= n, F.transform(F.sequence(F.lit(1), length - n + 1), lambda i: F.substring(s, i, F.lit(n)))).otherwise(F.array().cast("array<string>"))
-    grams = F.flatten(F.array(*[some(n) for n in GRAMS]))
-    return df.select(*keys, F.explode(grams).alias("gram")).groupBy(*keys, "gram").agg(F.count("*").alias("n"))
+    """keys, gram, n: counts of character n-grams of each text, blanks included. Cut in Arrow batches, as a substring of
+    a long text takes the JVM as long as what stands before it."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            at, grams, counts = [], [], []
+            for i, t in enumerate(batch.column(len(keys)).to_pylist()):
+                found = Counter(t[k : k + n] for n in GRAMS for k in range(len(t) - n + 1)) if t else {}
+                at += [i] * len(found)
+                grams += found.keys()
+                counts += found.values()
+            take = pa.array(at, pa.int64())
+            yield pa.RecordBatch.from_arrays([*[batch.column(k).take(take) for k in range(len(keys))], pa.array(grams, pa.string()), pa.array(counts, pa.int64())], [*keys, "gram", "n"])
+
+    return df.select(*keys, text).mapInArrow(run, df.select(*keys).schema.add("gram", "string").add("n", "long"))
 
 
-def unit_vectors(docs: DataFrame, file: str, side: str, pos: str, text: str, features: int = FEATURES) -> DataFrame:
-    """M-05: file, side, pos, gram, w: TF-IDF vectors of length 1 of character 3- to 5-grams, fitted on both sides of each file.
+def weighted_vectors(docs: DataFrame, file: str, side: str, pos: str, text: str, features: int = FEATURES) -> DataFrame:
+    """M-05: file, side, pos, gram, w: TF-IDF vectors of character 3- to 5-grams, fitted on both sides of each file.
 
     Weights are count * (ln((1 + N) / (1 + df)) + 1). Grams beyond the `features` most frequent of a file are dropped;
     those as frequent as the last of them stay.
     """
-    grams = char_grams(docs, [file, side, pos], text)
+    grams = stage(char_grams(docs, [file, side, pos], text))
     number = docs.groupBy(file).agg(F.count("*").alias("docs"))
     per = grams.groupBy(file, "gram").agg(F.count("*").alias("df"), F.sum("n").alias("total"))
     # The k-th greatest total is found from the counts of totals, so no file's grams pass through one window.
@@ -43,9 +56,7 @@ def unit_vectors(docs: DataFrame, file: str, side: str, pos: str, text: str, fea
     kept_at = steps.withColumn("above", F.coalesce(F.sum("grams").over(down), F.lit(0))).where(F.col("above") < features).groupBy(file).agg(F.min("total").alias("least"))
     vocabulary = per.join(kept_at, file).where("total >= least").join(number, file)
     idf = F.log((1 + F.col("docs")) / (1 + F.col("df"))) + 1
-    weighted = grams.join(vocabulary.select(file, "gram", idf.alias("idf")), [file, "gram"]).withColumn("w", F.col("n") * F.col("idf"))
-    length = weighted.groupBy(file, side, pos).agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("len"))
-    return weighted.join(length, [file, side, pos]).select(file, side, pos, "gram", (F.col("w") / F.col("len")).alias("w"))
+    return grams.join(vocabulary.select(file, "gram", idf.alias("idf")), [file, "gram"]).select(file, side, pos, "gram", (F.col("n") * F.col("idf")).alias("w"))
 
 
 def _in_blocks(rows: DataFrame, file: str, pos: str, left: DataFrame, to: str, other: str) -> DataFrame:
@@ -61,8 +72,7 @@ def matrix(docs: DataFrame, file: str, side: str, pos: str, text: str, words: bo
     out. The texts of a file are cut into blocks; each pair of blocks is one sparse product in one task, so a file of
     any size spreads over the cluster.
     """
-    unit = unit_vectors(docs, file, side, pos, text)
-    vectors = unit.groupBy(file, side, pos).agg(F.collect_list("gram").alias("grams"), F.collect_list("w").alias("weights"))
+    vectors = weighted_vectors(docs, file, side, pos, text).groupBy(file, side, pos).agg(F.collect_list("gram").alias("grams"), F.collect_list("w").alias("weights"))
     rows = docs.select(file, side, F.col(pos).cast("bigint").alias("pos"), F.col(text).alias("said")).join(vectors.select(file, side, F.col(pos).cast("bigint").alias("pos"), "grams", "weights"), [file, side, "pos"], "left")
     blocks = lambda k: F.greatest(F.lit(1), F.ceil(F.count_if(F.col(side) == k) / SIDE)).cast("bigint")
     number = docs.groupBy(file).agg(blocks(0).alias("a_blocks"), blocks(1).alias("b_blocks"))
@@ -76,6 +86,7 @@ def matrix(docs: DataFrame, file: str, side: str, pos: str, text: str, words: bo
         for t in (left, right):
             grams = [g or () for g in t.column("grams").to_pylist()]
             weights = [np.asarray(w if w is not None else (), float) for w in t.column("weights").to_pylist()]
+            weights = [w / np.sqrt((w * w).sum()) if len(w) else w for w in weights]
             index = np.fromiter((known.setdefault(g, len(known)) for gs in grams for g in gs), np.int64)
             sides.append((t.column("pos").to_numpy(), np.repeat(np.arange(len(grams)), [len(g) for g in grams]), index, np.concatenate([np.zeros(0), *weights]), t.column("said").to_pylist()))
         (i, ri, gi, wi, ti), (j, rj, gj, wj, tj) = sides
@@ -101,10 +112,12 @@ def matrix(docs: DataFrame, file: str, side: str, pos: str, text: str, words: bo
 
 def similar_pairs(docs: DataFrame, pairs: DataFrame, file: str, side: str, pos: str, text: str, char_weight: float = 0.7) -> DataFrame:
     """M-05 of some pairs only: file, i, j, sim of pairs (file, i, j); the fit is on all docs."""
-    unit = unit_vectors(docs, file, side, pos, text)
-    a = unit.where(F.col(side) == 0).select(file, F.col(pos).alias("i"), "gram", F.col("w").alias("wa"))
-    b = unit.where(F.col(side) == 1).select(file, F.col(pos).alias("j"), "gram", F.col("w").alias("wb"))
-    cos = pairs.join(a, [file, "i"]).join(b, [file, "j", "gram"]).groupBy(file, "i", "j").agg(F.sum(F.col("wa") * F.col("wb")).alias("cosine"))
+    # Both sides are read from one written table, as are the lengths.
+    weighted = stage(weighted_vectors(docs, file, side, pos, text))
+    of = lambda k, to, w: weighted.where(F.col(side) == k).select(file, F.col(pos).alias(to), "gram", F.col("w").alias(w))
+    length = lambda k, to, name: of(k, to, "w").groupBy(file, to).agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias(name))
+    dot = pairs.join(of(0, "i", "wa"), [file, "i"]).join(of(1, "j", "wb"), [file, "j", "gram"]).groupBy(file, "i", "j").agg(F.sum(F.col("wa") * F.col("wb")).alias("dot"))
+    cos = dot.join(length(0, "i", "la"), [file, "i"]).join(length(1, "j", "lb"), [file, "j"]).select(file, "i", "j", (F.col("dot") / (F.col("la") * F.col("lb"))).alias("cosine"))
     x = docs.where(F.col(side) == 0).select(file, F.col(pos).alias("i"), F.col(text).alias("x"))
     y = docs.where(F.col(side) == 1).select(file, F.col(pos).alias("j"), F.col(text).alias("y"))
     ratio = F.pandas_udf(lambda p, q: pd.Series([token_set_ratio(u or "", v or "", blanks=True) for u, v in zip(p, q)], dtype=float), "double")
