@@ -13,7 +13,7 @@ from voxlattice.functions import similarity as S
 from voxlattice.functions import text as T
 from voxlattice.operators import batching, matching, products, reorder, segments
 from voxlattice.plans import pipeline
-from voxlattice.sources import audio, manifest, sinks
+from voxlattice.sources import audio, index, manifest, sinks
 from voxlattice.sources.srt import MERGE, SPAN, parse_blocks
 
 KEYS = ["k"]
@@ -273,3 +273,18 @@ def test_resampling_keeps_what_the_new_rate_can_hold():
     kept, gone = audio.mono(low, 44_100), audio.mono(high, 44_100)
     assert len(kept) == 16_000
     assert abs(np.sqrt(np.mean(kept[500:-500] ** 2)) - 0.5**0.5) < 0.01 and np.sqrt(np.mean(gone[500:-500] ** 2)) < 0.02
+
+
+def test_files_are_reordered_or_copied(spark, tmp_path):
+    texts = ["рыбаки чинили сети у брода", "бабы носили корзины в амбар", "кузнецы точили косы на гумне"]
+    (tmp_path / "a.csv").write_text("name,text,transcript,trans\n" + "".join(f"n{i},{t},{texts[(i + 1) % 3]},yes\n" for i, t in enumerate(texts)))
+    (tmp_path / "same.csv").write_text("text,transcript\n" + "".join(f"{t},{t}\n" for t in texts))
+    (tmp_path / "odd.csv").write_text("text,other\nа,б\n")
+    (tmp_path / "none.csv").write_text("text,transcript,trans\nа,б,no\n")
+    (tmp_path / "bad.csv").write_text("text,transcript\nа,б,в,г\n")
+    run = lambda name: reorder.reordered_file(spark, str(tmp_path / name), str(tmp_path / "out" / name))
+    assert [run(f"{x}.csv") for x in ("a", "same", "odd", "none", "bad")] == ["reordered", "nothing is gained", "a column is missing", "no row counts", "unreadable"]
+    for x in ("same", "odd", "none", "bad"):
+        assert (tmp_path / f"out/{x}.csv").read_bytes() == (tmp_path / f"{x}.csv").read_bytes()
+    rows = index.read_folder(spark, str(tmp_path / "out/a.csv"), "name string, text string, transcript string, trans string", "*.csv").collect()
+    assert [(r.name, r.text, r.transcript, r.trans) for r in rows] == [(f"n{i}", t, t, "yes") for i, t in enumerate(texts)]

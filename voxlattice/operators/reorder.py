@@ -8,12 +8,15 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from voxlattice.functions.similarity import token_set_ratio
-from voxlattice.functions.text import norm_reorder
+from voxlattice.functions.text import norm_reorder, tolerant_bool
 from voxlattice.runtime import stage
+from voxlattice.sources.sinks import copy_file, write_csv
 
 GRAMS = (3, 4, 5)
 #: N-grams kept for a file, by frequency.
@@ -234,3 +237,34 @@ def reordered(rows: DataFrame, file: str, pos: str, text: str, transcript: str,
     kept = F.when(~F.col("applied"), F.col("raw")).when(F.col("active"), F.col("got")).when(F.col("used").isNull(), F.col("raw"))
     left = whole.where("applied AND active AND used IS NULL").select(file, F.lit(None).cast("int").alias("pos"), F.col("raw").alias("transcript"))
     return whole.select(file, "pos", kept.alias("transcript")).unionByName(left), summary
+
+
+def reordered_file(spark: SparkSession, source: str, target: str) -> str:
+    """S-11, K-05, F-05: stage 5 of one CSV file with the columns text and transcript, and trans if there is one.
+
+    Returns `reordered`, or why the file was copied as it is: it can't be read, lacks a column, has no row that counts,
+    or nothing is gained. The other columns stay; leftovers come last, with their transcript only.
+    """
+    read = spark.read.option("header", True).option("multiLine", True).option("escape", '"').option("mode", "FAILFAST")
+    try:
+        df = stage(read.csv(source).withColumn("_at", F.monotonically_increasing_id()))
+    except (PySparkException, Py4JJavaError):
+        copy_file(spark, source, target)
+        return "unreadable"
+    why = ""
+    if not {"text", "transcript"} <= set(df.columns):
+        why = "a column is missing"
+    else:
+        # A file is one recording's index, which is numbered in one task.
+        rows = stage(df.withColumn("_pos", F.row_number().over(Window.orderBy("_at"))).drop("_at").withColumn("_active", tolerant_bool(F.col("trans")) if "trans" in df.columns else F.lit(True)).withColumn("_file", F.lit("f")))
+        got, summary = reordered(rows, "_file", "_pos", "text", "transcript", "_active")
+        found = summary.collect()
+        why = "no row counts" if not found else "" if found[0]["applied"] else "nothing is gained"
+    if why:
+        copy_file(spark, source, target)
+        return why
+    new = got.where("pos IS NOT NULL").select(F.col("pos").alias("_to"), F.col("transcript").alias("_new"))
+    kept = rows.join(new, F.col("_pos") == F.col("_to")).withColumn("transcript", F.col("_new")).drop("_to", "_new")
+    whole = kept.unionByName(got.where("pos IS NULL").select("transcript"), allowMissingColumns=True)
+    write_csv(whole.orderBy(F.col("_pos").asc_nulls_last()).select(*[c for c in df.columns if c != "_at"]).coalesce(1), target)
+    return "reordered"

@@ -78,3 +78,9 @@ def read_table_file(spark: SparkSession, path: str, schema: str, sep: str = ",",
     """S-09 to S-11: CSV or TSV with quoted line breaks; what doesn't fit the schema stands in the column `bad`."""
     df = spark.read.option("header", True).option("multiLine", True).option("escape", '"').option("sep", sep).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", bad).schema(f"{schema}, {bad} string").csv(path)
     return df.drop(df.columns[0]) if drop_first else df
+
+
+def read_folder(spark: SparkSession, folder: str, schema: str, glob: str = "*.csv") -> DataFrame:
+    """S-16: the rows of all CSV files of a folder, with `file`, the name of theirs without its suffix."""
+    df = spark.read.option("header", True).option("multiLine", True).option("escape", '"').option("pathGlobFilter", glob).schema(schema).csv(folder)
+    return df.select("*", F.regexp_replace(F.col("_metadata.file_name"), r"\.[^.]*$", "").alias("file"))

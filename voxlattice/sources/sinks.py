@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from voxlattice.functions import text as T
@@ -14,6 +14,13 @@ def write_csv(df: DataFrame, path: str, sep: str = ",") -> None:
     df.write.mode("overwrite").option("header", True).option("sep", sep).option("escape", '"').option("emptyValue", "").csv(path)
 
 
+def copy_file(spark: SparkSession, source: str, target: str) -> None:
+    """K-05: the bytes of a file under another name, whose folder is made if need be."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    a, b = jvm.org.apache.hadoop.fs.Path(source), jvm.org.apache.hadoop.fs.Path(target)
+    jvm.org.apache.hadoop.fs.FileUtil.copy(a.getFileSystem(conf), a, b.getFileSystem(conf), b, False, True, conf)
+
+
 def write_results(df: DataFrame, path: str) -> None:
     """K-12, JS-02: JSON lines (NULL fields kept) or CSV by the path's suffix; another suffix is an error."""
     if path.endswith(".jsonl"):
