@@ -5,11 +5,13 @@ from __future__ import annotations
 import itertools
 import random
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from voxlattice.functions.timecode import code_ms
 from voxlattice.operators import hierarchy, matching
+from voxlattice.operators.whole_keys import begins, whole_keys
 from voxlattice.plans import pipeline
 from voxlattice.plans.queries import QUERIES
 
@@ -149,3 +151,22 @@ def test_best_parameters_of_the_whole_grid(spark, tmp_path):
         scores.append((sum(a == b for a, b in zip(ends, ends[1:])), len(scores)))
     assert [(r.unmatched, r.param_no) for r in pipeline.best_parameters(spark, sf).collect()] == [min(scores)]
     assert min(scores)[1] > 3
+
+
+def test_clips_and_sets_solved_together_leave_what_each_leaves_alone():
+    rng, words = random.Random(3), "а б в г д е".split()
+    clips = [([[rng.choice(words) for _ in range(rng.randrange(5))] for _ in range(rng.randrange(9))], [rng.choice([*words, "", "х"]) for _ in range(rng.randrange(12))]) for _ in range(60)]
+    grid = [{"skip": s, "least": t, "length_cost": c, "longest": n} for s in (0.5, 1.0) for t in (0.2, 0.4) for c in (0.0, 0.02) for n in (3, 15)] + [{}]
+    for (segments, tokens), found in zip(clips, matching.unmatched(clips, grid)):
+        for options, left in zip(grid, found):
+            ends, _ = matching.span_boundaries(segments, tokens, **options)
+            assert left == sum(a == b for a, b in zip(ends, ends[1:]))
+
+
+def test_whole_keys_over_any_cuts_of_batches():
+    rows = [("a", 1), ("a", 1), ("b", 1), ("b", 2), ("c", 2), ("c", 2), ("c", 2), ("d", 1)]
+    table = pa.table({"k": [k for k, _ in rows], "n": [n for _, n in rows], "at": range(len(rows))})
+    for size in range(1, 10):
+        found = list(whole_keys(iter(table.to_batches(max_chunksize=size)), 2))
+        assert [x for t in found for x in t.column("at").to_pylist()] == list(range(len(rows)))
+        assert sum(len(begins(t, 2)) for t in found) == len(set(rows))

@@ -8,17 +8,18 @@ dynamic programme keeps about 2 * sqrt(segments) rows and computes the others ag
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
-from functools import lru_cache
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from voxlattice.functions.similarity import partial_ratio, token_set_ratio
+from voxlattice.operators.whole_keys import begins, by_keys
 
-#: Spans of a clip whose similarities best_parameters() keeps in memory, 8 bytes each.
-KEPT_SPANS = 25_000_000
+#: Tokens and segments of the clips that best_parameters() solves together; a clip is never cut.
+TOGETHER = 20_000
 #: Places of a table of the dynamic programme that is kept whole, 12 bytes each.
 WHOLE_TABLE = 10_000_000
 
@@ -209,25 +210,117 @@ def span_aligned(left: DataFrame, right: DataFrame, keys: list[str], **options:
     return _by_clip(left, right, keys, run, "l_pos int, tok_from int, tok_to int, cost double")
 
 
+def _ranges(first: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """first[k], first[k] + 1, ... for sizes[k] numbers of each k."""
+    ends = sizes.cumsum()
+    return np.repeat(first - (ends - sizes), sizes) + np.arange(ends[-1] if len(ends) else 0)
+
+
+def unmatched(clips: list[tuple[list[list[str]], list[str]]], grid: list[dict[str, float]]) -> np.ndarray:
+    """[clip, set of grid]: the segments that span_boundaries() leaves without tokens.
+
+    All clips and all sets that share `least` and the lengths are one table, one step for each place of a segment: a row
+    of costs, and with each cost the segments left out on the way there, so that no way back is needed. Sums are made in
+    the order of span_boundaries(), as equal costs decide.
+    """
+    order = sorted(range(len(clips)), key=lambda c: -len(clips[c][0]))
+    n = np.array([len(clips[c][0]) for c in order], dtype=np.int64)
+    m = np.array([len(clips[c][1]) for c in order], dtype=np.int64)
+    off, most = m.cumsum() - m, int(m.sum())
+    known: dict[str, int] = {}
+    ids = np.array([known.setdefault(t, len(known)) for c in order for t in clips[c][1]], dtype=np.int64)
+    of, end = np.repeat(np.arange(len(order)), m), np.repeat(off + m, m)
+    keys = of * (len(known) + 1) + ids
+    by_key = np.argsort(keys, kind="stable")
+    keys = keys[by_key]
+    last = np.full(most, -1, dtype=np.int64)
+    again = keys[1:] == keys[:-1]
+    last[by_key[1:][again]] = by_key[:-1][again]
+    out = np.zeros((len(clips), len(grid)), dtype=np.int64)
+    kinds: dict[tuple[int, int], dict[float, list[int]]] = {}
+    for k, options in enumerate(grid):
+        kinds.setdefault((int(options.get("shortest", 1)), int(options.get("longest", 25))), {}).setdefault(options.get("least", 0.3), []).append(k)
+    words = [[set(s) for s in clips[c][0]] for c in order]
+    for (shortest, longest), sets in kinds.items():
+        lengths = np.arange(longest)
+        ends = np.minimum(np.arange(most)[:, None] + lengths, max(0, most - 1))
+        inside = np.arange(most)[:, None] + lengths < end[:, None]
+        new = (last[ends] < np.arange(most)[:, None]) & inside
+        seen = new.cumsum(axis=1, dtype=np.int32)
+        # A clip has one place more than tokens: those of clip c begin at off[c] + c.
+        state = {}
+        for least, ks in sets.items():
+            row = np.full((most + len(order), len(ks)), np.inf)
+            row[off + np.arange(len(order))] = 0.0
+            state[least] = (row, np.zeros(row.shape, dtype=np.int32), np.array([grid[k].get("skip", 0.8) for k in ks]), np.array([grid[k].get("length_cost", 0.02) for k in ks]))
+        for i in range(int(n[0]) if len(n) else 0):
+            live = int(np.searchsorted(-n, -i, side="left"))
+            tokens = int(off[live - 1] + m[live - 1])
+            own = np.array([len(w[i]) for w in words[:live]], dtype=np.int64)
+            asked = np.array([c * (len(known) + 1) + known[t] for c in range(live) if m[c] for t in words[c][i] if t in known], dtype=np.int64)
+            first = np.searchsorted(keys, asked, side="left")
+            held = by_key[_ranges(first, np.searchsorted(keys, asked, side="right") - first)]
+            is_shared = np.zeros(most, dtype=bool)
+            is_shared[held] = True
+            near = np.bincount(np.maximum(held - longest + 1, off[of[held]]), minlength=tokens + 1) - np.bincount(held + 1, minlength=tokens + 1)
+            starts = np.flatnonzero(near.cumsum()[:tokens])
+            shared = (new[starts] & is_shared[ends[starts]]).cumsum(axis=1, dtype=np.int32)
+            sims = 2 * shared / (own[of[starts]][:, None] + seen[starts])
+            for least, (row, left, skip, cost) in state.items():
+                enough = (sims >= least) & inside[starts]
+                upto = tokens + live
+                before, was = row[:upto].copy(), left[:upto].copy()
+                row[:upto] += skip
+                left[:upto] += 1
+                reached = np.isfinite(before[starts + of[starts]]).any(axis=1)
+                enough &= reached[:, None]
+                for length in range(shortest, longest + 1):
+                    able = np.flatnonzero(enough[:, length - 1])
+                    if not len(able):
+                        continue
+                    a = starts[able] + of[starts[able]]
+                    total = before[a] + ((1 - sims[able, length - 1])[:, None] + cost * length)
+                    now = row[a + length]
+                    better = total < now
+                    row[a + length] = np.where(better, total, now)
+                    left[a + length] = np.where(better, was[a], left[a + length])
+        for least, (row, left, _, _) in state.items():
+            for c, at in enumerate(order):
+                mine = slice(int(off[c]) + c, int(off[c] + m[c]) + c + 1)
+                best = row[mine].argmin(axis=0)
+                out[at, sets[least]] = left[mine][best, np.arange(len(best))]
+    return out
+
+
 def best_parameters(left: DataFrame, right: DataFrame, keys: list[str], grid: list[dict[str, float]]) -> DataFrame:
     """A-08: for each clip the first of the parameter sets that leaves fewest segments without tokens.
 
-    The options of a set are those of span_boundaries(). Similarities are kept for all sets of a clip while they are
-    few enough, and computed again for each set else.
+    left: keys, l_pos, l_norm; right: keys, r_pos, r_norm, the tokens of a line parted by single blanks. The options of a
+    set are those of span_boundaries(). Clips are solved together, about TOGETHER tokens and segments at a time.
     """
 
-    def run(l_pos: list[int], l_norm: list[str], _: list[int], tokens: list[str]) -> list[tuple]:
-        segments = [x.split() for x in l_norm]
-        if not segments:
-            return []
-        found, shared = [], {}
-        for k, options in enumerate(grid):
-            longest = int(options.get("longest", 25))
-            if longest not in shared:
-                of = span_similarities(segments, tokens, longest)
-                shared[longest] = lru_cache(maxsize=max(1, KEPT_SPANS // max(1, len(tokens) * longest)))(of)
-            ends, _ = span_boundaries(segments, tokens, **options, similar=shared[longest])
-            found.append((sum(a == b for a, b in zip(ends, ends[1:])), k))
-        return [min(found)]
-
-    return _by_clip(left, right, keys, run, "unmatched bigint, param_no int")
+    def run(table: pa.Table) -> Iterator[pa.RecordBatch]:
+        at = begins(table, len(keys))
+        side, norm = table.column("side").to_numpy(), table.column("norm").to_pylist()
+        clips = []
+        for first, last in zip(at.tolist(), [*at[1:].tolist(), table.num_rows]):
+            cut = first + int(np.searchsorted(side[first:last], 1))
+            segments, tokens = norm[first:cut], [t for x in norm[cut:last] for t in x.split(" ")]
+            # Without tokens all segments stay over, whatever the parameters.
+            clips.append(([x.split() for x in segments], tokens) if tokens else len(segments))
+        found = np.array([(c if isinstance(c, int) else 0, 0) for c in clips], dtype=np.int64)
+        mine = sorted((k for k, c in enumerate(clips) if not isinstance(c, int) and c[0]), key=lambda k: len(clips[k][0]))
+        while mine:
+            part, size = [], 0
+            while mine and (not part or size < TOGETHER):
+                part.append(mine.pop())
+                size += len(clips[part[-1]][0]) + len(clips[part[-1]][1])
+            counts = unmatched([clips[k] for k in part], grid)
+            found[part] = np.stack([counts.min(axis=1), counts.argmin(axis=1)], axis=1)
+        some = np.flatnonzero([c if isinstance(c, int) else len(c[0]) for c in clips])
+        rows = pa.array(at[some])
+        yield pa.RecordBatch.from_arrays([*[table.column(k).combine_chunks().take(rows) for k in range(len(keys))], pa.array(found[some, 0]), pa.array(found[some, 1].astype(np.int32))], [*keys, "unmatched", "param_no"])
+
+    known = lambda df, side, pos, norm: df.where(" AND ".join(f"`{c}` IS NOT NULL" for c in [*keys, pos])).select(*keys, F.lit(side).alias("side"), F.col(pos).cast("bigint").alias("pos"), F.coalesce(norm, F.lit("")).alias("norm"))
+    kinds = ", ".join(f"{k} {left.schema[k].dataType.simpleString()}" for k in keys)
+    return by_keys(known(left, 0, "l_pos", "l_norm").unionByName(known(right, 1, "r_pos", "r_norm")), keys, ["side", "pos"], run, f"{kinds}, unmatched bigint, param_no int")

@@ -463,7 +463,8 @@ def span_matches(spark: SparkSession, sf: str) -> DataFrame:
 @query("best_parameters")
 def best_parameters(spark: SparkSession, sf: str) -> DataFrame:
     """A-08: the parameters that leave fewest lines without tokens, of the reference's grid of 27 in its order."""
-    left, right = _token_sides(spark, sf)
+    left, _ = _token_sides(spark, sf)
+    right = manual(spark, sf).select("recording_id", "seg_no", F.col("pos").alias("r_pos"), T.norm_tokens(F.col("text")).alias("r_norm")).where("r_norm IS NOT NULL")
     grid = [{"skip": s, "least": t, "length_cost": c, "longest": 15} for s in (0.5, 0.8, 1.0) for t in (0.2, 0.3, 0.4) for c in (0.01, 0.02, 0.05)]
     return matching.best_parameters(left, right, ["recording_id", "seg_no"], grid)
 
