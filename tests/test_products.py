@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import random
 import re
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -288,3 +289,23 @@ def test_files_are_reordered_or_copied(spark, tmp_path):
         assert (tmp_path / f"out/{x}.csv").read_bytes() == (tmp_path / f"{x}.csv").read_bytes()
     rows = index.read_folder(spark, str(tmp_path / "out/a.csv"), "name string, text string, transcript string, trans string", "*.csv").collect()
     assert [(r.name, r.text, r.transcript, r.trans) for r in rows] == [(f"n{i}", t, t, "yes") for i, t in enumerate(texts)]
+
+
+@pytest.mark.parametrize("letters", ["абв г", "".join(map(chr, range(0x4E00, 0x4E00 + 9000)))])
+def test_cosines_of_blocks_are_those_of_whole_files(spark, monkeypatch, letters):
+    rng = random.Random(1)
+    rows = [(f, s, p, "".join(rng.choices(letters[: 9000 // (p + 1)], k=rng.randrange(12)))) for f in ("f", "g") for s in (0, 1) for p in range(9)]
+    # Many features in common, and the least frequent are dropped.
+    docs = spark.createDataFrame(rows + [(f, s, p + 9, t[::-1] + t) for f, s, p, t in rows] + [("g", 1, 18, letters), *[(f, 0, 18, letters[500:520]) for f in "fg"]], "f string, side int, pos int, text string")
+    monkeypatch.setattr(reorder, "FEATURES", 60)
+    found = {}
+    for block in (2048, 4):
+        monkeypatch.setattr(reorder, "BLOCK", block)
+        found[block] = {(r.f, r.i, r.j): round(r.cosine, 9) for r in reorder.matrix(docs, "f", "side", "pos", "text", words=False).collect()}
+    assert found[4] == found[2048] and found[4]
+    texts = {k: [[t for f, s, _, t in map(tuple, docs.collect()) if (f, s) == (k, x)] for x in (0, 1)] for k in "fg"}
+    for k, (a, b) in texts.items():
+        count = Counter(g for t in a + b for g in (t[p : p + n] for n in (3, 4, 5) for p in range(len(t) - n + 1)))
+        least = sorted(count.values())[-60]
+        shared = lambda x, y: any(count[g] >= least and g in y for g in (x[p : p + n] for n in (3, 4, 5) for p in range(len(x) - n + 1)))
+        assert {(i, j) for f, i, j in found[4] if f == k} == {(i, j) for i, x in enumerate(a) for j, y in enumerate(b) if shared(x, y)}

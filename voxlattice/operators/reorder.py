@@ -2,70 +2,198 @@
 
 from __future__ import annotations
 
-from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from voxlattice.functions.similarity import token_set_ratio
 from voxlattice.functions.text import norm_reorder, tolerant_bool
+from voxlattice.operators.whole_keys import begins, by_keys, whole_keys
 from voxlattice.runtime import stage
 from voxlattice.sources.sinks import copy_file, write_csv
 
 GRAMS = (3, 4, 5)
 #: N-grams kept for a file, by frequency.
 FEATURES = 20_000
-#: Texts of either side of a file whose products one task takes.
+#: Texts of either side whose products are made at a time.
 SIDE = 256
-
-
-def char_grams(df: DataFrame, keys: list[str], text: str) -> DataFrame:
-    """keys, gram, n: counts of character n-grams of each text, blanks included. Cut in Arrow batches, as a substring of
-    a long text takes the JVM as long as what stands before it."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            at, grams, counts = [], [], []
-            for i, t in enumerate(batch.column(len(keys)).to_pylist()):
-                found = Counter(t[k : k + n] for n in GRAMS for k in range(len(t) - n + 1)) if t else {}
-                at += [i] * len(found)
-                grams += found.keys()
-                counts += found.values()
-            take = pa.array(at, pa.int64())
-            yield pa.RecordBatch.from_arrays([*[batch.column(k).take(take) for k in range(len(keys))], pa.array(grams, pa.string()), pa.array(counts, pa.int64())], [*keys, "gram", "n"])
-
-    return df.select(*keys, text).mapInArrow(run, df.select(*keys).schema.add("gram", "string").add("n", "long"))
-
-
-def weighted_vectors(docs: DataFrame, file: str, side: str, pos: str, text: str, features: int = FEATURES) -> DataFrame:
-    """M-05: file, side, pos, gram, w: TF-IDF vectors of character 3- to 5-grams, fitted on both sides of each file.
-
-    Weights are count * (ln((1 + N) / (1 + df)) + 1). Grams beyond the `features` most frequent of a file are dropped;
-    those as frequent as the last of them stay.
-    """
-    grams = stage(char_grams(docs, [file, side, pos], text))
-    number = docs.groupBy(file).agg(F.count("*").alias("docs"))
-    per = grams.groupBy(file, "gram").agg(F.count("*").alias("df"), F.sum("n").alias("total"))
+#: Texts of either side of a file that one task takes.
+BLOCK = 2048
+#: Texts whose grams are counted at a time.
+PIECE = 2048
+#: Tasks at least for the products.
+TASKS = 48
+
+
+def _coded(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """text, code, size and first character of all n-grams of the texts; equal grams, and no others, have one code."""
+    sizes = np.fromiter(map(len, texts), np.int64, len(texts))
+    points = np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), np.uint32)
+    known, letters = np.unique(points, return_inverse=True)
+    letters = letters.astype(np.int64) + 1
+    of, ends, width = np.repeat(np.arange(len(texts)), sizes), np.repeat(sizes.cumsum(), sizes), len(known) + 1
+    narrow, code, found = width ** max(GRAMS) < 1 << 62, letters, []
+    for n in range(2, max(GRAMS) + 1):
+        code = code[:-1] * width + letters[n - 1 :]
+        if not narrow:
+            # Numbers of what is there in place of numbers of what might be.
+            code = np.unique(code, return_inverse=True)[1].astype(np.int64) + 1
+        if n in GRAMS:
+            at = np.flatnonzero(np.arange(len(code)) + n <= ends[: len(code)])
+            found.append((of[at], code[at] if narrow else code[at] * len(GRAMS) + len(found), np.full(len(at), n), at))
+    return tuple(np.concatenate(x) for x in zip(*found))  # type: ignore[return-value]
+
+
+def _counted(texts: list[str], more: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """text, gram, n: counts of grams of each text, in order of texts; first character and size of each gram; the grams that `more` are."""
+    of, code, size, at = _coded([*texts, *more])
+    known, where, gram = np.unique(code, return_index=True, return_inverse=True)
+    whole = (of >= len(texts)) & (size == np.array([0] * len(texts) + [len(x) for x in more], dtype=np.int64)[of]) if more else np.zeros(len(of), bool)
+    given = np.zeros(len(more), dtype=np.int64)
+    given[of[whole] - len(texts)] = gram[whole]
+    of_text = of < len(texts)
+    pair, n = np.unique(of[of_text] * max(1, len(known)) + gram[of_text], return_counts=True)
+    return pair // max(1, len(known)), pair % max(1, len(known)), n, at[where], size[where], given
+
+
+def char_grams(docs: DataFrame, file: str, text: str) -> DataFrame:
+    """file, gram, df, total: the texts that hold an n-gram of characters, blanks included, and how often. Counted in Arrow
+    batches, of which one row for each gram of a file is left."""
+
+    def run(table: pa.Table) -> Iterator[pa.RecordBatch]:
+        at = begins(table, 1)
+        for first, last in zip(at, [*at[1:], table.num_rows]):
+            for k in range(first, last, PIECE):
+                texts = table.column(1).slice(k, min(PIECE, last - k)).to_pylist()
+                _, gram, n, where, size, _ = _counted(texts, [])
+                said = "".join(texts)
+                rows = [said[x : x + y] for x, y in zip(where.tolist(), size.tolist())]
+                names = table.column(0).slice(first, 1).combine_chunks().take(pa.array(np.zeros(len(rows), np.int64)))
+                counts = [pa.array(np.bincount(gram, x, len(rows)).astype(np.int64)) for x in (None, n)]
+                yield pa.RecordBatch.from_arrays([names, pa.array(rows, pa.string()), *counts], [file, "gram", "df", "total"])
+
+    def both(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in whole_keys(batches, 1):
+            yield from run(table)
+
+    kind = docs.schema[file].dataType.simpleString()
+    pieces = docs.select(file, text).sortWithinPartitions(file).mapInArrow(both, f"{file} {kind}, gram string, df bigint, total bigint")
+    return pieces.groupBy(file, "gram").agg(F.sum("df").alias("df"), F.sum("total").alias("total"))
+
+
+def vocabulary(docs: DataFrame, file: str, text: str, number: DataFrame, features: int) -> DataFrame:
+    """M-05: file, gram, idf = ln((1 + N) / (1 + df)) + 1 of the `features` most frequent grams of a file and those as frequent as the last."""
+    per = char_grams(docs, file, text)
     # The k-th greatest total is found from the counts of totals, so no file's grams pass through one window.
     steps = per.groupBy(file, "total").agg(F.count("*").alias("grams"))
-
     down = Window.partitionBy(file).orderBy(F.desc("total")).rowsBetween(Window.unboundedPreceding, -1)
     kept_at = steps.withColumn("above", F.coalesce(F.sum("grams").over(down), F.lit(0))).where(F.col("above") < features).groupBy(file).agg(F.min("total").alias("least"))
-    vocabulary = per.join(kept_at, file).where("total >= least").join(number, file)
     idf = F.log((1 + F.col("docs")) / (1 + F.col("df"))) + 1
-    return grams.join(vocabulary.select(file, "gram", idf.alias("idf")), [file, "gram"]).select(file, side, pos, "gram", (F.col("n") * F.col("idf")).alias("w"))
-
-
-def _in_blocks(rows: DataFrame, file: str, pos: str, left: DataFrame, to: str, other: str) -> DataFrame:
-    """rows with their own block and, once for each block of the other side, that one's. left: file, and the numbers of blocks."""
-    block = F.pmod(F.xxhash64(pos), F.col(f"{to}_blocks")).cast("int")
-    return rows.join(left, file).withColumn(to, block).withColumn(other, F.explode(F.sequence(F.lit(0), (F.col(f"{other}_blocks") - 1).cast("int")))).drop("a_blocks", "b_blocks")
+    return per.join(kept_at, file).where("total >= least").join(number, file).select(file, "gram", idf.alias("idf"))
+
+
+def _vectors(texts: list[str], number: int, features: int = FEATURES, grams: list[str] | None = None, idf: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray, int]:
+    """M-05: text, gram, w of unit vectors, in order of texts, and how many grams there may be. The fit is on the texts, of
+    `number` with the empty ones, if no grams are given with their idf."""
+    of, gram, n, where, _, given = _counted(texts, grams or [])
+    weight = np.zeros(len(where))
+    if grams is None:
+        df, total = np.bincount(gram, minlength=len(where)), np.bincount(gram, n, len(where))
+        kept = total >= (np.partition(total, -features)[-features] if len(total) > features else 0)
+        weight[kept] = np.log((1 + number) / (1 + df[kept])) + 1
+    else:
+        weight[given] = idf
+    w = n * weight[gram]
+    some = w > 0
+    of, gram, w = of[some], gram[some], w[some]
+    return of, gram, w / np.sqrt(np.bincount(of, w * w, len(texts)))[of], len(where)
+
+
+def _cosines(left: tuple[np.ndarray, np.ndarray, np.ndarray], right: tuple[np.ndarray, np.ndarray, np.ndarray], n: int, m: int, grams: int) -> Iterator[tuple[int, int, np.ndarray]]:
+    """First row, first column and the products of strips of the n x m texts; vectors are (text, gram, w) in order of texts."""
+    (i, gi, wi), (j, gj, wj) = left, right
+    both = np.zeros(grams, bool)
+    both[gi] = True
+    at = np.full(grams, -1)
+    shared = np.unique(gj[both[gj]])
+    at[shared] = np.arange(len(shared))
+    keep_i, keep_j = at[gi] >= 0, at[gj] >= 0
+    i, gi, wi, j, gj, wj = i[keep_i], at[gi[keep_i]], wi[keep_i], j[keep_j], at[gj[keep_j]], wj[keep_j]
+    ends = np.searchsorted(i, np.arange(n + 1))
+    for c in range(0, m, SIDE):
+        # These columns as one dense table of grams, of which each text on the left adds up its own rows.
+        wide, own = min(SIDE, m - c), slice(*np.searchsorted(j, [c, c + SIDE]))
+        table = np.zeros((len(shared), wide))
+        table[gj[own], j[own] - c] = wj[own]
+        for r in range(0, n, SIDE):
+            cos = np.zeros((min(SIDE, n - r), wide))
+            for k in range(len(cos)):
+                mine = slice(ends[r + k], ends[r + k + 1])
+                cos[k] = wi[mine] @ table[gi[mine]]
+            yield r, c, cos
+
+
+def _docs(docs: DataFrame, file: str, side: str, pos: str, text: str) -> DataFrame:
+    """The texts as _fitted() reads them: _f, _side, _pos, _said."""
+    return stage(docs.where(F.col(file).isNotNull()).select(F.col(file).alias("_f"), F.col(side).cast("int").alias("_side"), F.col(pos).cast("bigint").alias("_pos"), F.coalesce(text, F.lit("")).alias("_said")))
+
+
+def _every(k: str) -> Column:
+    return F.explode(F.sequence(F.lit(0), F.col(f"{k}_blocks") - 1))
+
+
+def _fitted(docs: DataFrame, number: DataFrame, a: DataFrame, b: DataFrame, run: Callable, schema: str) -> DataFrame:
+    """run(file, positions of side 0, of side 1, their texts, their vectors, how many grams there may be) on each pair of blocks.
+
+    docs: of _docs(), on which the vectors are fitted; number: _f, docs, a_blocks, b_blocks; a, b: rows of docs with docs and
+    their blocks _a, _b. A file of one block fits its grams itself, if that is all its texts but the empty ones; of larger
+    files the grams are counted in pieces and go to each pair of blocks.
+    """
+    columns = ["_f", "_a", "_b", "_side", "_pos", "_said", "docs", F.lit(None).cast("double").alias("idf")]
+    whole = a.select(*columns).unionByName(b.select(*columns))
+    large = number.where("a_blocks > 1 OR b_blocks > 1")
+    if large.limit(1).count():
+        grams = vocabulary(docs.join(F.broadcast(large.select("_f")), "_f", "left_semi"), "_f", "_said", number.select("_f", "docs"), FEATURES).join(large, "_f")
+        given = grams.withColumn("_a", _every("a")).withColumn("_b", _every("b"))
+        whole = whole.unionByName(given.select("_f", "_a", "_b", F.lit(2).alias("_side"), F.lit(None).cast("bigint").alias("_pos"), F.col("gram").alias("_said"), "docs", "idf"))
+
+    def tables(table: pa.Table) -> Iterator[pa.RecordBatch]:
+        at = begins(table, 3)
+        for first, last in zip(at.tolist(), [*at[1:].tolist(), table.num_rows]):
+            t = table.slice(first, last - first)
+            n, upto = np.searchsorted(t.column("_side").to_numpy(), [1, 2]).tolist()
+            said = t.column("_said").to_pylist()
+            if not n or n == upto:
+                continue
+            of, gram, w, size = _vectors(said[:upto], t.column("docs")[0].as_py(), FEATURES, said[upto:] or None, t.column("idf").to_numpy()[upto:])
+            cut = int(np.searchsorted(of, n))
+            place = t.column("_pos").combine_chunks()
+            yield from run(t.column("_f").slice(0, 1).combine_chunks(), place.slice(0, n), place.slice(n, upto - n), said[:n], said[n:upto], (of[:cut], gram[:cut], w[:cut]), (of[cut:] - n, gram[cut:], w[cut:]), size)
+
+    # A pair of blocks is much more work than its bytes tell.
+    parts = max(TASKS, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    return by_keys(whole, ["_f", "_a", "_b"], ["_side", "_pos"], tables, schema, parts)
+
+
+def _products(docs: DataFrame, file: str, side: str, pos: str, text: str, empty: bool, run: Callable, schema: str) -> DataFrame:
+    """run(file, positions of side 0, of side 1, their texts, strips of their cosines) on each pair of blocks of a file, of
+    at most about BLOCK texts a side. Without empty, empty texts count in the fit only."""
+    docs = _docs(docs, file, side, pos, text)
+    met = F.lit(True) if empty else F.col("_said") != ""
+    blocks = lambda k: F.greatest(F.lit(1), F.ceil(F.count_if((F.col("_side") == k) & met) / BLOCK)).cast("int")
+    number = stage(docs.groupBy("_f").agg(F.count("*").alias("docs"), blocks(0).alias("a_blocks"), blocks(1).alias("b_blocks")))
+    block = lambda k: F.pmod(F.xxhash64("_pos"), F.col(f"{k}_blocks")).cast("int")
+    rows = docs.where(met).join(number, "_f")
+    a = rows.where("_side = 0").withColumn("_a", block("a")).withColumn("_b", _every("b"))
+    b = rows.where("_side = 1").withColumn("_b", block("b")).withColumn("_a", _every("a"))
+    strips = lambda name, i, j, x, y, u, v, grams: run(name, i, j, x, y, _cosines(u, v, len(i), len(j), grams))
+    return _fitted(docs, number, a, b, strips, schema)
 
 
 def matrix(docs: DataFrame, file: str, side: str, pos: str, text: str, words: bool = True, char_weight: float = 0.7) -> DataFrame:
@@ -75,57 +203,48 @@ def matrix(docs: DataFrame, file: str, side: str, pos: str, text: str, words: bo
     out. The texts of a file are cut into blocks; each pair of blocks is one sparse product in one task, so a file of
     any size spreads over the cluster.
     """
-    vectors = weighted_vectors(docs, file, side, pos, text).groupBy(file, side, pos).agg(F.collect_list("gram").alias("grams"), F.collect_list("w").alias("weights"))
-    rows = docs.select(file, side, F.col(pos).cast("bigint").alias("pos"), F.col(text).alias("said")).join(vectors.select(file, side, F.col(pos).cast("bigint").alias("pos"), "grams", "weights"), [file, side, "pos"], "left")
-    blocks = lambda k: F.greatest(F.lit(1), F.ceil(F.count_if(F.col(side) == k) / SIDE)).cast("bigint")
-    number = docs.groupBy(file).agg(blocks(0).alias("a_blocks"), blocks(1).alias("b_blocks"))
-    a = _in_blocks(rows.where(F.col(side) == 0), file, "pos", number, "a", "b")
-    b = _in_blocks(rows.where(F.col(side) == 1), file, "pos", number, "b", "a")
-    b = b.select(*[F.col(c).alias(c) for c in b.columns])
-
-    def run(left: pa.Table, right: pa.Table) -> pa.Table:
-        sides = []
-        known: dict[str, int] = {}
-        for t in (left, right):
-            grams = [g or () for g in t.column("grams").to_pylist()]
-            weights = [np.asarray(w if w is not None else (), float) for w in t.column("weights").to_pylist()]
-            weights = [w / np.sqrt((w * w).sum()) if len(w) else w for w in weights]
-            index = np.fromiter((known.setdefault(g, len(known)) for gs in grams for g in gs), np.int64)
-            sides.append((t.column("pos").to_numpy(), np.repeat(np.arange(len(grams)), [len(g) for g in grams]), index, np.concatenate([np.zeros(0), *weights]), t.column("said").to_pylist()))
-        (i, ri, gi, wi, ti), (j, rj, gj, wj, tj) = sides
-        # The right side as one dense table of grams, to which each text on the left adds up its own rows.
-        table = np.zeros((len(known), len(j)))
-        table[gj, rj] = wj
-        cos = np.zeros((len(i), len(j)))
-        ends = np.searchsorted(ri, np.arange(len(i) + 1))
-        for k in range(len(i)):
-            own = slice(ends[k], ends[k + 1])
-            cos[k] = wi[own] @ table[gi[own]]
-        if words:
-            ratios = np.array([[token_set_ratio(x or "", y or "", blanks=True) for y in tj] for x in ti]).reshape(cos.shape) / 100
-            x, y = np.indices(cos.shape).reshape(2, -1)
-        else:
-            x, y = np.nonzero(cos)
-        out = {file: pa.array([(left if left.num_rows else right).column(file)[0].as_py()] * len(x), pa.string()), "i": pa.array(i[x]), "j": pa.array(j[y]), "cosine": pa.array(cos[x, y])}
-        return pa.table(out | ({"sim": pa.array((char_weight * cos + (1 - char_weight) * ratios)[x, y])} if words else {}))
-
-    schema = f"{file} string, i bigint, j bigint, cosine double" + (", sim double" if words else "")
-    return a.groupBy(file, "a", "b").cogroup(b.groupBy(file, "a", "b")).applyInArrow(run, schema)
-
-
-def similar_pairs(docs: DataFrame, pairs: DataFrame, file: str, side: str, pos: str, text: str, char_weight: float = 0.7) -> DataFrame:
-    """M-05 of some pairs only: file, i, j, sim of pairs (file, i, j); the fit is on all docs."""
-    # Both sides are read from one written table, as are the lengths.
-    weighted = stage(weighted_vectors(docs, file, side, pos, text))
-    of = lambda k, to, w: weighted.where(F.col(side) == k).select(file, F.col(pos).alias(to), "gram", F.col("w").alias(w))
-    length = lambda k, to, name: of(k, to, "w").groupBy(file, to).agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias(name))
-    dot = pairs.join(of(0, "i", "wa"), [file, "i"]).join(of(1, "j", "wb"), [file, "j", "gram"]).groupBy(file, "i", "j").agg(F.sum(F.col("wa") * F.col("wb")).alias("dot"))
-    cos = dot.join(length(0, "i", "la"), [file, "i"]).join(length(1, "j", "lb"), [file, "j"]).select(file, "i", "j", (F.col("dot") / (F.col("la") * F.col("lb"))).alias("cosine"))
-    x = docs.where(F.col(side) == 0).select(file, F.col(pos).alias("i"), F.col(text).alias("x"))
-    y = docs.where(F.col(side) == 1).select(file, F.col(pos).alias("j"), F.col(text).alias("y"))
-    ratio = F.pandas_udf(lambda p, q: pd.Series([token_set_ratio(u or "", v or "", blanks=True) for u, v in zip(p, q)], dtype=float), "double")
-    sim = char_weight * F.coalesce("cosine", F.lit(0.0)) + (1 - char_weight) * ratio("x", "y") / 100
-    return pairs.join(x, [file, "i"]).join(y, [file, "j"]).join(cos, [file, "i", "j"], "left").select(file, "i", "j", sim.alias("sim"))
+
+    def run(name: pa.Array, i: pa.Array, j: pa.Array, a: list[str], b: list[str], strips: Iterator) -> Iterator[pa.RecordBatch]:
+        for r, c, cos in strips:
+            x, y = np.indices(cos.shape).reshape(2, -1) if words else np.nonzero(cos)
+            out = [name.take(pa.array(np.zeros(len(x), np.int64))), i.take(pa.array(x + r)), j.take(pa.array(y + c)), pa.array(cos[x, y])]
+            if words:
+                ratios = np.array([token_set_ratio(a[u], b[v], blanks=True) for u, v in zip((x + r).tolist(), (y + c).tolist())], float) / 100
+                out.append(pa.array(char_weight * cos[x, y] + (1 - char_weight) * ratios))
+            yield pa.RecordBatch.from_arrays(out, [file, "i", "j", "cosine", "sim"][: len(out)])
+
+    schema = f"{file} {docs.schema[file].dataType.simpleString()}, i bigint, j bigint, cosine double" + (", sim double" if words else "")
+    return _products(docs, file, side, pos, text, words, run, schema)
+
+
+def near_pairs(docs: DataFrame, file: str, side: str, pos: str, text: str, most: int = 0, char_weight: float = 0.7) -> DataFrame:
+    """M-05 of near pairs only: file, i, j, sim where j - i is from 0 to most; the fit is on all docs. Positions have no gaps.
+
+    Larger files are cut into ranges of BLOCK positions on the left.
+    """
+    docs = _docs(docs, file, side, pos, text)
+    number = stage(docs.groupBy("_f").agg(F.count("*").alias("docs"), (F.floor(F.max("_pos") / BLOCK) + 1).cast("int").alias("a_blocks"), F.lit(1).alias("b_blocks")))
+    rows = docs.join(number, "_f").withColumn("_b", F.lit(0))
+    block = lambda p: F.floor(p / BLOCK).cast("int")
+    a = rows.where("_side = 0").withColumn("_a", block(F.col("_pos")))
+    b = rows.where("_side = 1").withColumn("_a", F.explode(F.sequence(F.greatest(F.lit(0), block(F.col("_pos") - most)), block(F.col("_pos")))))
+
+    def run(name: pa.Array, i: pa.Array, j: pa.Array, a: list[str], b: list[str], u: tuple, v: tuple, grams: int) -> Iterator[pa.RecordBatch]:
+        (ri, gi, wi), (rj, gj, wj) = u, v
+        upto, ends = np.searchsorted(ri, np.arange(len(a) + 1)), np.searchsorted(rj, np.arange(len(b) + 1))
+        at, own, place, found = {p: k for k, p in enumerate(j.to_pylist())}, np.zeros(grams), i.to_pylist(), []
+        for k, p in enumerate(place):
+            mine = slice(upto[k], upto[k + 1])
+            own[gi[mine]] = wi[mine]
+            for q in range(p, p + most + 1):
+                if (c := at.get(q)) is not None:
+                    theirs = slice(ends[c], ends[c + 1])
+                    found.append((p, q, char_weight * float(own[gj[theirs]] @ wj[theirs]) + (1 - char_weight) * token_set_ratio(a[k], b[c], blanks=True) / 100))
+            own[gi[mine]] = 0.0
+        x, y, sims = zip(*found) if found else ((), (), ())
+        yield pa.RecordBatch.from_arrays([name.take(pa.array(np.zeros(len(x), np.int64))), pa.array(x, pa.int32()), pa.array(y, pa.int32()), pa.array(sims, pa.float64())], [file, "i", "j", "sim"])
+
+    return _fitted(docs, number, a, b, run, f"{file} {number.schema['_f'].dataType.simpleString()}, i int, j int, sim double")
 
 
 def _placed(rows: DataFrame, file: str, pos: str, text: str, transcript: str, active: str) -> DataFrame:
@@ -144,9 +263,7 @@ def diagonals(placed: DataFrame, file: str, max_shift: int = 3) -> DataFrame:
     """file, i, j, sim of active rows by place, for shifts j - i from 0 to max_shift; the fit is on active rows only."""
     on = placed.where("active")
     docs = _two_sides(on.select(file, F.col("place").alias("pos"), F.col("a").alias("text")), on.select(file, F.col("place").alias("pos"), F.col("b").alias("text")), file)
-    size = on.groupBy(file).agg(F.count("*").alias("k"))
-    pairs = on.join(size, file).select(file, F.col("place").alias("i"), F.explode(F.sequence(F.col("place"), F.least(F.col("place") + max_shift, (F.col("k") - 1).cast("int")))).alias("j"))
-    return similar_pairs(docs, pairs, file, "side", "pos", "text")
+    return near_pairs(docs, file, "side", "pos", "text", max_shift)
 
 
 def best_shift(sim: DataFrame, file: str, max_shift: int = 3) -> DataFrame:
@@ -217,15 +334,15 @@ def reordered(rows: DataFrame, file: str, pos: str, text: str, transcript: str,
         x, y = {v: k for k, v in enumerate(mine)}, {v: k for k, v in enumerate(columns)}
         gain = np.zeros((len(mine), len(columns)))
         gain[s["i"].map(x), s["j"].map(y)] = s["sim"]
-        return pd.DataFrame({file: [key[0]] * len(mine), "to": mine, "of": [columns[c] for c in assign(gain)]})
+        return pd.DataFrame({file: [key[0]] * len(mine), "place": range(len(mine)), "to": mine, "of": [columns[c] for c in assign(gain)]})
 
     kind = rows.schema[file].dataType.simpleString()
     # Files without active rows have no shift and stay out.
     sides = placed.join(shifts.select(file, "shift"), file).select(file, "pos", "active", "shift")
-    picked = stage(sides.groupBy(file).cogroup(sim.groupBy("_file")).applyInPandas(run, f"{file} {kind}, to int, of int"))
+    picked = stage(sides.groupBy(file).cogroup(sim.groupBy("_file")).applyInPandas(run, f"{file} {kind}, place int, to int, of int"))
     given = picked.join(placed.select(file, F.col("pos").alias("of"), "b", "raw"), [file, "of"])
-    after_docs = _two_sides(on.select(file, "pos", F.col("a").alias("text")), given.select(file, F.col("to").alias("pos"), F.col("b").alias("text")), file)
-    after = similar_pairs(after_docs, picked.select(file, F.col("to").alias("i"), F.col("to").alias("j")), file, "side", "pos", "text").groupBy(file).agg(F.avg("sim").alias("mean_after"))
+    after_docs = _two_sides(on.select(file, F.col("place").alias("pos"), F.col("a").alias("text")), given.select(file, F.col("place").alias("pos"), F.col("b").alias("text")), file)
+    after = near_pairs(after_docs, file, "side", "pos", "text").groupBy(file).agg(F.avg("sim").alias("mean_after"))
     moved = picked.groupBy(file).agg(F.bool_or(F.col("to") != F.col("of")).alias("moved"))
     applied = (F.col("moved") | (F.col("shift") != 0)) & (F.col("mean_after") - F.col("mean_before") >= least_gain)
     summary = stage(shifts.join(means, file).join(after, file).join(moved, file).select(file, "shift", "mean_before", "mean_after", applied.alias("applied")))
