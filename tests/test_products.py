@@ -309,3 +309,32 @@ def test_cosines_of_blocks_are_those_of_whole_files(spark, monkeypatch, letters)
         least = sorted(count.values())[-60]
         shared = lambda x, y: any(count[g] >= least and g in y for g in (x[p : p + n] for n in (3, 4, 5) for p in range(len(x) - n + 1)))
         assert {(i, j) for f, i, j in found[4] if f == k} == {(i, j) for i, x in enumerate(a) for j, y in enumerate(b) if shared(x, y)}
+
+
+def test_assignment_of_columns_of_no_gain_that_are_not_held():
+    rng = np.random.default_rng(4)
+    for n, m, k in ((3, 5, 2), (6, 9, 4), (5, 5, 0), (7, 20, 20)):
+        at = np.sort(rng.choice(m, k, replace=False))
+        gain, whole = rng.integers(0, 4, (n, k)) / 4, np.zeros((n, m))
+        whole[:, at] = gain
+        assert reorder.assign(gain, at, m).tolist() == reorder.assign(whole).tolist()
+
+
+def test_word_set_ratio_is_that_of_the_whole_texts():
+    rng, words = random.Random(2), "а б вг дом сети рыбаки у".split()
+    for _ in range(2000):
+        x, y = ({*rng.choices(words, k=rng.randrange(1, 6))} for _ in range(2))
+        both, left, right = (" ".join(sorted(s)) for s in (x & y, x - y, y - x))
+        one, two = f"{both} {left}".strip(), f"{both} {right}".strip()
+        want = 100.0 if both and not (left and right) else max(S.ratio(one, two), *((S.ratio(both, one), S.ratio(both, two)) if both else (0.0,)))
+        assert S.word_set_ratio(x, y) == want
+
+
+def test_packed_sims_are_those_of_the_matrix(spark, monkeypatch):
+    rng = random.Random(6)
+    docs = spark.createDataFrame([("f", s, 2 * p, " ".join(rng.choices("рыбаки чинили сети у брода".split(), k=rng.randrange(5)))) for s in (0, 1) for p in range(9)], "f string, side int, pos int, text string")
+    want = {(r.i, r.j): r.sim for r in reorder.matrix(docs, "f", "side", "pos", "text").collect()}
+    monkeypatch.setattr(reorder, "BLOCK", 4)
+    found = {(i, j): r.sims[a * len(r.j) + b] for r in reorder.packed_matrix(docs, "f", "side", "pos", "text").collect() for a, i in enumerate(r.i) for b, j in enumerate(r.j)}
+    assert set(found) == {(r.pos, q.pos) for r in docs.where("side = 0 AND text <> ''").collect() for q in docs.where("side = 1 AND text <> ''").collect()}
+    assert all(abs(want[k] - found.get(k, 0.0)) < 1e-12 for k in want)

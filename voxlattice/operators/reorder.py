@@ -12,7 +12,7 @@ from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from voxlattice.functions.similarity import token_set_ratio
+from voxlattice.functions.similarity import token_set_ratio, word_set_ratio
 from voxlattice.functions.text import norm_reorder, tolerant_bool
 from voxlattice.operators.whole_keys import begins, by_keys, whole_keys
 from voxlattice.runtime import stage
@@ -247,6 +247,21 @@ def near_pairs(docs: DataFrame, file: str, side: str, pos: str, text: str, most:
     return _fitted(docs, number, a, b, run, f"{file} {number.schema['_f'].dataType.simpleString()}, i int, j int, sim double")
 
 
+def packed_matrix(docs: DataFrame, file: str, side: str, pos: str, text: str, char_weight: float = 0.7) -> DataFrame:
+    """The sims of matrix() between texts that aren't empty, all others being 0: file, i, j, sims, of which each row has the
+    positions of a strip and its sims row by row, as numbers of cells would take several times the room."""
+
+    def run(name: pa.Array, i: pa.Array, j: pa.Array, a: list[str], b: list[str], strips: Iterator) -> Iterator[pa.RecordBatch]:
+        x, y, i, j = [set(t.split()) for t in a], [set(t.split()) for t in b], i.to_pylist(), j.to_pylist()
+        for r, c, cos in strips:
+            n, m = cos.shape
+            ratios = np.array([word_set_ratio(u, v) if u and v else 0.0 for u in x[r : r + n] for v in y[c : c + m]]).reshape(n, m) / 100
+            sims = (char_weight * cos + (1 - char_weight) * ratios).ravel()
+            yield pa.RecordBatch.from_arrays([name, pa.array([i[r : r + n]], pa.list_(pa.int32())), pa.array([j[c : c + m]], pa.list_(pa.int32())), pa.ListArray.from_arrays(pa.array([0, len(sims)], pa.int32()), pa.array(sims))], [file, "i", "j", "sims"])
+
+    return _products(docs, file, side, pos, text, False, run, f"{file} {docs.schema[file].dataType.simpleString()}, i array<int>, j array<int>, sims array<double>")
+
+
 def _placed(rows: DataFrame, file: str, pos: str, text: str, transcript: str, active: str) -> DataFrame:
     """file, pos, place (among the active rows of the file, or among the others), active, a, b: the texts as they are compared."""
     on = F.coalesce(active, F.lit(False))
@@ -273,10 +288,14 @@ def best_shift(sim: DataFrame, file: str, max_shift: int = 3) -> DataFrame:
     return by.groupBy(file).agg(best).select(file, (-F.col("b.s")).alias("shift"), "b.mean_sim")
 
 
-def assign(gain: np.ndarray) -> np.ndarray:
-    """J-07: the column of each row in an assignment of greatest total gain (rows <= columns), by shortest paths."""
-    cost = -np.asarray(gain, float)
-    n, m = cost.shape
+def assign(gain: np.ndarray, at: np.ndarray | None = None, columns: int | None = None) -> np.ndarray:
+    """J-07: the column of each row in an assignment of greatest total gain (rows <= columns), by shortest paths.
+
+    With at, the gains are those of these ones of `columns` columns, and those of all others are 0.
+    """
+    gain = np.asarray(gain, float)
+    n, m = gain.shape[0], gain.shape[1] if at is None else columns
+    whole = slice(None) if at is None else at
     if n > m:
         raise ValueError("more rows than columns")
     u, v, match = np.zeros(n + 1), np.zeros(m + 1), np.zeros(m + 1, int)
@@ -286,7 +305,9 @@ def assign(gain: np.ndarray) -> np.ndarray:
         while True:
             used[j0] = True
             i0 = match[j0]
-            slack = cost[i0 - 1] - u[i0] - v[1:]
+            cost = np.zeros(m)
+            cost[whole] = -gain[i0 - 1]
+            slack = cost - u[i0] - v[1:]
             free = ~used[1:]
             closer = free & (slack < least[1:])
             least[1:][closer], way[1:][closer] = slack[closer], j0
@@ -324,7 +345,7 @@ def reordered(rows: DataFrame, file: str, pos: str, text: str, transcript: str,
     shifts = best_shift(before, file, max_shift)
     means = before.where("i = j").groupBy(file).agg(F.avg("sim").alias("mean_before"))
     docs = _two_sides(on.select(file, "pos", F.col("a").alias("text")), placed.select(file, "pos", F.col("b").alias("text")), file)
-    sim = matrix(docs, file, "side", "pos", "text").select(F.col(file).alias("_file"), F.col("i").cast("int"), F.col("j").cast("int"), "sim")
+    sim = packed_matrix(docs, file, "side", "pos", "text").withColumnRenamed(file, "_file")
 
     def run(key, p: pd.DataFrame, s: pd.DataFrame) -> pd.DataFrame:
         mine = p.loc[p["active"]].sort_values("pos")["pos"].tolist()
@@ -332,9 +353,14 @@ def reordered(rows: DataFrame, file: str, pos: str, text: str, transcript: str,
         at = int(p["shift"].iloc[0])
         columns = mine[at:] + mine[:at] + others
         x, y = {v: k for k, v in enumerate(mine)}, {v: k for k, v in enumerate(columns)}
-        gain = np.zeros((len(mine), len(columns)))
-        gain[s["i"].map(x), s["j"].map(y)] = s["sim"]
-        return pd.DataFrame({file: [key[0]] * len(mine), "place": range(len(mine)), "to": mine, "of": [columns[c] for c in assign(gain)]})
+        # Texts that are empty gain nothing and have no columns of their own.
+        used = np.array(sorted({y[v] for js in s["j"] for v in js}), dtype=np.int64)
+        gain = np.zeros((len(mine), len(used)))
+        for i, j, sims in zip(s["i"], s["j"], s["sims"]):
+            gain[np.ix_([x[v] for v in i], np.searchsorted(used, [y[v] for v in j]))] = np.asarray(sims).reshape(len(i), len(j))
+        # Equal gains stay equal, whatever the order in which they were added up.
+        np.round(gain, 12, out=gain)
+        return pd.DataFrame({file: [key[0]] * len(mine), "place": range(len(mine)), "to": mine, "of": [columns[c] for c in assign(gain, used, len(columns))]})
 
     kind = rows.schema[file].dataType.simpleString()
     # Files without active rows have no shift and stay out.
