@@ -5,14 +5,13 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from voxlattice.functions.similarity import token_set_ratio, word_set_ratio
+from voxlattice.functions.similarity import PackedWords, token_set_ratio
 from voxlattice.functions.text import norm_reorder, tolerant_bool
 from voxlattice.operators.whole_keys import begins, by_keys, whole_keys
 from voxlattice.runtime import stage
@@ -27,6 +26,8 @@ SIDE = 256
 BLOCK = 2048
 #: Texts whose grams are counted at a time.
 PIECE = 2048
+#: Characters of texts whose words are compared with another text's at once.
+PACK = 1 << 17
 #: Tasks at least for the products.
 TASKS = 48
 
@@ -181,12 +182,12 @@ def _fitted(docs: DataFrame, number: DataFrame, a: DataFrame, b: DataFrame, run:
     return by_keys(whole, ["_f", "_a", "_b"], ["_side", "_pos"], tables, schema, parts)
 
 
-def _products(docs: DataFrame, file: str, side: str, pos: str, text: str, empty: bool, run: Callable, schema: str) -> DataFrame:
+def _products(docs: DataFrame, file: str, side: str, pos: str, text: str, empty: bool, run: Callable, schema: str, block_size: int) -> DataFrame:
     """run(file, positions of side 0, of side 1, their texts, strips of their cosines) on each pair of blocks of a file, of
-    at most about BLOCK texts a side. Without empty, empty texts count in the fit only."""
+    at most about block_size texts a side. Without empty, empty texts count in the fit only."""
     docs = _docs(docs, file, side, pos, text)
     met = F.lit(True) if empty else F.col("_said") != ""
-    blocks = lambda k: F.greatest(F.lit(1), F.ceil(F.count_if((F.col("_side") == k) & met) / BLOCK)).cast("int")
+    blocks = lambda k: F.greatest(F.lit(1), F.ceil(F.count_if((F.col("_side") == k) & met) / block_size)).cast("int")
     number = stage(docs.groupBy("_f").agg(F.count("*").alias("docs"), blocks(0).alias("a_blocks"), blocks(1).alias("b_blocks")))
     block = lambda k: F.pmod(F.xxhash64("_pos"), F.col(f"{k}_blocks")).cast("int")
     rows = docs.where(met).join(number, "_f")
@@ -214,7 +215,7 @@ def matrix(docs: DataFrame, file: str, side: str, pos: str, text: str, words: bo
             yield pa.RecordBatch.from_arrays(out, [file, "i", "j", "cosine", "sim"][: len(out)])
 
     schema = f"{file} {docs.schema[file].dataType.simpleString()}, i bigint, j bigint, cosine double" + (", sim double" if words else "")
-    return _products(docs, file, side, pos, text, words, run, schema)
+    return _products(docs, file, side, pos, text, words, run, schema, BLOCK)
 
 
 def near_pairs(docs: DataFrame, file: str, side: str, pos: str, text: str, most: int = 0, char_weight: float = 0.7) -> DataFrame:
@@ -247,26 +248,53 @@ def near_pairs(docs: DataFrame, file: str, side: str, pos: str, text: str, most:
     return _fitted(docs, number, a, b, run, f"{file} {number.schema['_f'].dataType.simpleString()}, i int, j int, sim double")
 
 
-def packed_matrix(docs: DataFrame, file: str, side: str, pos: str, text: str, char_weight: float = 0.7) -> DataFrame:
+def packed_matrix(docs: DataFrame, file: str, side: str, pos: str, text: str, char_weight: float = 0.7, rounded: bool = False) -> DataFrame:
     """The sims of matrix() between texts that aren't empty, all others being 0: file, i, j, sims, of which each row has the
-    positions of a strip and its sims row by row, as numbers of cells would take several times the room."""
+    positions of a strip and its sims row by row, as numbers of cells would take several times the room. With rounded, sims
+    are the bytes of to_bytes()."""
 
     def run(name: pa.Array, i: pa.Array, j: pa.Array, a: list[str], b: list[str], strips: Iterator) -> Iterator[pa.RecordBatch]:
-        x, y, i, j = [set(t.split()) for t in a], [set(t.split()) for t in b], i.to_pylist(), j.to_pylist()
+        y, i, j, at = [set(t.split()) for t in b], i.to_pylist(), j.to_pylist(), -1
+        packs = _packs([set(t.split()) for t in a])
         for r, c, cos in strips:
             n, m = cos.shape
-            ratios = np.array([word_set_ratio(u, v) if u and v else 0.0 for u in x[r : r + n] for v in y[c : c + m]]).reshape(n, m) / 100
-            sims = (char_weight * cos + (1 - char_weight) * ratios).ravel()
-            yield pa.RecordBatch.from_arrays([name, pa.array([i[r : r + n]], pa.list_(pa.int32())), pa.array([j[c : c + m]], pa.list_(pa.int32())), pa.ListArray.from_arrays(pa.array([0, len(sims)], pa.int32()), pa.array(sims))], [file, "i", "j", "sims"])
+            if c != at:
+                at, ratios = c, np.zeros((len(a), m))
+                for k in range(m):
+                    for rows, words in packs if y[c + k] else []:
+                        ratios[rows, k] = words.ratios(y[c + k]) / 100
+            sims = (char_weight * cos + (1 - char_weight) * ratios[r : r + n]).ravel()
+            yield pa.RecordBatch.from_arrays([name, pa.array([i[r : r + n]], pa.list_(pa.int32())), pa.array([j[c : c + m]], pa.list_(pa.int32())), pa.array([to_bytes(sims)], pa.binary()) if rounded else pa.ListArray.from_arrays(pa.array([0, len(sims)], pa.int32()), pa.array(sims))], [file, "i", "j", "sims"])
 
-    return _products(docs, file, side, pos, text, False, run, f"{file} {docs.schema[file].dataType.simpleString()}, i array<int>, j array<int>, sims array<double>")
+    # Such a pair of blocks is more work than one of cosines only, and the largest file should be more pairs than there are cores.
+    return _products(docs, file, side, pos, text, False, run, f"{file} {docs.schema[file].dataType.simpleString()}, i array<int>, j array<int>, sims {'binary' if rounded else 'array<double>'}", max(1, BLOCK // 2))
+
+
+def to_bytes(sims: np.ndarray) -> bytes:
+    """Numbers from 0 to 1 rounded to 12 digits, five bytes each."""
+    return np.rint(sims * 1e12).astype("<i8").view(np.uint8).reshape(-1, 8)[:, :5].tobytes()
+
+
+def from_bytes(data: bytes) -> np.ndarray:
+    whole = np.zeros((len(data) // 5, 8), np.uint8)
+    whole[:, :5] = np.frombuffer(data, np.uint8).reshape(-1, 5)
+    return whole.view("<i8").ravel() / 1e12
+
+
+def _packs(sets: list[set[str]]) -> list[tuple[np.ndarray, PackedWords]]:
+    """The sets that aren't empty and their numbers, of about PACK characters at a time."""
+    some = np.array([k for k, x in enumerate(sets) if x], dtype=np.int64)
+    ends = np.cumsum([sum(map(len, sets[k])) + len(sets[k]) for k in some])
+    return [(k, PackedWords([sets[x] for x in k])) for k in np.split(some, np.flatnonzero(np.diff(ends // PACK)) + 1) if len(k)]
 
 
 def _placed(rows: DataFrame, file: str, pos: str, text: str, transcript: str, active: str) -> DataFrame:
     """file, pos, place (among the active rows of the file, or among the others), active, a, b: the texts as they are compared."""
     on = F.coalesce(active, F.lit(False))
     place = F.row_number().over(Window.partitionBy(file, on).orderBy(pos)) - 1
-    return rows.select(file, F.col(pos).alias("pos"), place.alias("place"), on.alias("active"), norm_reorder(F.col(text)).alias("a"), norm_reorder(F.col(transcript)).alias("b"), F.col(transcript).alias("raw"))
+    # The texts are normalised behind the window, so one form of each is shuffled.
+    told = rows.select(file, F.col(pos).alias("pos"), place.alias("place"), on.alias("active"), F.col(text).alias("said"), F.col(transcript).alias("raw"))
+    return told.select(file, "pos", "place", "active", norm_reorder(F.col("said")).alias("a"), norm_reorder(F.col("raw")).alias("b"), "raw")
 
 
 def _two_sides(a: DataFrame, b: DataFrame, file: str) -> DataFrame:
@@ -289,42 +317,76 @@ def best_shift(sim: DataFrame, file: str, max_shift: int = 3) -> DataFrame:
 
 
 def assign(gain: np.ndarray, at: np.ndarray | None = None, columns: int | None = None) -> np.ndarray:
-    """J-07: the column of each row in an assignment of greatest total gain (rows <= columns), by shortest paths.
+    """J-07: the column of each row in an assignment of greatest total gain (rows <= columns), by shortest paths. No gain is
+    negative.
 
-    With at, the gains are those of these ones of `columns` columns, and those of all others are 0.
+    With at, the gains are those of these ones of `columns` columns, and those of all others are 0. Columns without gains
+    are left to the rows that get no other, in order. Paths start from the rows or from the columns, whichever are fewer: the
+    more of the others stay free, the sooner a path ends. A gain whose transpose is contiguous is not copied if its columns are fewer.
     """
     gain = np.asarray(gain, float)
     n, m = gain.shape[0], gain.shape[1] if at is None else columns
-    whole = slice(None) if at is None else at
     if n > m:
         raise ValueError("more rows than columns")
-    u, v, match = np.zeros(n + 1), np.zeros(m + 1), np.zeros(m + 1, int)
-    for i in range(1, n + 1):
-        match[0], j0 = i, 0
-        least, used, way = np.full(m + 1, np.inf), np.zeros(m + 1, bool), np.zeros(m + 1, int)
+    of = np.arange(m) if at is None else np.asarray(at)
+    some = gain.any(axis=0)
+    if not some.all():
+        of, gain = of[some], gain[:, some]
+    out = np.full(n, -1)
+    if n <= len(of):
+        out[:] = of[_paths(np.ascontiguousarray(gain))]
+    else:
+        out[_paths(np.ascontiguousarray(gain.T))] = of
+    left = np.ones(m, bool)
+    left[out[out >= 0]] = False
+    out[out < 0] = np.flatnonzero(left)[: np.count_nonzero(out < 0)]
+    return out
+
+
+def _paths(gain: np.ndarray) -> np.ndarray:
+    """The column of each row in an assignment of greatest total gain, rows <= columns; all rows get one of these columns."""
+    n, m = gain.shape
+    out, row, v = np.full(n, -1), np.full(m, -1), np.zeros(m)
+    if not n:
+        return out
+    u, first = -gain.max(axis=1), gain.argmax(axis=1)
+    starts = []
+    for i, j in enumerate(first.tolist()):
+        if row[j] < 0:
+            row[j], out[i] = i, j
+        else:
+            starts.append(i)
+    least, way, open_v, r, closer = np.empty(m), np.empty(m, np.int64), np.empty(m), np.empty(m), np.empty(m, bool)
+    for start in starts:
+        least.fill(np.inf)
+        open_v[:] = v
+        i, so_far, seen, far = start, 0.0, [], []
+        while True:
+            # Columns that are done have an open_v of -inf and get no closer.
+            np.add(gain[i], open_v, out=r)
+            np.subtract(so_far - u[i], r, out=r)
+            np.less(r, least, out=closer)
+            np.copyto(least, r, where=closer)
+            np.copyto(way, i, where=closer)
+            j = int(least.argmin())
+            so_far = least[j]
+            i = int(row[j])
+            if i < 0:
+                break
+            seen.append(j)
+            far.append(so_far)
+            least[j], open_v[j] = np.inf, -np.inf
+        u[start] += so_far
+        if seen:
+            more = so_far - np.array(far)
+            u[row[seen]] += more
+            v[seen] -= more
         while True:
-            used[j0] = True
-            i0 = match[j0]
-            cost = np.zeros(m)
-            cost[whole] = -gain[i0 - 1]
-            slack = cost - u[i0] - v[1:]
-            free = ~used[1:]
-            closer = free & (slack < least[1:])
-            least[1:][closer], way[1:][closer] = slack[closer], j0
-            j1 = int(np.where(free, least[1:], np.inf).argmin()) + 1
-            delta = least[j1]
-            u[match[used]] += delta
-            v[used] -= delta
-            least[1:][free] -= delta
-            j0 = j1
-            if match[j0] == 0:
+            i = int(way[j])
+            row[j] = i
+            j, out[i] = int(out[i]), j
+            if i == start:
                 break
-        while j0:
-            match[j0], j0 = match[way[j0]], way[j0]
-    out = np.zeros(n, int)
-    for j in range(1, m + 1):
-        if match[j]:
-            out[match[j] - 1] = j - 1
     return out
 
 
@@ -339,39 +401,59 @@ def reordered(rows: DataFrame, file: str, pos: str, text: str, transcript: str,
     The assignment takes a file's matrix into one task, as it can't be parted; the similarities, which are most of the
     work, are spread over the cluster.
     """
-    placed = stage(_placed(rows, file, pos, text, transcript, active))
+    placed = stage(_placed(rows, file, pos, text, transcript, active), tidy=True)
     on = placed.where("active")
-    before = diagonals(placed, file, max_shift)
+    # Both the shifts and the means read these few rows.
+    before = stage(diagonals(placed, file, max_shift), tidy=True)
     shifts = best_shift(before, file, max_shift)
     means = before.where("i = j").groupBy(file).agg(F.avg("sim").alias("mean_before"))
     docs = _two_sides(on.select(file, "pos", F.col("a").alias("text")), placed.select(file, "pos", F.col("b").alias("text")), file)
-    sim = packed_matrix(docs, file, "side", "pos", "text").withColumnRenamed(file, "_file")
-
-    def run(key, p: pd.DataFrame, s: pd.DataFrame) -> pd.DataFrame:
-        mine = p.loc[p["active"]].sort_values("pos")["pos"].tolist()
-        others = p.loc[~p["active"]].sort_values("pos")["pos"].tolist()
-        at = int(p["shift"].iloc[0])
-        columns = mine[at:] + mine[:at] + others
-        x, y = {v: k for k, v in enumerate(mine)}, {v: k for k, v in enumerate(columns)}
-        # Texts that are empty gain nothing and have no columns of their own.
-        used = np.array(sorted({y[v] for js in s["j"] for v in js}), dtype=np.int64)
-        gain = np.zeros((len(mine), len(used)))
-        for i, j, sims in zip(s["i"], s["j"], s["sims"]):
-            gain[np.ix_([x[v] for v in i], np.searchsorted(used, [y[v] for v in j]))] = np.asarray(sims).reshape(len(i), len(j))
-        # Equal gains stay equal, whatever the order in which they were added up.
-        np.round(gain, 12, out=gain)
-        return pd.DataFrame({file: [key[0]] * len(mine), "place": range(len(mine)), "to": mine, "of": [columns[c] for c in assign(gain, used, len(columns))]})
+    # Equal sims come out equal by the rounding, whatever the order in which they were added up.
+    sim = packed_matrix(docs, file, "side", "pos", "text", rounded=True).withColumnRenamed(file, "_file")
 
     kind = rows.schema[file].dataType.simpleString()
-    # Files without active rows have no shift and stay out.
-    sides = placed.join(shifts.select(file, "shift"), file).select(file, "pos", "active", "shift")
-    picked = stage(sides.groupBy(file).cogroup(sim.groupBy("_file")).applyInPandas(run, f"{file} {kind}, place int, to int, of int"))
+    # Files without active rows have no shift and stay out. A file's own row comes before its strips, which are put into one table
+    # as they come: neither they nor a copy of the table are held.
+    here = lambda on: F.sort_array(F.collect_list(F.when(on, F.col("pos"))))
+    sides = placed.groupBy(file).agg(here(F.col("active")).alias("i"), here(~F.col("active")).alias("j"), here(F.col("b") != "").alias("used")).join(shifts.select(file, "shift"), file)
+    none = lambda t: F.lit(None).cast(t)
+    heads = sides.select(F.col(file).alias("_file"), F.col("i").cast("array<int>").alias("i"), F.col("j").cast("array<int>").alias("j"), none("binary").alias("sims"), F.col("used").cast("array<int>").alias("used"), "shift")
+    strips = sim.select("_file", "i", "j", "sims", none("array<int>").alias("used"), none("int").alias("shift"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: tuple | None = None
+
+        def picks() -> pa.RecordBatch:
+            name, mine, columns, used, gain = held
+            got = np.array(columns)[assign(gain, used, len(columns))] if mine else []
+            return pa.RecordBatch.from_arrays([name.take(pa.array(np.zeros(len(mine), np.int64))), *(pa.array(c, pa.int32()) for c in (range(len(mine)), mine, got))], [file, "place", "to", "of"])
+
+        for batch in batches:
+            name, i, j, sims, used, shift = (batch.column(k) for k in ("_file", "i", "j", "sims", "used", "shift"))
+            for k in range(batch.num_rows):
+                if shift[k].is_valid:
+                    if held:
+                        yield picks()
+                    mine, at = i[k].as_py(), shift[k].as_py()
+                    columns = mine[at:] + mine[:at] + j[k].as_py()
+                    x, y = {v: k for k, v in enumerate(mine)}, {v: k for k, v in enumerate(columns)}
+                    # Texts that are empty gain nothing and have no columns of their own.
+                    some = np.array(sorted(y[v] for v in used[k].as_py()), dtype=np.int64)
+                    held = (name.slice(k, 1), mine, columns, some, np.zeros((len(some), len(mine))).T)
+                else:
+                    r, c = [x[v] for v in i[k].as_py()], np.searchsorted(held[3], [y[v] for v in j[k].as_py()])
+                    held[4][np.ix_(r, c)] = from_bytes(sims[k].as_py()).reshape(len(r), len(c))
+        if held:
+            yield picks()
+
+    together = heads.unionByName(strips).repartition(max(TASKS, int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))), "_file")
+    picked = stage(together.sortWithinPartitions("_file", F.col("shift").isNull()).mapInArrow(run, f"{file} {kind}, place int, to int, of int"), tidy=True)
     given = picked.join(placed.select(file, F.col("pos").alias("of"), "b", "raw"), [file, "of"])
     after_docs = _two_sides(on.select(file, F.col("place").alias("pos"), F.col("a").alias("text")), given.select(file, F.col("place").alias("pos"), F.col("b").alias("text")), file)
     after = near_pairs(after_docs, file, "side", "pos", "text").groupBy(file).agg(F.avg("sim").alias("mean_after"))
     moved = picked.groupBy(file).agg(F.bool_or(F.col("to") != F.col("of")).alias("moved"))
     applied = (F.col("moved") | (F.col("shift") != 0)) & (F.col("mean_after") - F.col("mean_before") >= least_gain)
-    summary = stage(shifts.join(means, file).join(after, file).join(moved, file).select(file, "shift", "mean_before", "mean_after", applied.alias("applied")))
+    summary = stage(shifts.join(means, file).join(after, file).join(moved, file).select(file, "shift", "mean_before", "mean_after", applied.alias("applied")), tidy=True)
 
     where = placed.join(summary.select(file, "applied"), file, "left").withColumn("applied", F.coalesce("applied", F.lit(False)))
     used = picked.select(file, F.col("of").alias("pos"), F.lit(True).alias("used"))

@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 
 #: A side is broadcast only if it has been counted and is no larger than this.
 BROADCAST_MAX_ROWS = 200_000
+#: Whether Spark deletes the shuffle files of a query as it ends.
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 #: Paths of the tables that stage() has written and nobody has deleted.
 _STAGED: list[str] = []
 
@@ -41,11 +43,19 @@ def shared_folder(spark: SparkSession) -> str:
     return f"file://{made}"
 
 
-def stage(df: DataFrame) -> DataFrame:
-    """Write df as a table in the shared folder and read it again: lineage is cut and survives lost executors."""
+def stage(df: DataFrame, tidy: bool = False) -> DataFrame:
+    """Write df as a table in the shared folder and read it again: lineage is cut and survives lost executors.
+
+    With tidy, what was shuffled for it is deleted as soon as it is written, not when the driver next collects its garbage.
+    """
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/stage-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    was = spark.conf.get(_CLEANUP, "false")
+    try:
+        spark.conf.set(_CLEANUP, "true" if tidy else was)
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(_CLEANUP, was)
     read = spark.read.schema(df.schema).parquet(path)
     read._voxlattice_path = path
     _STAGED.append(path)
